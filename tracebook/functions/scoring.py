@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracebook.fixed_values import (
@@ -22,24 +24,41 @@ def clamp_unit(x: Column) -> Column:
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), x))
 
 
-def exact_rounded_units(x: Column, digits: int) -> Column:
-    """``x`` (a double >= 0) in units of 10**-digits, rounded on its exact binary value.
+def with_exact_units(df: DataFrame, units: Mapping[str, tuple[str, int]]) -> DataFrame:
+    """Add columns ``name`` = a double column (>= 0) in units of 10**-digits, as a double.
 
-    0.4125 is stored a little below the tie and gives 412, true ties go to the even
-    neighbour. ``F.round`` works on the shortest decimal text instead and would give 413.
+    Rounding looks at the exact binary value: 0.4125 is stored a little below the tie and
+    gives 412, true ties go to the even neighbour. ``F.round`` works on the shortest decimal
+    text instead and would give 413. The steps are separate projections, so each is
+    computed once per row inside one generated stage.
     """
-    scale = float(10**digits)
-    high = F.lit(_SPLIT) * x - (F.lit(_SPLIT) * x - x)
-    low = x - high
-    whole = F.floor(x * scale).cast("double")
-    beyond_half = (high * scale - (whole + 0.5)) + low * scale
-    exact = (
-        F.when(beyond_half > 0, whole + 1)
-        .when(beyond_half < 0, whole)
-        .otherwise(whole + whole % 2)
-    )
-    # from 1e12 on the halves no longer leave room for the tie test
-    return F.when(x < 1e12, exact).otherwise(F.bround(x * scale))
+    sources = sorted({source for source, _ in units.values()})
+    split = {
+        f"__high_{source}": F.lit(_SPLIT) * F.col(source)
+        - (F.lit(_SPLIT) * F.col(source) - F.col(source))
+        for source in sources
+    }
+    floors = {
+        f"__floor_{name}": F.floor(F.col(source) * float(10**digits)).cast("double")
+        for name, (source, digits) in units.items()
+    }
+    beyond = {
+        f"__beyond_{name}": (
+            F.col(f"__high_{source}") * float(10**digits) - (F.col(f"__floor_{name}") + 0.5)
+        )
+        + (F.col(source) - F.col(f"__high_{source}")) * float(10**digits)
+        for name, (source, digits) in units.items()
+    }
+    rounded = {}
+    for name, (source, digits) in units.items():
+        whole, rest = F.col(f"__floor_{name}"), F.col(f"__beyond_{name}")
+        exact = F.when(rest > 0, whole + 1).when(rest < 0, whole).otherwise(whole + whole % 2)
+        # from 1e12 on the halves no longer leave room for the tie test
+        rounded[name] = F.when(F.col(source) < 1e12, exact).otherwise(
+            F.bround(F.col(source) * float(10**digits))
+        )
+    staged = df.withColumns({**split, **floors}).withColumns(beyond).withColumns(rounded)
+    return staged.drop(*split, *floors, *beyond)
 
 
 def pseudo_logprob(rating: Column) -> Column:
@@ -48,15 +67,28 @@ def pseudo_logprob(rating: Column) -> Column:
     return F.lit(-LOGPROB_SPAN) * (F.lit(1.0) - rated)
 
 
-def confidence(
-    logprob: Column, structural: Column, snippet_match: Column, language_match: Column
-) -> Column:
-    """Score in [0, 1] with three decimals; 0 when the record is structurally invalid."""
+def with_confidence(
+    df: DataFrame,
+    name: str,
+    logprob: Column,
+    structural: Column,
+    snippet_match: Column,
+    language_match: Column,
+) -> DataFrame:
+    """Add a score in [0, 1] with three decimals; 0 when the record is structurally invalid."""
     base = clamp_unit((logprob + LOGPROB_SPAN) / LOGPROB_SPAN)
-    cited = F.when(snippet_match, base).otherwise(base * SNIPPET_PENALTY)
-    spoken = F.when(language_match, cited).otherwise(cited * LANGUAGE_PENALTY)
-    score = F.when(structural, exact_rounded_units(spoken, 3) / 1000.0).otherwise(F.lit(0.0))
-    return score.cast(SCORE_TYPE)
+    cited = F.when(snippet_match, F.col("__base")).otherwise(F.col("__base") * SNIPPET_PENALTY)
+    spoken = F.when(language_match, F.col("__cited")).otherwise(
+        F.col("__cited") * LANGUAGE_PENALTY
+    )
+    staged = (
+        df.withColumn("__base", base).withColumn("__cited", cited).withColumn("__spoken", spoken)
+    )
+    rounded = with_exact_units(staged, {"__thousandths": ("__spoken", 3)})
+    score = F.when(structural, F.col("__thousandths") / 1000.0).otherwise(F.lit(0.0))
+    return rounded.withColumn(name, score.cast(SCORE_TYPE)).drop(
+        "__base", "__cited", "__spoken", "__thousandths"
+    )
 
 
 def band(score: Column, threshold: float = CONFIDENCE_THRESHOLD) -> Column:
@@ -64,37 +96,58 @@ def band(score: Column, threshold: float = CONFIDENCE_THRESHOLD) -> Column:
     return F.when(score >= F.lit(str(threshold)).cast(SCORE_TYPE), "published").otherwise("review")
 
 
-def _digits_only(value: Column, digits: int) -> Column:
-    """The fixed-point text of a double with its decimal point taken out."""
-    units = exact_rounded_units(F.abs(value), digits).cast("decimal(38,0)").cast("string")
-    padded = F.when(F.length(units) <= digits, F.lpad(units, digits + 1, "0")).otherwise(units)
-    return F.concat(F.when(value < 0, "-").otherwise(""), padded)
+def _digits_only(negative: Column, units: Column, digits: int) -> Column:
+    """The fixed-point text of a number with its decimal point taken out."""
+    text = units.cast("decimal(38,0)").cast("string")
+    padded = text if digits == 0 else F.when(
+        F.length(text) <= digits, F.lpad(text, digits + 1, "0")
+    ).otherwise(text)
+    return F.concat(F.when(negative, "-").otherwise(""), padded)
 
 
-def snippet_contains_value(
-    snippet: Column, value_numeric: Column, value_text: Column, strict: bool = True
-) -> Column:
-    """Extraction-time check: is the value written in the cited snippet?
+def with_snippet_match(
+    df: DataFrame,
+    name: str,
+    snippet: Column,
+    value_numeric: Column,
+    value_text: Column,
+    strict: bool = True,
+) -> DataFrame:
+    """Extraction-time check: add whether the value is written in the cited snippet.
 
     Numbers are looked for with 0, 1 and 2 decimals, without separators, in the snippet
     without commas and spaces; text by case-insensitive containment. ``strict=False`` also
     takes dots and every other kind of white space out of the snippet.
     """
-    number = value_numeric.cast("double")
     if strict:
         plain = F.translate(F.lower(snippet), ", ", "")
     else:
         plain = F.regexp_replace(F.lower(snippet), r"(?U)[.,'\s]", "")
+    staged = df.withColumns(
+        {
+            "__plain": plain,
+            "__size": F.abs(value_numeric.cast("double")),
+            "__negative": value_numeric < 0,
+            "__text_hit": F.contains(F.lower(snippet), F.lower(value_text)),
+            "__is_text": value_text.isNotNull(),
+        }
+    )
+    rounded = with_exact_units(staged, {f"__units_{k}": ("__size", k) for k in (0, 1, 2)})
+    forms = [_digits_only(F.col("__negative"), F.col(f"__units_{k}"), k) for k in (0, 1, 2)]
     numeric_hit = (
-        F.contains(plain, _digits_only(number, 0))
-        | F.contains(plain, _digits_only(number, 1))
-        | F.contains(plain, _digits_only(number, 2))
+        F.contains(F.col("__plain"), forms[0])
+        | F.contains(F.col("__plain"), forms[1])
+        | F.contains(F.col("__plain"), forms[2])
     )
-    return (
-        F.when(number.isNotNull(), numeric_hit)
-        .when(value_text.isNotNull(), F.contains(F.lower(snippet), F.lower(value_text)))
+    found = (
+        F.when(F.col("__size").isNotNull(), numeric_hit)
+        .when(F.col("__is_text"), F.col("__text_hit"))
         .otherwise(F.lit(False))
     )
+    return rounded.withColumn(name, found).drop(
+        "__plain", "__size", "__negative", "__text_hit", "__is_text",
+        *[f"__units_{k}" for k in (0, 1, 2)],
+    )
 
 
 def value_missing_from_source(

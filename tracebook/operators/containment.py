@@ -7,49 +7,67 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_WHITE_SPACE = r"[ \t\n\r\f]+"
-_RUN_LENGTHS = (1, 2, 4)
-_GRAM_LENGTHS = (1, 2, 3)
-
-
-def _units(tokens: Column, length: int) -> Column:
-    """Hashes of all runs of ``length`` neighbouring array elements."""
-    last = F.size(tokens) - length + 1
-    starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(
-        starts, lambda i: F.xxhash64(F.lit(length), F.array_join(F.slice(tokens, i, length), "\u0001"))
-    )
+_WORD_RUNS = (1, 4)
+_CHARACTER_RUNS = (1, 2, 3)
 
 
 def _words(text: Column) -> Column:
-    return F.split(text, _WHITE_SPACE)
+    return F.split(text, r"[ \t\n\r\f]+")
 
 
 def _characters(text: Column) -> Column:
     return F.split(text, "")
 
 
-def _largest(size: Column, lengths: tuple[int, ...]) -> Column:
-    """The largest of the lengths that fits."""
-    result = F.lit(lengths[0])
-    for length in lengths[1:]:
-        result = F.when(size >= length, length).otherwise(result)
-    return result
+def _run_hash(run: list[Column]) -> Column:
+    """Hash of a run of tokens; its length is part of the hash."""
+    return F.xxhash64(F.lit(len(run)), *run)
 
 
-def _candidates(
-    texts: DataFrame,
-    anchors: DataFrame,
-    text_id: str,
-    passage_id: str,
-    tokens: Callable[[Column], Column],
-    lengths: tuple[int, ...],
+def _anchored_texts(
+    texts: DataFrame, text_id: str, tokens: Callable[[Column], Column], lengths: tuple[int, ...]
 ) -> DataFrame:
-    """(text, passage) pairs that share the passage's anchor."""
+    """``text_id, __anchor``: hashes of all runs of the given lengths in every text."""
+    longest = max(lengths)
     cut = texts.select(text_id, tokens(F.col("__lower")).alias("__tokens"))
-    units = F.concat(*[_units(F.col("__tokens"), n) for n in lengths])
-    listed = cut.select(text_id, F.explode(F.array_distinct(units)).alias("__anchor"))
-    return listed.join(anchors, "__anchor").select(text_id, passage_id)
+    shifted = [
+        F.slice("__tokens", offset + 1, F.greatest(F.size("__tokens") - offset, F.lit(0))).alias(
+            f"t{offset}"
+        )
+        for offset in range(longest)
+    ]
+    neighbours = cut.select(text_id, F.inline(F.arrays_zip(*shifted)))
+    hashes = F.array(
+        *[
+            F.when(
+                F.col(f"t{n - 1}").isNotNull(), _run_hash([F.col(f"t{i}") for i in range(n)])
+            )
+            for n in lengths
+        ]
+    )
+    return neighbours.select(text_id, F.explode(hashes).alias("__anchor")).where(
+        F.col("__anchor").isNotNull()
+    )
+
+
+def _anchor_of(tokens: Column, lengths: tuple[int, ...]) -> Column:
+    """Hash of the passage's anchor: of the longest runs that fit, the one with most text."""
+
+    def best(n: int) -> Column:
+        runs = F.transform(
+            F.sequence(F.lit(1), F.size(tokens) - n + 1),
+            lambda start: F.struct(
+                F.length(F.array_join(F.slice(tokens, start, n), "")).alias("chars"),
+                F.slice(tokens, start, n).alias("run"),
+            ),
+        )
+        run = F.array_max(runs)["run"]
+        return _run_hash([F.get(run, F.lit(i)) for i in range(n)])
+
+    anchor = F.when(F.size(tokens) >= lengths[0], best(lengths[0]))
+    for n in lengths[1:]:
+        anchor = F.when(F.size(tokens) >= n, best(n)).otherwise(anchor)
+    return anchor
 
 
 def containment_pairs(
@@ -64,53 +82,35 @@ def containment_pairs(
 
     Exact, without comparing every text with every passage. The inner words of a passage
     (all but the first and the last) have white space on both sides, so a text that
-    contains the passage contains them as whole words. One run of up to four inner words,
-    the longest in characters, is the passage's anchor; texts and passages meet on the hash
-    of that run and ``contains`` decides. Passages of one or two words have no inner word;
-    they meet on a run of up to three characters instead.
+    contains the passage contains them as whole words. A run of four inner words (or one
+    word, if there are fewer than four) is the passage's anchor; texts and passages meet on
+    the hash of that run, as narrow rows of ids, and ``contains`` decides. Passages of one or
+    two words have no inner word; they meet on a run of up to three characters instead.
     """
     lowered = texts.select(text_id, F.lower(F.col(text)).alias("__lower"))
     sought = passages.select(passage_id, F.lower(F.col(passage)).alias("__passage"))
-
     words = _words(F.col("__passage"))
     inner = sought.withColumn(
         "__inner",
-        F.when(F.size(words) > 2, F.slice(words, 2, F.size(words) - 2)).otherwise(
-            F.array().cast("array<string>")
-        ),
+        F.when(F.size(words) > 2, F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))),
     )
-
-    run = _largest(F.size("__inner"), _RUN_LENGTHS)
-    last = F.size("__inner") - run + 1
-    runs = F.transform(
-        F.sequence(F.lit(1), last), lambda i: F.slice(F.col("__inner"), i, run)
-    )
-    by_size = F.transform(
-        runs, lambda r: F.struct(F.length(F.array_join(r, "")).alias("chars"), r.alias("run"))
-    )
-    long_anchor = F.array_max(by_size)["run"]
-    long_passages = inner.where(F.size("__inner") > 0).select(
-        passage_id,
-        F.xxhash64(F.size(long_anchor), F.array_join(long_anchor, "\u0001")).alias("__anchor"),
+    by_words = inner.where(F.col("__inner").isNotNull()).select(
+        passage_id, _anchor_of(F.col("__inner"), _WORD_RUNS).alias("__anchor")
     )
-    pairs = _candidates(lowered, long_passages, text_id, passage_id, _words, _RUN_LENGTHS)
+    pairs = _anchored_texts(lowered, text_id, _words, _WORD_RUNS).join(by_words, "__anchor")
 
-    letters = F.slice(
-        _characters(F.col("__passage")),
-        F.lit(1),
-        _largest(F.length("__passage"), _GRAM_LENGTHS),
-    )
-    short = inner.where((F.size("__inner") == 0) & (F.length("__passage") > 0))
+    short = inner.where(F.col("__inner").isNull() & (F.length("__passage") > 0))
     if not short.isEmpty():
-        short_passages = short.select(
-            passage_id, F.xxhash64(F.size(letters), F.array_join(letters, "\u0001")).alias("__anchor")
-        )
-        pairs = pairs.unionByName(
-            _candidates(lowered, short_passages, text_id, passage_id, _characters, _GRAM_LENGTHS)
+        letters = _characters(F.col("__passage"))
+        by_letters = short.select(
+            passage_id, _anchor_of(letters, _CHARACTER_RUNS).alias("__anchor")
         )
+        runs = _anchored_texts(lowered, text_id, _characters, _CHARACTER_RUNS)
+        pairs = pairs.unionByName(runs.join(by_letters, "__anchor"))
 
+    candidates = pairs.select(text_id, passage_id).distinct()
     return (
-        pairs.join(sought, passage_id)
+        candidates.join(sought, passage_id)
         .join(lowered, text_id)
         .where(F.contains(F.col("__lower"), F.col("__passage")))
         .select(text_id, passage_id)

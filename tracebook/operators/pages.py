@@ -23,7 +23,7 @@ PAGE_BREAK = "\n\n"
 
 
 def page_header(page: Column) -> Column:
-    return F.format_string("[page %d]", page)
+    return F.concat(F.lit("[page "), page.cast("string"), F.lit("]"))
 
 
 def page_rows(pages: DataFrame, max_pages: int | None = MAX_PAGES) -> DataFrame:
@@ -65,7 +65,7 @@ def assemble_reports(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
 
 
 def _joined_in_order(entry: Column, field: str, separator: str) -> Column:
-    ordered = F.array_sort(F.collect_list(entry))
+    ordered = F.sort_array(F.collect_list(entry))
     return F.array_join(F.transform(ordered, lambda e: e[field]), separator)
 
 
@@ -194,14 +194,14 @@ def topic_excerpts(
     report.
     """
     header = page_header(F.col("page"))
-    chunks = pages.select(
+    chunk = F.concat(header, F.lit("\n"), F.coalesce("text", F.lit("")), F.lit(PAGE_BREAK))
+    # a filter is not pushed through a generator, so the text is lower-cased once per page
+    # and not once more for every keyword in the filter below
+    searched = pages.select(
         "report_id",
         "page",
-        F.concat(header, F.lit("\n"), F.coalesce("text", F.lit("")), F.lit(PAGE_BREAK)).alias(
-            "chunk"
-        ),
+        F.inline(F.array(F.struct(chunk.alias("chunk"), F.lower(chunk).alias("__lower")))),
     )
-    searched = chunks.withColumn("__lower", F.lower("chunk"))
     flagged = searched.withColumns(
         {f"__hit_{topic}": contains_any(F.col("__lower"), words) for topic, words in topics.items()}
     ).drop("__lower")
@@ -267,7 +267,7 @@ def topic_excerpts(
 
 
 def _in_order(column: str, separator: str) -> Column:
-    return F.array_join(F.transform(F.array_sort(F.col(column)), lambda e: e["chunk"]), separator)
+    return F.array_join(F.transform(F.sort_array(F.col(column)), lambda e: e["chunk"]), separator)
 
 
 # ---- prompts -----------------------------------------------------------------------

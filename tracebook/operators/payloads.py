@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tracebook.fixed_values import MODELS
 from tracebook.functions.keys import parent_code
 from tracebook.functions.rules import record_rules, violations
-from tracebook.functions.scoring import confidence, pseudo_logprob, snippet_contains_value
+from tracebook.functions.scoring import pseudo_logprob, with_confidence, with_snippet_match
 from tracebook.operators.picks import first_per_key
 from tracebook.schemas import RAW, VALUE_TYPE
 
@@ -20,8 +20,8 @@ _INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 _NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
-def payload_items(payload: Column) -> Column:
-    """The list under ``metrics`` as variants, null for an unacceptable payload.
+def with_payload_items(df: DataFrame, payload: Column, name: str) -> DataFrame:
+    """Add the list under ``metrics`` as variants, null for an unacceptable payload.
 
     The payload must be a JSON object. A missing list is an empty one; an explicit null or
     anything else that is not a list is refused.
@@ -29,90 +29,108 @@ def payload_items(payload: Column) -> Column:
     # within brackets, text behind the object is an error instead of being overlooked
     bracketed = F.try_parse_json(F.concat(F.lit("["), payload, F.lit("]")))
     values = F.try_variant_get(bracketed, "$", _LIST)
-    fields = F.when(F.size(values) == 1, F.try_variant_get(values[0], "$", _OBJECT))
-    listed = F.try_variant_get(F.element_at(fields, "metrics"), "$", _LIST)
-    missing = ~F.array_contains(F.map_keys(fields), "metrics")
-    return F.when(missing, F.array().cast(_LIST)).otherwise(listed)
-
+    fields = F.when(
+        F.size("__values") == 1, F.try_variant_get(F.get("__values", F.lit(0)), "$", _OBJECT)
+    )
+    listed = F.try_variant_get(F.element_at("__fields", "metrics"), "$", _LIST)
+    missing = ~F.array_contains(F.map_keys("__fields"), "metrics")
+    items = F.when(missing, F.array().cast(_LIST)).otherwise(listed)
+    staged = df.withColumn("__values", values).withColumn("__fields", fields)
+    return staged.withColumn(name, items).drop("__values", "__fields")
 
-def _field(item: Column, name: str, kind: str = "string") -> Column:
-    """A field in the given type; null when missing, null or not convertible."""
-    return F.try_variant_get(item, f"$.{name}", kind)
 
+def _raw_fields(item: Column) -> Column:
+    """Every field of a list entry read once, in the types the coercion looks at."""
 
-def _present(item: Column, name: str) -> Column:
-    return F.try_variant_get(item, f"$.{name}", "variant").isNotNull()
+    def kind(name: str) -> Column:
+        """Type name of the field: VOID for an explicit null, null when missing."""
+        return F.schema_of_variant(F.try_variant_get(item, f"$.{name}", "variant"))
 
+    def text(name: str) -> Column:
+        return F.try_variant_get(item, f"$.{name}", "string")
 
-def _kind(item: Column, name: str) -> Column:
-    """Type name of the field: VOID for an explicit null, null when missing."""
-    return F.schema_of_variant(F.try_variant_get(item, f"$.{name}", "variant"))
+    def number(name: str) -> Column:
+        return F.try_variant_get(item, f"$.{name}", "double")
 
+    return F.struct(
+        F.startswith(F.schema_of_variant(item), F.lit("OBJECT")).alias("is_object"),
+        kind("source_page").alias("page_kind"),
+        text("source_page").alias("page_text"),
+        number("source_page").alias("page_number"),
+        kind("model_confidence").alias("rating_kind"),
+        text("model_confidence").alias("rating_text"),
+        number("model_confidence").alias("rating_number"),
+        kind("value_numeric").alias("number_kind"),
+        number("value_numeric").alias("value_numeric"),
+        kind("value_text").alias("text_kind"),
+        text("value_text").alias("value_text"),
+        text("unit").alias("unit"),
+        text("source_snippet").alias("source_snippet"),
+        text("esrs_disclosure").alias("esrs_disclosure"),
+        text("metric_name").alias("metric_name"),
+    )
 
-def item_fields(item: Column) -> Column:
-    """Coerced fields of one list entry, with ``sound`` false if a coercion fails.
 
-    Page and rating may be numbers or number texts, a fractional page number is cut; names,
-    codes and quotes may be anything but null; the numeric value must be a number and the
-    text value a text, or either may be null or missing. A rating that is missing counts as
-    unknown, a rating that is null makes the entry unsound.
-    """
-    page_text = _field(item, "source_page")
-    page_kind = _kind(item, "source_page")
+def _coerced(raw: Column) -> Column:
+    """Typed fields of one entry, with ``sound`` false if a coercion fails."""
     page = F.when(
-        page_kind == "STRING",
-        F.when(page_text.rlike(_INTEGER_TEXT), F.trim(page_text).try_cast("int")),
-    ).otherwise(_field(item, "source_page", "double").try_cast("int"))
-
-    rating_kind = _kind(item, "model_confidence")
-    rating_text = _field(item, "model_confidence")
+        raw["page_kind"] == "STRING",
+        F.when(raw["page_text"].rlike(_INTEGER_TEXT), F.trim(raw["page_text"]).try_cast("int")),
+    ).otherwise(raw["page_number"].try_cast("int"))
     rating = F.when(
-        rating_kind == "STRING",
-        F.when(rating_text.rlike(_NUMBER_TEXT), F.trim(rating_text).try_cast("double")),
-    ).otherwise(_field(item, "model_confidence", "double"))
-
-    number_kind = F.coalesce(_kind(item, "value_numeric"), F.lit("VOID"))
-    text_kind = F.coalesce(_kind(item, "value_text"), F.lit("VOID"))
-    number = _field(item, "value_numeric", "double")
+        raw["rating_kind"] == "STRING",
+        F.when(raw["rating_text"].rlike(_NUMBER_TEXT), F.trim(raw["rating_text"]).try_cast("double")),
+    ).otherwise(raw["rating_number"])
+    no_number = F.coalesce(raw["number_kind"], F.lit("VOID")) == "VOID"
     sound = (
-        F.try_variant_get(item, "$", _OBJECT).isNotNull()
+        raw["is_object"]
         & page.isNotNull()
-        & (rating_kind.isNull() | rating.isNotNull())
-        & _field(item, "source_snippet").isNotNull()
-        & _field(item, "esrs_disclosure").isNotNull()
-        & _field(item, "metric_name").isNotNull()
-        & ((number_kind == "VOID") | (number.isNotNull() & (number_kind != "STRING")))
-        & text_kind.isin("VOID", "STRING")
+        & (raw["rating_kind"].isNull() | rating.isNotNull())
+        & raw["source_snippet"].isNotNull()
+        & raw["esrs_disclosure"].isNotNull()
+        & raw["metric_name"].isNotNull()
+        & (no_number | (raw["value_numeric"].isNotNull() & (raw["number_kind"] != "STRING")))
+        & F.coalesce(raw["text_kind"], F.lit("VOID")).isin("VOID", "STRING")
     )
     return F.struct(
-        parent_code(_field(item, "esrs_disclosure")).alias("esrs_disclosure"),
-        _field(item, "metric_name").alias("metric_name"),
-        number.alias("value_numeric"),
-        _field(item, "value_text").alias("value_text"),
-        _field(item, "unit").alias("unit"),
+        parent_code(raw["esrs_disclosure"]).alias("esrs_disclosure"),
+        *[raw[c].alias(c) for c in ("metric_name", "value_numeric", "value_text", "unit")],
         rating.alias("model_confidence"),
         page.alias("source_page"),
-        _field(item, "source_snippet").alias("source_snippet"),
+        raw["source_snippet"].alias("source_snippet"),
         F.coalesce(sound, F.lit(False)).alias("sound"),
     )
 
 
+def coerced_items(items: Column) -> Column:
+    """Coerced entries of a payload's list.
+
+    Page and rating may be numbers or number texts, a fractional page number is cut; names,
+    codes and quotes may be anything but null; the numeric value must be a number and the
+    text value a text, or either may be null or missing. A rating that is missing counts as
+    unknown, a rating that is null makes the entry unsound.
+    """
+    return F.transform(F.transform(items, _raw_fields), _coerced)
+
+
 def score_records(df: DataFrame, structural: Column | None = None) -> DataFrame:
     """Add ``confidence_score`` from rating, quote and language agreement.
 
     ``language_match`` is read from the input if there, and taken for true otherwise.
     """
     language_match = F.col("language_match") if "language_match" in df.columns else F.lit(True)
-    cited = snippet_contains_value(
-        F.col("source_snippet"), F.col("value_numeric"), F.col("value_text")
+    cited = with_snippet_match(
+        df, "__cited_ok", F.col("source_snippet"), F.col("value_numeric"), F.col("value_text")
     )
-    score = confidence(
+    scored = with_confidence(
+        cited,
+        "confidence_score",
         pseudo_logprob(F.col("model_confidence")),
         F.lit(True) if structural is None else structural,
-        cited,
+        F.col("__cited_ok"),
         language_match,
     )
-    return df.withColumn("confidence_score", score)
+    return scored.drop("__cited_ok")
 
 
 def judged_attempts(payloads: DataFrame, companies: DataFrame, fiscal_year: int) -> DataFrame:
@@ -124,10 +142,8 @@ def judged_attempts(payloads: DataFrame, companies: DataFrame, fiscal_year: int)
     """
     company = companies.select("report_id", "ticker", "language")
     stamped = payloads.join(company, "report_id")
-    parsed = stamped.withColumn("__items", payload_items(F.col("payload")))
-    coerced = parsed.withColumn(
-        "records", F.transform(F.col("__items"), item_fields)
-    )
+    parsed = with_payload_items(stamped, F.col("payload"), "__items")
+    coerced = parsed.withColumn("records", coerced_items(F.col("__items")))
 
     def entry_ok(entry: Column) -> Column:
         """The record rules that depend on the entry, applied inside the array."""

@@ -40,7 +40,7 @@ def nested_documents(
     )
     part = F.floor(F.col("__number") / part_size).cast("long")
     entries = F.transform(
-        F.array_sort(F.collect_list("__item")), lambda e: e["entry"]
+        F.sort_array(F.collect_list("__item")), lambda e: e["entry"]
     )
     return (
         numbered.select(key, part.alias("part"), item.alias("__item"))
@@ -88,7 +88,7 @@ def snapshot_header(companies: DataFrame, fiscal_year: int, warehouse: str) -> D
     The registry holds at most a few hundred companies, so its array fits one row.
     """
     entry = F.struct("ticker", "name", "sector", "country", "language")
-    listed = companies.agg(F.array_sort(F.collect_list(entry)).alias("companies"))
+    listed = companies.agg(F.sort_array(F.collect_list(entry)).alias("companies"))
     header = F.struct(
         F.lit(fiscal_year).alias("fiscalYear"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias(

@@ -17,7 +17,7 @@ from tracebook.operators.picks import first_per_key, latest_per_key, preferred_f
 from tracebook.operators.snapshot import nested_documents
 from tracebook.plans.tables import table
 from tracebook.schemas import SCORE_TYPE
-from tracebook.sources.scans import admitted_files
+from tracebook.sources.scans import admitted_files, spread_small
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,9 +60,8 @@ def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_per_key(
-        table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate"
-    )
+    lines = spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    return latest_per_key(lines, ["l_orderkey", "l_linenumber"], "l_shipdate")
 
 
 def judged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,7 +357,7 @@ def unit_interval_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def value_in_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select(
+    events = spread_small(table(spark, sf_dir, "events"), "event_id").select(
         "event_id",
         F.when(F.col("event_type") != "view", F.col("value").cast("decimal(28,6)")).alias("number"),
         F.when(F.col("event_type") == "view", F.upper(F.substring("props", 3, 1))).alias("word"),
@@ -370,13 +369,12 @@ def value_in_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def snippet_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    events = spread_small(table(spark, sf_dir, "events"), "event_id")
     snippet = F.concat(F.lit("Total, "), F.col("props"))
     number = F.when(F.col("event_type") != "view", F.col("value") / 8)
     word = F.when(F.col("event_type") == "view", F.lit("K"))
-    return events.select(
-        "event_id", scoring.snippet_contains_value(snippet, number, word).alias("found")
-    )
+    checked = scoring.with_snippet_match(events, "found", snippet, number, word)
+    return checked.select("event_id", "found")
 
 
 # ---- text ----------------------------------------------------------------------------
@@ -385,11 +383,12 @@ def snippet_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def passage_in_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     passages = table(spark, sf_dir, "benchmark").withColumnRenamed("text", "passage")
-    return containment_pairs(table(spark, sf_dir, "documents"), passages, "doc_id", "item_id")
+    documents = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return containment_pairs(documents, passages, "doc_id", "item_id")
 
 
 def line_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
+    documents = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     lines = documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
     return lines.select(
         F.col("doc_id").alias("report_id"), (F.col("line") + 1).alias("page"), "text"
@@ -461,7 +460,7 @@ def prompt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def payload_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event's JSON as a one-entry payload, parsed and coerced."""
-    events = table(spark, sf_dir, "events")
+    events = spread_small(table(spark, sf_dir, "events"), "event_id")
     payload = F.concat(
         F.lit('{"metrics":[{"source_page":'),
         F.when(F.col("event_type") == "view", F.lit('"12"')).otherwise(F.lit("12.7")),
@@ -472,16 +471,19 @@ def payload_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("}]"),
         F.when(F.col("event_type") == "click", F.lit("")).otherwise(F.lit("}")),
     )
-    items = events.select("event_id", payloads.payload_items(payload).alias("items"))
-    entry = payloads.item_fields(F.get("items", F.lit(0)))
-    parsed = items.select("event_id", F.col("items").isNotNull().alias("is_list"), entry.alias("e"))
+    items = payloads.with_payload_items(events, payload, "items")
+    parsed = items.select(
+        "event_id",
+        F.col("items").isNotNull().alias("is_list"),
+        F.get(payloads.coerced_items(F.col("items")), F.lit(0)).alias("e"),
+    )
     return parsed.select(
         "event_id",
         "is_list",
         F.coalesce("e.esrs_disclosure", F.lit("none")).alias("code"),
         F.coalesce("e.source_page", F.lit(-1)).alias("page"),
         F.coalesce("e.value_numeric", F.lit(-1.0)).alias("number"),
-        F.col("e.sound").alias("sound"),
+        F.coalesce("e.sound", F.lit(False)).alias("sound"),
     )
 
 
@@ -574,13 +576,15 @@ def confidence_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     docs = documents.join(table(spark, sf_dir, "labels"), "doc_id", "left")
     rating = F.when(F.col("source") != "src3", F.col("n_chars") / 3000.0)
-    score = scoring.confidence(
+    scored = scoring.with_confidence(
+        docs,
+        "exact_score",
         scoring.pseudo_logprob(rating),
         F.coalesce(F.col("toxic"), F.lit(0)) == 0,
         F.coalesce(F.col("quality"), F.lit(1)) == 1,
         F.col("lang").isin("fr", "en"),
     )
-    return docs.select("doc_id", score.cast("double").alias("score"))
+    return scored.select("doc_id", F.col("exact_score").cast("double").alias("score"))
 
 
 @query
@@ -591,7 +595,7 @@ def parent_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def display_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    events = spread_small(table(spark, sf_dir, "events"), "event_id")
     cents = F.col("value").cast("decimal(12,2)")
     number = F.when(F.col("event_type") == "click", cents * 37).when(
         F.col("event_type") == "purchase", cents

@@ -17,6 +17,7 @@ def local_session(app: str = "tracebook", cores: int | str = "*", **extra: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)

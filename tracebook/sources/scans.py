@@ -17,6 +17,20 @@ def reference_list(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
+#: a scan below this size is too small to be worth keeping in few tasks
+SMALL_SCAN_BYTES = 64 * 1024 * 1024
+
+
+def spread_small(df: DataFrame, *columns: str) -> DataFrame:
+    """Spread a small scan by hash over all tasks; leave any other scan as it is.
+
+    A small file is mostly one row group, which a single task would read and then also
+    process alone. Large tables have enough splits and are not shuffled for this.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(*columns) if int(size) < SMALL_SCAN_BYTES else df
+
+
 def registry(spark: SparkSession, path: str) -> DataFrame:
     """Company registry; refuses a list that is empty, too long, or has a bad entry."""
     entries = reference_list(spark, path, REGISTRY).cache()
