@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tests.test_star import landing
+from tests.test_star import landing, lists
 from tracebook.operators.picks import latest_per_key
+from tracebook.plans.disclosures import build, refresh
 from tracebook.schemas import COMPANIES, PERIODS, RAW
 from tracebook.sources import scans, sinks
 from tracebook.streaming import landing as stream
@@ -95,6 +96,17 @@ def test_layers_tables_and_views(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "snap" / "companies")).count() == 1
 
 
+def test_refresh_stores_the_star(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS refreshed")
+    lazy = build(landing(spark), *lists(spark))
+    for _ in range(2):  # a second refresh replaces the first
+        stored = refresh(landing(spark), *lists(spark), "refreshed")
+    for part in ("companies", "metrics", "periods", "fact", "published", "review"):
+        assert rows(getattr(stored, part)) == rows(getattr(lazy, part)), part
+    assert rows(spark.table("refreshed.mart_disclosure_published")) == rows(lazy.published)
+    assert spark.table("stg_disclosure").count() == 7
+
+
 def test_landed_file_admission(spark, tmp_path):
     for name, body in {"AA.X-2024": b"%PDF-1.7 x", "BB.X-2024": b"<html>", "CC.X-2024": b"",
                        "DD.X-2024": b"%PDF-old", "EE.X-2024": b"%PDF-again"}.items():

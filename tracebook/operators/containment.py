@@ -88,14 +88,16 @@ def containment_pairs(
     two words have no inner word; they meet on a run of up to three characters instead.
     """
     lowered = texts.select(text_id, F.lower(F.col(text)).alias("__lower"))
-    sought = passages.select(passage_id, F.lower(F.col(passage)).alias("__passage"))
+    members = passages.select(passage_id, F.lower(F.col(passage)).alias("__passage"))
+    # equal passages are sought once, under one of their ids
+    sought = members.groupBy("__passage").agg(F.min(passage_id).alias("__one"))
     words = _words(F.col("__passage"))
     inner = sought.withColumn(
         "__inner",
         F.when(F.size(words) > 2, F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))),
     )
     by_words = inner.where(F.col("__inner").isNotNull()).select(
-        passage_id, _anchor_of(F.col("__inner"), _WORD_RUNS).alias("__anchor")
+        "__one", _anchor_of(F.col("__inner"), _WORD_RUNS).alias("__anchor")
     )
     pairs = _anchored_texts(lowered, text_id, _words, _WORD_RUNS).join(by_words, "__anchor")
 
@@ -103,15 +105,16 @@ def containment_pairs(
     if not short.isEmpty():
         letters = _characters(F.col("__passage"))
         by_letters = short.select(
-            passage_id, _anchor_of(letters, _CHARACTER_RUNS).alias("__anchor")
+            "__one", _anchor_of(letters, _CHARACTER_RUNS).alias("__anchor")
         )
         runs = _anchored_texts(lowered, text_id, _characters, _CHARACTER_RUNS)
         pairs = pairs.unionByName(runs.join(by_letters, "__anchor"))
 
-    candidates = pairs.select(text_id, passage_id).distinct()
-    return (
-        candidates.join(sought, passage_id)
+    candidates = pairs.select(text_id, "__one").distinct()
+    found = (
+        candidates.join(sought, "__one")
         .join(lowered, text_id)
         .where(F.contains(F.col("__lower"), F.col("__passage")))
-        .select(text_id, passage_id)
+        .select(text_id, "__passage")
     )
+    return found.join(members, "__passage").select(text_id, passage_id)

@@ -9,6 +9,41 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Null-safe equality of column pairs."""
+    pairs = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)]
+    return reduce(lambda a, b: a & b, pairs)
+
+
+def _block_shifts(sizes: DataFrame, keys: list[str], depths: list[str]) -> DataFrame:
+    """Per finest block the number of rows in all earlier blocks of its group.
+
+    Works on block sizes only, level by level, so that no window sees more rows than a
+    coarser block has finer ones.
+    """
+    shifts = sizes.withColumn("__shift", F.lit(0).cast("long"))
+    for level in range(len(depths), 0, -1):
+        parents, block = [*keys, *depths[: level - 1]], depths[level - 1]
+        window = (
+            Window.partitionBy(*parents).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+        )
+        before = F.coalesce(F.sum("__size").over(window), F.lit(0)).alias("__before")
+        if level == len(depths):
+            shifts = sizes.withColumn("__shift", before)
+            continue
+        names = [f"__level_{c}" for c in (*parents, block)]
+        totals = sizes.groupBy(*parents, block).agg(F.sum("__size").alias("__size"))
+        level_shifts = totals.withColumn("__before", before).select(
+            *[F.col(c).alias(n) for c, n in zip((*parents, block), names)], "__before"
+        )
+        shifts = (
+            shifts.join(level_shifts, _same((*parents, block), names))
+            .withColumn("__shift", F.col("__shift") + F.col("__before"))
+            .drop("__before", *names)
+        )
+    return shifts.drop("__size")
+
+
 def number_within(
     df: DataFrame,
     keys: Sequence[str],
@@ -22,26 +57,22 @@ def number_within(
     with ``order_by`` (such as ``floor(id / 4096)`` for rows ordered by ``id``). A group is
     numbered block by block and shifted by the running size of the earlier blocks. Only
     block sizes, counted before the shuffle, are brought together per group; the rows of a
-    hot group stay spread over its blocks.
+    hot group stay spread over its blocks and are shuffled once.
     """
     if not blocks:
         window = Window.partitionBy(*keys).orderBy(*order_by)
         return df.withColumn(name, (F.row_number().over(window) - 1).cast("long"))
 
-    depth = f"__block_{len(blocks)}"
-    blocked = df.withColumn(depth, blocks[0])
-    inner_keys = [*keys, depth]
-    earlier = Window.partitionBy(*keys).orderBy(depth).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = blocked.groupBy(*inner_keys).agg(F.count(F.lit(1)).alias("__size"))
-    shifts = sizes.select(
-        *[F.col(k).alias(f"__shift_{k}") for k in inner_keys],
-        F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__shift"),
-    )
-    numbered = number_within(blocked, inner_keys, order_by, name, blocks[1:])
-    same_block = reduce(
-        lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"__shift_{k}")) for k in inner_keys],
-    )
-    return numbered.join(shifts, same_block).select(
-        *df.columns, (F.col(name) + F.col("__shift")).cast("long").alias(name)
+    depths = [f"__block_{i}" for i in range(len(blocks))]
+    blocked = df.withColumns(dict(zip(depths, blocks)))
+    finest = [*keys, *depths]
+    sizes = blocked.groupBy(*finest).agg(F.count(F.lit(1)).alias("__size"))
+    shifts = _block_shifts(sizes, list(keys), depths)
+    shifted = [f"__of_{c}" for c in finest]
+    renamed = shifts.select(*[F.col(c).alias(s) for c, s in zip(finest, shifted)], "__shift")
+
+    window = Window.partitionBy(*finest).orderBy(*order_by)
+    local = blocked.withColumn("__local", F.row_number().over(window) - 1)
+    return local.join(renamed, _same(finest, shifted)).select(
+        *df.columns, (F.col("__local") + F.col("__shift")).cast("long").alias(name)
     )

@@ -11,6 +11,7 @@ from tracebook.fixed_values import MODELS
 from tracebook.functions.keys import parent_code
 from tracebook.functions.rules import record_rules, violations
 from tracebook.functions.scoring import pseudo_logprob, with_confidence, with_snippet_match
+from tracebook.operators.joins import stamp_company
 from tracebook.operators.picks import first_per_key
 from tracebook.schemas import RAW, VALUE_TYPE
 
@@ -133,16 +134,13 @@ def score_records(df: DataFrame, structural: Column | None = None) -> DataFrame:
     return scored.drop("__cited_ok")
 
 
-def judged_attempts(payloads: DataFrame, companies: DataFrame, fiscal_year: int) -> DataFrame:
+def judged_attempts(payloads: DataFrame) -> DataFrame:
     """One row per attempt with its coerced ``records`` and whether it is ``accepted``.
 
     One bad entry refuses the whole payload; an empty list is accepted. The entries are
     judged inside the payload's own row, so nothing is shuffled and empty payloads stay.
-    ``companies`` has ``report_id, ticker, name, language``.
     """
-    company = companies.select("report_id", "ticker", "language")
-    stamped = payloads.join(company, "report_id")
-    parsed = with_payload_items(stamped, F.col("payload"), "__items")
+    parsed = with_payload_items(payloads, F.col("payload"), "__items")
     coerced = parsed.withColumn("records", coerced_items(F.col("__items")))
 
     def entry_ok(entry: Column) -> Column:
@@ -167,9 +165,6 @@ def judged_attempts(payloads: DataFrame, companies: DataFrame, fiscal_year: int)
         "topic",
         "model",
         "priority",
-        "ticker",
-        "language",
-        F.lit(fiscal_year).cast("short").alias("fiscal_year"),
         "error",
         "records",
         F.coalesce(accepted, F.lit(False)).alias("accepted"),
@@ -209,12 +204,16 @@ def all_or_nothing(
 
 
 def scored_records(
-    chosen: DataFrame, extracted_at: Column | None = None
+    chosen: DataFrame, companies: DataFrame, fiscal_year: int, extracted_at: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Flat landing rows of the chosen attempts: (valid rows, rows that break a rule)."""
-    entries = chosen.select(
+    """Flat landing rows of the chosen attempts: (valid rows, rows that break a rule).
+
+    ``companies`` has ``report_id, ticker, name, language``; it is joined only after the
+    fallback has left one payload per work item.
+    """
+    entries = stamp_company(chosen, companies).select(
         F.col("ticker").alias("company_ticker"),
-        "fiscal_year",
+        F.lit(fiscal_year).cast("short").alias("fiscal_year"),
         F.col("topic").alias("esrs_topic"),
         "language",
         F.col("model").alias("extraction_model"),

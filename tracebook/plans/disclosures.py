@@ -24,6 +24,8 @@ from tracebook.operators.pages import page_rows, prompt_rows, topic_excerpts
 from tracebook.operators.payloads import attempt_outcomes, judged_attempts, scored_records
 from tracebook.operators.picks import latest_per_key
 from tracebook.schemas import SCORE_TYPE
+from tracebook.session import checkpointed
+from tracebook.sources.sinks import as_table
 
 
 def prompts(
@@ -59,8 +61,9 @@ def extraction(
     outcome; it failed if neither model gave an acceptable payload.
     """
     work = work_list(companies.select("report_id"), TOPICS)
-    outcomes = attempt_outcomes(work, judged_attempts(payloads, companies, fiscal_year))
-    rows, rejected = scored_records(outcomes.where(F.col("error").isNull()), extracted_at)
+    outcomes = attempt_outcomes(work, judged_attempts(payloads))
+    chosen = outcomes.where(F.col("error").isNull())
+    rows, rejected = scored_records(chosen, companies, fiscal_year, extracted_at)
     return Extraction(outcomes, rows, rejected)
 
 
@@ -106,6 +109,42 @@ def build(
     )
 
 
+def refresh(
+    raw: DataFrame,
+    companies: DataFrame,
+    catalogue: DataFrame,
+    periods: DataFrame,
+    database: str,
+    approvals: DataFrame | None = None,
+    threshold: float = CONFIDENCE_THRESHOLD,
+) -> Warehouse:
+    """Full refresh of the stored tables; staging stays a view.
+
+    Staging feeds the metric dimension and the fact, the wide fact feeds fact and marts;
+    both are stored before they are used again, so nothing above them is computed twice.
+    """
+    staged = checkpointed(latest_per_key(raw))
+    staged.createOrReplaceTempView("stg_disclosure")
+    company = as_table(star.company_dimension(companies), f"{database}.dim_company")
+    metric = as_table(star.metric_dimension(catalogue, staged), f"{database}.dim_metric")
+    period = as_table(star.period_dimension(periods), f"{database}.dim_period")
+    wide = checkpointed(star.wide_fact(staged, company, metric, period, approvals))
+    return Warehouse(
+        staged=staged,
+        companies=company,
+        metrics=metric,
+        periods=period,
+        wide=wide,
+        fact=as_table(star.fact(wide), f"{database}.fact_disclosure"),
+        published=as_table(
+            star.published_mart(wide, threshold), f"{database}.mart_disclosure_published"
+        ),
+        review=as_table(
+            star.review_mart(wide, threshold), f"{database}.mart_disclosure_review_queue"
+        ),
+    )
+
+
 def run_checks(
     warehouse: Warehouse,
     raw: DataFrame,

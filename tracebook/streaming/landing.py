@@ -33,9 +33,11 @@ def land_stream(records: DataFrame, table: str, rejects: str, checkpoint: str) -
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        valid, invalid = split_valid(flatten_records(batch), record_rules())
+        parsed = flatten_records(batch).persist()  # read by both writes
+        valid, invalid = split_valid(parsed, record_rules())
         valid.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
         invalid.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+        parsed.unpersist()
 
     return (
         records.writeStream.foreachBatch(land)
