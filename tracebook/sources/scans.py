@@ -19,6 +19,7 @@ def reference_list(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 #: a scan below this size is too small to be worth keeping in few tasks
 SMALL_SCAN_BYTES = 64 * 1024 * 1024
+_SPREAD_BYTES = 256 * 1024
 
 
 def spread_small(df: DataFrame, *columns: str) -> DataFrame:
@@ -27,8 +28,11 @@ def spread_small(df: DataFrame, *columns: str) -> DataFrame:
     A small file is mostly one row group, which a single task would read and then also
     process alone. Large tables have enough splits and are not shuffled for this.
     """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df.repartition(*columns) if int(size) < SMALL_SCAN_BYTES else df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size >= SMALL_SCAN_BYTES:
+        return df
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, size // _SPREAD_BYTES)
+    return df.repartition(tasks, *columns) if tasks > 1 else df
 
 
 def registry(spark: SparkSession, path: str) -> DataFrame:
