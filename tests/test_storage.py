@@ -66,6 +66,7 @@ def test_archive_round_trip(spark, tmp_path):
     records = scans.record_archive(spark, str(folder))
     sinks.write_archive(records, str(tmp_path / "out"))
     assert (tmp_path / "out" / "company_ticker=AA.X" / "fiscal_year=2024").is_dir()
+    assert rows(scans.archive_lines(spark, str(tmp_path / "out"))) == rows(records)
 
 
 def test_append_counts_and_reload(spark, tmp_path):

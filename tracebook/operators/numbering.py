@@ -3,45 +3,47 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _same(left: Sequence[str], right: Sequence[str]) -> Column:
-    """Null-safe equality of column pairs."""
-    pairs = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)]
-    return reduce(lambda a, b: a & b, pairs)
+_AT = "__at"
 
 
-def _block_shifts(sizes: DataFrame, keys: list[str], depths: list[str]) -> DataFrame:
+def _block_shifts(sizes: DataFrame, width: int, levels: int) -> DataFrame:
     """Per finest block the number of rows in all earlier blocks of its group.
 
-    Works on block sizes only, level by level, so that no window sees more rows than a
-    coarser block has finer ones.
+    ``sizes`` has the block's place ``__at`` (a struct of ``width`` key fields and one field
+    per level) and its ``__size``. Only sizes are looked at, level by level, so that no
+    window sees more rows than a coarser block has finer ones.
     """
-    shifts = sizes.withColumn("__shift", F.lit(0).cast("long"))
-    for level in range(len(depths), 0, -1):
-        parents, block = [*keys, *depths[: level - 1]], depths[level - 1]
+    fields = sizes.schema[_AT].dataType.fieldNames()
+
+    def prefix(length: int) -> Column:
+        return F.struct(*[F.col(_AT)[f] for f in fields[:length]])
+
+    def shifted(totals: DataFrame, place: str, depth: int, name: str) -> DataFrame:
         window = (
-            Window.partitionBy(*parents).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+            Window.partitionBy(F.struct(*[F.col(place)[f] for f in fields[:depth]]))
+            .orderBy(F.col(place)[fields[depth]])
+            .rowsBetween(Window.unboundedPreceding, -1)
         )
-        before = F.coalesce(F.sum("__size").over(window), F.lit(0)).alias("__before")
-        if level == len(depths):
-            shifts = sizes.withColumn("__shift", before)
-            continue
-        names = [f"__level_{c}" for c in (*parents, block)]
-        totals = sizes.groupBy(*parents, block).agg(F.sum("__size").alias("__size"))
-        level_shifts = totals.withColumn("__before", before).select(
-            *[F.col(c).alias(n) for c, n in zip((*parents, block), names)], "__before"
+        before = F.coalesce(F.sum("__size").over(window), F.lit(0)).cast("long")
+        return totals.select(place, before.alias(name))
+
+    shifts = shifted(sizes, _AT, width + levels - 1, "__shift")
+    for depth in range(width, width + levels - 1):
+        totals = sizes.groupBy(prefix(depth + 1).alias("__upto")).agg(
+            F.sum("__size").alias("__size")
         )
+        earlier = shifted(totals, "__upto", depth, "__before")
         shifts = (
-            shifts.join(level_shifts, _same((*parents, block), names))
-            .withColumn("__shift", F.col("__shift") + F.col("__before"))
-            .drop("__before", *names)
+            shifts.withColumn("__upto", prefix(depth + 1))
+            .join(earlier, "__upto")
+            .select(_AT, (F.col("__shift") + F.col("__before")).alias("__shift"))
         )
-    return shifts.drop("__size")
+    return shifts
 
 
 def number_within(
@@ -63,16 +65,15 @@ def number_within(
         window = Window.partitionBy(*keys).orderBy(*order_by)
         return df.withColumn(name, (F.row_number().over(window) - 1).cast("long"))
 
-    depths = [f"__block_{i}" for i in range(len(blocks))]
-    blocked = df.withColumns(dict(zip(depths, blocks)))
-    finest = [*keys, *depths]
-    sizes = blocked.groupBy(*finest).agg(F.count(F.lit(1)).alias("__size"))
-    shifts = _block_shifts(sizes, list(keys), depths)
-    shifted = [f"__of_{c}" for c in finest]
-    renamed = shifts.select(*[F.col(c).alias(s) for c, s in zip(finest, shifted)], "__shift")
-
-    window = Window.partitionBy(*finest).orderBy(*order_by)
-    local = blocked.withColumn("__local", F.row_number().over(window) - 1)
-    return local.join(renamed, _same(finest, shifted)).select(
+    # one struct as key: its null fields compare equal, and window, count and join share it
+    parts = [*[F.col(k) for k in keys], *blocks]
+    place = F.struct(*[part.alias(f"p{i}") for i, part in enumerate(parts)])
+    placed = df.withColumn(_AT, place)
+    sizes = placed.groupBy(_AT).agg(F.count(F.lit(1)).alias("__size"))
+    shifts = _block_shifts(sizes, len(keys), len(blocks))
+
+    window = Window.partitionBy(_AT).orderBy(*order_by)
+    local = placed.withColumn("__local", F.row_number().over(window) - 1)
+    return local.join(shifts, _AT).select(
         *df.columns, (F.col("__local") + F.col("__shift")).cast("long").alias(name)
     )

@@ -706,7 +706,7 @@ def sequence_in_group(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["o_custkey"],
         [F.col("o_orderdate").asc(), F.col("o_orderkey").asc()],
         "position",
-        [F.trunc("o_orderdate", "quarter"), F.to_date("o_orderdate")],
+        [F.to_date("o_orderdate")],
     )
     return numbered.select(
         "o_orderkey",

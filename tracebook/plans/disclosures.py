@@ -151,7 +151,10 @@ def run_checks(
     countries: tuple[str, ...],
     threshold: float = CONFIDENCE_THRESHOLD,
 ) -> DataFrame:
-    """All declared checks: ``table_name, check_name, failures, passed``."""
+    """All declared checks: ``table_name, check_name, failures, passed``.
+
+    Every check reads its table again; at scale, pass what ``refresh`` has stored.
+    """
     limit = F.lit(str(threshold)).cast(SCORE_TYPE)
     approved = warehouse.wide.select("disclosure_id", "human_approved")
     published = warehouse.published.join(approved, "disclosure_id")

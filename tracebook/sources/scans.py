@@ -64,6 +64,15 @@ def record_archive(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RECORD).option("multiLine", True).json(path)
 
 
+def archive_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Nested records from an archive of JSON lines, as ``sinks.write_archive`` leaves it.
+
+    Files of lines are split among tasks, and company and year are taken from the
+    directories, so that filters on them skip files.
+    """
+    return spark.read.schema(RECORD).json(path).select(*RECORD.fieldNames())
+
+
 def flatten_records(records: DataFrame) -> DataFrame:
     """Nested records as flat landing rows, 14 columns in fixed order."""
     sources = {

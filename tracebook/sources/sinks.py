@@ -45,9 +45,16 @@ def create_layers(spark: SparkSession, raw_schema: T.StructType) -> None:
 
 
 def write_clustered(
-    df: DataFrame, path: str, columns: tuple[str, ...] = NATURAL_KEY[:3], mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    columns: tuple[str, ...] = (*NATURAL_KEY, "extraction_timestamp"),
+    mode: str = "overwrite",
 ) -> None:
-    """Write files that each cover a narrow range of the key prefix, for data skipping."""
+    """Write files that each cover a narrow range of the key, for data skipping.
+
+    The range goes down to the extraction time, so that a ticker with very many rows is cut
+    into many files.
+    """
     df.repartitionByRange(*columns).sortWithinPartitions(*columns).write.mode(mode).parquet(path)
 
 
@@ -63,7 +70,7 @@ def as_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_archive(records: DataFrame, path: str, max_records: int = 100_000) -> None:
-    """JSON archive with one directory per company and year.
+    """JSON lines with one directory per company and year (see ``scans.archive_lines``).
 
     Rebalancing makes small groups one file each and cuts a large one into several.
     """
