@@ -16,7 +16,9 @@ from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
 from tests.test_star import landing, lists  # noqa: E402
 from tracebook.operators.picks import latest_per_key  # noqa: E402
 from tracebook.operators.snapshot import disclosure_documents  # noqa: E402
-from tracebook.plans.disclosures import build  # noqa: E402
+from tracebook.operators.pages import topic_excerpts  # noqa: E402
+from tracebook.plans.disclosures import build, extraction  # noqa: E402
+from tracebook.schemas import PAYLOADS  # noqa: E402
 from tracebook.sources import scans, sinks  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
@@ -103,3 +105,21 @@ def test_hot_key_gives_the_same_latest_row(spark):
     )
     got = latest_per_key(skewed.repartition(8), ["k"], "t").where("k = 0").first()
     assert got.t == 19998
+
+
+def test_payloads_are_parsed_and_scored_once(spark):
+    companies = spark.createDataFrame(
+        [("r", "AA.X", "Alpha", "en")],
+        "report_id string, ticker string, name string, language string",
+    )
+    payloads = spark.createDataFrame([("r", "E1", "m", 0, "{}", None)], PAYLOADS).repartition(2)
+    plan = physical(extraction(payloads, companies).rows)
+    assert plan.count("parseJson") == 1
+    assert plan.count("1.34217729E8") == 4  # two roundings, each naming the constant twice
+
+
+def test_page_text_is_lowered_once_for_all_topics(spark):
+    pages = spark.range(10).select(
+        F.lit("r").alias("report_id"), F.col("id").cast("int").alias("page"), F.lit("t").alias("text")
+    ).repartition(2)
+    assert physical(topic_excerpts(pages)).count("lower(") == 1

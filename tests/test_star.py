@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tracebook.operators import quality, star
 from tracebook.operators.picks import first_per_key, latest_per_key, preferred_first, top_one
-from tracebook.plans.disclosures import build, run_checks
+from tracebook.plans.disclosures import build, run_checks, seed_report
 from tracebook.schemas import APPROVALS, COMPANIES, METRICS, PERIODS, RAW
 
 PRIMARY, SECONDARY = "claude-sonnet-4-6", "mistral-large-latest"
@@ -163,6 +163,17 @@ def test_seed_expectations(spark):
         ("columns(companies)", 1, False), ("row_count(companies)", 8, False), ("unique(ticker)", 1, False)]
 
 
+def test_seed_report(spark):
+    companies, catalogue, periods = lists(spark)
+    report = {r.check_name: r.failures for r in seed_report(companies, catalogue, periods).collect()}
+    assert report == {
+        "row_count(companies)": 8, "columns(companies)": 0, "unique(ticker)": 0,
+        "accepted_values(language)": 0, "row_count(metrics)": 17, "columns(metrics)": 0,
+        "accepted_values(esrs_topic)": 0, "unique(esrs_disclosure, metric_name)": 0,
+        "row_count(periods)": 0, "columns(periods)": 0, "unique(fiscal_year)": 0,
+    }
+
+
 def test_common_keys_are_distinct(spark):
     left = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     right = spark.createDataFrame([(1,), (1,), (3,)], "k int")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracebook.fixed_values import LANGUAGES, MODELS, TOPICS
+from tracebook.functions.once import computed_once
 
 Rules = dict[str, Column]
 
@@ -68,7 +69,7 @@ def violations(rules: Rules) -> Column:
 
 def validate(df: DataFrame, rules: Rules) -> DataFrame:
     """The rows with their ``violations``."""
-    return df.withColumn("violations", violations(rules))
+    return computed_once(df, {"violations": violations(rules)})
 
 
 def split_valid(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:

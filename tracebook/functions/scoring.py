@@ -14,6 +14,7 @@ from tracebook.fixed_values import (
     MISSING_RATING,
     SNIPPET_PENALTY,
 )
+from tracebook.functions.once import computed_once
 from tracebook.schemas import SCORE_TYPE, VALUE_TYPE
 
 # 2**27 + 1: splits a double into two halves whose products with small integers are exact
@@ -86,7 +87,7 @@ def with_confidence(
     )
     rounded = with_exact_units(staged, {"__thousandths": ("__spoken", 3)})
     score = F.when(structural, F.col("__thousandths") / 1000.0).otherwise(F.lit(0.0))
-    return rounded.withColumn(name, score.cast(SCORE_TYPE)).drop(
+    return computed_once(rounded, {name: score.cast(SCORE_TYPE)}).drop(
         "__base", "__cited", "__spoken", "__thousandths"
     )
 
@@ -144,7 +145,7 @@ def with_snippet_match(
         .when(F.col("__is_text"), F.col("__text_hit"))
         .otherwise(F.lit(False))
     )
-    return rounded.withColumn(name, found).drop(
+    return computed_once(rounded, {name: found}).drop(
         "__plain", "__size", "__negative", "__text_hit", "__is_text",
         *[f"__units_{k}" for k in (0, 1, 2)],
     )

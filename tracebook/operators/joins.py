@@ -22,13 +22,17 @@ def landed_reports(registry: DataFrame, landed: DataFrame, fiscal_year: int) ->
 
 
 def with_data(entities: DataFrame, facts: DataFrame, on: str) -> DataFrame:
-    """Entities that have at least one fact."""
-    return entities.join(facts.select(on), on, "left_semi")
+    """Entities that have at least one fact.
+
+    The fact keys are made distinct first: that combines before the shuffle, whereas the
+    right side of a semi-join with a hot key could not be split.
+    """
+    return entities.join(facts.select(on).distinct(), on, "left_semi")
 
 
 def pending(entities: DataFrame, facts: DataFrame, on: str) -> DataFrame:
     """Entities without any fact."""
-    return entities.join(facts.select(on), on, "left_anti")
+    return entities.join(facts.select(on).distinct(), on, "left_anti")
 
 
 def lookup(entities: DataFrame, facts: DataFrame, on: str, value: object) -> DataFrame:

@@ -14,6 +14,7 @@ from tracebook.fixed_values import (
     METRIC_CATALOGUE,
     TOPIC_KEYWORDS,
 )
+from tracebook.functions.once import computed_once
 from tracebook.operators.joins import contains_any
 from tracebook.session import shuffle_width
 
@@ -195,13 +196,9 @@ def topic_excerpts(
     """
     header = page_header(F.col("page"))
     chunk = F.concat(header, F.lit("\n"), F.coalesce("text", F.lit("")), F.lit(PAGE_BREAK))
-    # a filter is not pushed through a generator, so the text is lower-cased once per page
-    # and not once more for every keyword in the filter below
-    searched = pages.select(
-        "report_id",
-        "page",
-        F.inline(F.array(F.struct(chunk.alias("chunk"), F.lower(chunk).alias("__lower")))),
-    )
+    searched = computed_once(
+        pages.select("report_id", "page", "text"), {"chunk": chunk, "__lower": F.lower(chunk)}
+    ).drop("text")
     flagged = searched.withColumns(
         {f"__hit_{topic}": contains_any(F.col("__lower"), words) for topic, words in topics.items()}
     ).drop("__lower")

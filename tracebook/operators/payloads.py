@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tracebook.fixed_values import MODELS
 from tracebook.functions.keys import parent_code
-from tracebook.functions.rules import record_rules, violations
+from tracebook.functions.once import computed_once
+from tracebook.functions.rules import record_rules, split_valid
 from tracebook.functions.scoring import pseudo_logprob, with_confidence, with_snippet_match
 from tracebook.operators.joins import stamp_company
 from tracebook.operators.picks import first_per_key
@@ -141,7 +142,7 @@ def judged_attempts(payloads: DataFrame) -> DataFrame:
     judged inside the payload's own row, so nothing is shuffled and empty payloads stay.
     """
     parsed = with_payload_items(payloads, F.col("payload"), "__items")
-    coerced = parsed.withColumn("records", coerced_items(F.col("__items")))
+    coerced = computed_once(parsed, {"records": coerced_items(F.col("__items"))})
 
     def entry_ok(entry: Column) -> Column:
         """The record rules that depend on the entry, applied inside the array."""
@@ -226,9 +227,7 @@ def scored_records(
         }
     )
     rows = scored.select(*[F.col(f.name).cast(f.dataType) for f in RAW.fields])
-    checked = rows.withColumn("violations", violations(record_rules()))
-    good = F.size("violations") == 0
-    return checked.where(good).drop("violations"), checked.where(~good)
+    return split_valid(rows, record_rules())
 
 
 #: models in the order in which they are tried

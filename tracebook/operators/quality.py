@@ -88,7 +88,7 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
         rows = df if len(check.columns) > 1 else df.where(F.col(check.columns[0]).isNotNull())
         counted = rows.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("occurrences"))
         return counted.where("occurrences > 1")
-    parents = check.parent.select(F.col(check.parent_column).alias("__parent"))
+    parents = check.parent.select(F.col(check.parent_column).alias("__parent")).distinct()
     children = df.where(F.col(check.column).isNotNull())
     return children.join(parents, F.col(check.column) == F.col("__parent"), "left_anti")
 
@@ -128,7 +128,7 @@ def summarize(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
 def common_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys found in both tables; two routes of one fact must share none."""
-    return left.select(*keys).intersect(right.select(*keys))
+    return left.select(*keys).intersect(right.select(*keys).distinct())
 
 
 # ---- the declared checks of the disclosure tables -----------------------------------

@@ -23,7 +23,7 @@ from tracebook.operators.joins import work_list
 from tracebook.operators.pages import page_rows, prompt_rows, topic_excerpts
 from tracebook.operators.payloads import attempt_outcomes, judged_attempts, scored_records
 from tracebook.operators.picks import latest_per_key
-from tracebook.schemas import SCORE_TYPE
+from tracebook.schemas import COMPANIES, METRICS, PERIODS, SCORE_TYPE
 from tracebook.session import checkpointed
 from tracebook.sources.sinks import as_table
 
@@ -145,6 +145,40 @@ def refresh(
     )
 
 
+def seed_report(
+    companies: DataFrame,
+    catalogue: DataFrame,
+    periods: DataFrame,
+    rows: tuple[int, int, int] = (10, 19, 1),
+) -> DataFrame:
+    """Expectations of the three reference lists as shipped: sizes, columns, values, keys."""
+    expectations = [
+        (
+            companies,
+            "companies",
+            rows[0],
+            COMPANIES,
+            [quality.unique("ticker"), quality.accepted_values("language", LANGUAGES)],
+        ),
+        (
+            catalogue,
+            "metrics",
+            rows[1],
+            METRICS,
+            [
+                quality.accepted_values("esrs_topic", TOPICS),
+                quality.unique("esrs_disclosure", "metric_name"),
+            ],
+        ),
+        (periods, "periods", rows[2], PERIODS, [quality.unique("fiscal_year")]),
+    ]
+    parts = [
+        quality.seed_expectations(df, name, size, schema.fieldNames(), checks)
+        for df, name, size, schema, checks in expectations
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def run_checks(
     warehouse: Warehouse,
     raw: DataFrame,
