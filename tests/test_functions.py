@@ -185,6 +185,12 @@ def test_record_rules(spark, change, broken):
     assert sorted(checked.violations) == sorted(broken)
 
 
+def test_landing_limits(spark):
+    df = spark.createDataFrame([("x" * 501, "u"), (None, "u" * 51), ("x", None)], "value_text string, unit string")
+    got = [r.violations for r in rules.validate(df, rules.landing_limits()).collect()]
+    assert got == [["value_text_limit"], ["unit_limit"], []]
+
+
 def test_registry_rules(spark):
     schema = (
         "ticker string, name string, sector string, country string, ir_page_url string, "

@@ -46,6 +46,14 @@ def record_rules() -> Rules:
     }
 
 
+def landing_limits() -> Rules:
+    """Column lengths of the landing table that the record rules leave open."""
+    return {
+        f"{column}_limit": F.col(column).isNull() | (F.length(F.col(column)) <= limit)
+        for column, limit in {"value_text": 500, "unit": 50}.items()
+    }
+
+
 def registry_rules() -> Rules:
     """Rules of a company registry entry; the report URL may be missing."""
     return {

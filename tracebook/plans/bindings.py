@@ -218,7 +218,7 @@ def part_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_lineitem_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide_lines(spark, sf_dir).select(
         "line_id", "supplier_id", "part_id", "period_id", "l_quantity", "l_extendedprice",
-        "human_approved",
+        F.col("human_approved").isNull().alias("not_reviewed"),
     )
 
 

@@ -89,13 +89,19 @@ def build(
     approvals: DataFrame | None = None,
     threshold: float = CONFIDENCE_THRESHOLD,
     rejected_wins: bool = False,
+    store: bool = False,
 ) -> Warehouse:
-    """Raw rows and reference lists to star schema and routed marts."""
-    staged = latest_per_key(raw)
+    """Raw rows and reference lists to star schema and routed marts.
+
+    With ``store``, staging, the metric dimension and the wide fact are checkpointed, for
+    uses that read them more than once.
+    """
+    keep = checkpointed if store else lambda df: df
+    staged = keep(latest_per_key(raw))
     company = star.company_dimension(companies)
-    metric = star.metric_dimension(catalogue, staged)
+    metric = keep(star.metric_dimension(catalogue, staged))
     period = star.period_dimension(periods)
-    wide = star.wide_fact(staged, company, metric, period, approvals)
+    wide = keep(star.wide_fact(staged, company, metric, period, approvals))
     options = {"rejected_wins": rejected_wins}
     return Warehouse(
         staged=staged,
@@ -187,7 +193,8 @@ def run_checks(
 ) -> DataFrame:
     """All declared checks: ``table_name, check_name, failures, passed``.
 
-    Every check reads its table again; at scale, pass what ``refresh`` has stored.
+    Every check reads its table again: pass what ``refresh`` has stored, or a build with
+    ``store``.
     """
     limit = F.lit(str(threshold)).cast(SCORE_TYPE)
     approved = warehouse.wide.select("disclosure_id", "human_approved")

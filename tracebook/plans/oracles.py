@@ -135,7 +135,7 @@ GROUP BY p_brand, p_name HAVING count(DISTINCT p_type) > 1"""
 
 ORACLES["fact_lineitem_star"] = f"""
 SELECT line_id, supplier_id, part_id, period_id, l_quantity, l_extendedprice,
-       CAST(NULL AS BOOLEAN) AS human_approved
+       true AS not_reviewed
 FROM {FACT_LINES}"""
 
 ORACLES["mart_lineitem"] = f"""
