@@ -17,6 +17,7 @@ from tests.test_star import landing, lists  # noqa: E402
 from tracebook.operators.picks import latest_per_key  # noqa: E402
 from tracebook.operators.snapshot import disclosure_documents  # noqa: E402
 from tracebook.operators.pages import topic_excerpts  # noqa: E402
+from tracebook.operators.star import Dimension, join_dimensions  # noqa: E402
 from tracebook.plans.disclosures import build, extraction  # noqa: E402
 from tracebook.schemas import PAYLOADS  # noqa: E402
 from tracebook.sources import scans, sinks  # noqa: E402
@@ -123,3 +124,33 @@ def test_page_text_is_lowered_once_for_all_topics(spark):
         F.lit("r").alias("report_id"), F.col("id").cast("int").alias("page"), F.lit("t").alias("text")
     ).repartition(2)
     assert physical(topic_excerpts(pages)).count("lower(") == 1
+
+
+def test_hot_dimension_key_is_split_when_nothing_is_broadcast(without_broadcast):
+    spark = without_broadcast
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        facts = spark.range(0, 300000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500).alias("ticker"),
+            F.md5(F.col("id").cast("string")).alias("payload"),
+        )
+        dimension = spark.range(500).select(
+            F.col("id").alias("key"), F.concat(F.lit("n"), F.col("id")).alias("name")
+        )
+        wide = join_dimensions(facts, [Dimension(dimension, "key", {"ticker": "key"})])
+        counted = wide.groupBy(F.length("name").alias("n")).agg(
+            F.count(F.lit(1)).alias("c"), F.max("payload").alias("last")
+        )
+        assert sum(r.c for r in counted.collect()) == 300000
+        assert "skew=true" in physical(counted)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
