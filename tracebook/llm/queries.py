@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracebook.llm import spans
+from tracebook.llm import simhash, spans
 from tracebook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,3 +23,8 @@ def query(function: Query) -> Query:
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return spans.drop_repeated(docs, window=35).drop("kept")
+
+
+@query
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(table(spark, sf_dir, "documents"), limit=2, words_per_shingle=3)
