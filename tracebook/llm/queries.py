@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tracebook.llm import simhash, spans
+from tracebook.llm import packing, simhash, spans
 from tracebook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +29,9 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"), limit=2, words_per_shingle=3)
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), size=2048, end_id=1)
