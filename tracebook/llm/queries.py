@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tracebook.llm import packing, simhash, spans
+from tracebook.llm import licenses, lines, packing, simhash, spans
 from tracebook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,3 +35,13 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), size=2048, end_id=1)
+
+
+@query
+def op3_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_verdicts(table(spark, sf_dir, "documents"), host="source")
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_labels(table(spark, sf_dir, "documents"))
