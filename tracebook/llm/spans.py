@@ -18,11 +18,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tracebook.llm.common import MASK, Memo, byte_texts, chunks, positions_within, run_starts, signed
+from tracebook.llm.common import Memo, byte_texts, chunks, positions_within, run_starts, signed
 
 # Perfect difference sets (Singer), by modulus: every residue but zero is one difference.
 DIFFERENCE_SETS = {
@@ -32,8 +35,17 @@ DIFFERENCE_SETS = {
     31: (0, 1, 3, 8, 12, 18),
 }
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4D)
-FOUND = "row_key long, doc_id long, place int, run int"
-MEET = f"hash long, check long, known boolean, {FOUND}"
+# A place of a text is one long: 23 bits of the text's hash, which tell rows that share an id
+# apart, and 40 bits of word position. The sign marks runs that are known as repeated.
+PLACE_BITS = 40
+PLACE = (1 << PLACE_BITS) - 1
+TEXT_BITS = (1 << 63) - 1 - PLACE
+KNOWN = 1 << 63
+ANCHORS = "hash long, doc_id long, mark long"
+WINDOWS = "hash long, extra int, doc_id long, mark long"
+# A run of places in a text is one long: the first place, then 32 bits for its length.
+FOUND = "doc_id long, text_mark long, places long"
+RUN_BITS = 32
 
 
 def cover(window: int) -> tuple[int, tuple[int, ...]]:
@@ -75,39 +87,52 @@ def word_hashes(memo: Memo, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]
 
 
 def meeting_rows(
-    hashes: np.ndarray, checks: np.ndarray, keys: np.ndarray, ids: pa.Array, owner: np.ndarray, places: np.ndarray
+    hashes: np.ndarray, checks: np.ndarray | None, marks: np.ndarray, ids: pa.Array, owner: np.ndarray, places: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
-    """Rows that look for a partner, one per hash, and runs of places known as repeated."""
+    """Rows that look for a partner, one per hash, and runs of places known as repeated.
+
+    With checks there is a column ``extra``: the check of a row that looks for a partner, the
+    length of a known run. Without, runs have one place.
+    """
     if not len(hashes):
         return
-    order = np.lexsort((checks, hashes))
-    ordered, also = hashes[order], checks[order]
+    order = np.argsort(hashes, kind="stable") if checks is None else np.lexsort((checks, hashes))
     new = np.ones(len(order), bool)
-    new[1:] = (ordered[1:] != ordered[:-1]) | (also[1:] != also[:-1])
+    new[1:] = np.diff(hashes[order]) != 0
+    if checks is not None:
+        new[1:] |= np.diff(checks[order]) != 0
     heads = np.flatnonzero(new)
     counts = np.diff(np.append(heads, len(order)))
-    first = np.minimum.reduceat(order, heads)
+    first = np.sort(np.minimum.reduceat(order, heads))
     twice = np.sort(order[np.repeat(counts > 1, counts)])
     # neighbouring places of one text form a run
     start = np.ones(len(twice), bool)
-    start[1:] = (np.diff(twice) != 1) | (np.diff(owner[twice]) != 0) | (np.diff(places[twice]) != 1)
+    if checks is not None:
+        start[1:] = (np.diff(twice) != 1) | (np.diff(owner[twice]) != 0) | (np.diff(places[twice]) != 1)
     heads = np.flatnonzero(start)
-    runs = np.diff(np.append(heads, len(twice)))
+    runs = np.diff(np.append(heads, len(twice))).astype(np.int32)
     known = twice[heads]
-    picked = np.concatenate((first, known))
-    lone = np.arange(len(picked)) < len(first)
-    yield pa.RecordBatch.from_arrays(
-        [
-            signed(np.where(lone, hashes[picked], keys[owner[picked]] * np.uint64(MULTIPLIERS[0]))),
-            signed(checks[picked]),
-            pa.array(~lone),
-            signed(keys[owner[picked]]),
-            ids.take(pa.array(owner[picked])),
-            pa.array(places[picked].astype(np.int32)),
-            pa.array(np.concatenate((np.ones(len(first)), runs)).astype(np.int32)),
-        ],
-        names=["hash", "check", "known", "row_key", "doc_id", "place", "run"],
-    )
+    at = marks[owner] | places.astype(np.uint64)
+    spread = (marks[owner[known]] + owner[known].astype(np.uint64)) * np.uint64(MULTIPLIERS[0])
+    for picked, key, extra, sign in (
+        (first, hashes[first], None if checks is None else checks[first], 0),
+        (known, spread, runs, KNOWN),
+    ):
+        columns = [signed(key), ids.take(pa.array(owner[picked])), signed(at[picked] | np.uint64(sign))]
+        names = ["hash", "doc_id", "mark"]
+        if checks is not None:
+            columns.insert(1, pa.array(extra))
+            names.insert(1, "extra")
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def text_marks(texts: list[bytes]) -> np.ndarray:
+    whole = np.fromiter((xxhash.xxh3_64_intdigest(t) for t in texts), np.uint64, len(texts))
+    return whole & np.uint64(TEXT_BITS)
+
+
+def word_memo() -> Memo:
+    return Memo(lambda word: xxhash.xxh3_64_intdigest(word))
 
 
 def _anchors(window: int):
@@ -115,11 +140,10 @@ def _anchors(window: int):
     size = window - period + 1
 
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(lambda w: xxhash.xxh3_64_intdigest(w))
+        memo = word_memo()
         wanted = np.zeros(period, bool)
         wanted[list(residues)] = True
         for batch in batches:
-            keys = np.asarray(batch.column("row_key")).view(np.uint64)
             ids = batch.column("doc_id")
             for at, texts in chunks(byte_texts(batch)):
                 words, sizes = word_hashes(memo, texts)
@@ -130,7 +154,7 @@ def _anchors(window: int):
                 with np.errstate(over="ignore"):
                     hashes = Rolling(MULTIPLIERS[0], words).at(picked, size)
                     yield from meeting_rows(
-                        hashes, np.zeros(len(hashes), np.uint64), keys, ids, owner[picked] + at, inside[picked]
+                        hashes, None, text_marks(texts), ids.slice(at, len(texts)), owner[picked], inside[picked]
                     )
 
     return emit
@@ -141,99 +165,139 @@ def _windows(window: int):
     size = window - period + 1
 
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(lambda w: xxhash.xxh3_64_intdigest(w))
+        memo = word_memo()
         for batch in batches:
-            keys = np.asarray(batch.column("row_key")).view(np.uint64)
-            ids = batch.column("doc_id")
-            found = batch.column("places")
-            for at, texts in chunks(byte_texts(batch)):
+            bodies, ids = unpacked(batch), batch.column("doc_id")
+            for at, texts in chunks(bodies):
                 words, sizes = word_hashes(memo, texts)
                 starts = run_starts(sizes)
                 owner = np.repeat(np.arange(len(texts)), sizes)
                 # windows that hold an anchor: up to ``window - size`` words before it
                 edges = np.zeros(len(words) + 1, np.int32)
-                lists = found.slice(at, len(texts))
-                flat = np.asarray(lists.flatten()).astype(np.int64)
-                lengths = np.asarray(pa.compute.list_value_length(lists))
-                of = np.repeat(np.arange(len(texts)), lengths)
+                lists = batch.column("found").slice(at, len(texts))
+                of = np.repeat(np.arange(len(texts)), np.asarray(pc.list_value_length(lists)))
+                flat, runs = place_runs(np.asarray(lists.flatten()))
                 np.add.at(edges, starts[of] + np.maximum(flat - (window - size), 0), 1)
-                np.add.at(edges, starts[of] + flat + 1, -1)
+                np.add.at(edges, starts[of] + flat + runs, -1)
                 inside = positions_within(sizes)
                 fits = (np.cumsum(edges[:-1]) > 0) & (inside + window <= sizes[owner])
                 picked = np.flatnonzero(fits)
                 with np.errstate(over="ignore"):
+                    checks = Rolling(MULTIPLIERS[1], words).at(picked, window) >> np.uint64(32)
                     yield from meeting_rows(
                         Rolling(MULTIPLIERS[0], words).at(picked, window),
-                        Rolling(MULTIPLIERS[1], words).at(picked, window) >> np.uint64(32),
-                        keys, ids, owner[picked] + at, inside[picked],
+                        checks.astype(np.uint32).view(np.int32), text_marks(texts),
+                        ids.slice(at, len(texts)), owner[picked], inside[picked],
                     )
 
     return emit
 
 
+def place_runs(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return places >> RUN_BITS, places & ((1 << RUN_BITS) - 1)
+
+
 def partners(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (known, hash, check): known ones pass, others if their hash comes again.
+    """Rows sorted by (hash, extra): known runs pass, others if their hash and check come again.
 
     The last row of a batch waits for the first of the next.
     """
-    names = ["row_key", "doc_id", "place", "run"]
-    held: pa.RecordBatch | None = None  # one row whose run may go on
-    repeated = False  # that row has a partner before it
+    held: pa.RecordBatch | None = None  # one row whose equals may go on
+    paired = False  # that row has a partner before it
     for batch in batches:
         if not batch.num_rows:
             continue
         if held is not None:
             batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        hashes, checks = np.asarray(batch.column("hash")), np.asarray(batch.column("check"))
-        known = np.asarray(batch.column("known").to_numpy(zero_copy_only=False), bool)
-        equal = np.zeros(len(hashes) + 1, bool)
-        equal[1:-1] = (hashes[1:] == hashes[:-1]) & (checks[1:] == checks[:-1]) & ~known[1:] & ~known[:-1]
+        known = np.asarray(batch.column("mark")) < 0
+        equal = np.zeros(batch.num_rows + 1, bool)
+        equal[1:-1] = ~known[1:] & ~known[:-1]
+        for name in {"hash", "extra"} & set(batch.schema.names):
+            equal[1:-1] &= np.diff(np.asarray(batch.column(name))) == 0
         keep = known | equal[:-1] | equal[1:]
-        keep[0] |= repeated
-        repeated = bool(keep[-1])
+        keep[0] |= paired
+        paired = bool(keep[-1])
         held = batch.slice(batch.num_rows - 1)
         keep[-1] = False
-        yield batch.select(names).filter(pa.array(keep))
-    if held is not None and repeated:
-        yield held.select(names)
+        yield found_rows(batch, keep)
+    if held is not None and paired:
+        yield found_rows(held, np.ones(1, bool))
+
+
+def found_rows(batch: pa.RecordBatch, keep: np.ndarray) -> pa.RecordBatch:
+    """Text and place of the rows kept; a row that found its partner is a run of one."""
+    marks = np.asarray(batch.column("mark"))[keep]
+    runs = np.ones(len(marks), np.int64)
+    if "extra" in batch.schema.names:
+        runs = np.where(marks < 0, np.asarray(batch.column("extra"))[keep], 1).astype(np.int64)
+    text_mark = (marks & ((1 << 63) - 1)) >> PLACE_BITS
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column("doc_id").filter(pa.array(keep)),
+            pa.array(text_mark),
+            pa.array((marks & PLACE) << RUN_BITS | runs),
+        ],
+        names=["doc_id", "text_mark", "places"],
+    )
 
 
 def repeated(rows: DataFrame) -> DataFrame:
-    """Per text the places found twice, as one array of (place, run)."""
-    met = (
-        rows.repartition("hash").sortWithinPartitions("known", "hash", "check").mapInArrow(partners, FOUND)
-    )
-    return met.groupBy("row_key", "doc_id").agg(F.collect_list(F.struct("place", "run")).alias("found"))
+    """Per text the places found twice, as one array of runs."""
+    order = [name for name in ("hash", "extra") if name in rows.columns]
+    met = rows.repartition("hash").sortWithinPartitions(*order).mapInArrow(partners, FOUND)
+    return met.groupBy("doc_id", "text_mark").agg(F.collect_list("places").alias("found"))
+
+
+PACKED = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text_mark", T.LongType(), False),
+        T.StructField("body", T.BinaryType(), False),
+    ]
+)
+
+
+def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, as they cross the shuffle."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        texts = [text or b"" for text in byte_texts(batch)]
+        marks = (text_marks(texts) >> np.uint64(PLACE_BITS)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(marks), pa.array([squeeze(t) for t in texts], pa.binary())],
+            names=["doc_id", "text_mark", "body"],
+        )
+
+
+def unpacked(batch: pa.RecordBatch) -> list[bytes]:
+    expand = zstandard.ZstdDecompressor().decompress
+    return [expand(body) for body in batch.column("body").to_pylist()]
 
 
 def _kept(window: int):
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            total, removed, digest = [], [], []
-            for text, found in zip(byte_texts(batch), batch.column("found").to_pylist(), strict=True):
-                words = (text or b"").split()
-                gone = 0
+            total, removed, left = [], [], []
+            for text, found in zip(unpacked(batch), batch.column("found").to_pylist(), strict=True):
+                words = text.split()
+                total.append(len(words))
                 if found:
                     edges = np.zeros(len(words) + 1, np.int32)
-                    starts = np.array([x["place"] for x in found])
-                    ends = starts + np.array([x["run"] for x in found]) - 1 + window
+                    starts, runs = place_runs(np.array(found))
+                    ends = starts + runs - 1 + window
                     np.add.at(edges, starts, 1)
                     np.add.at(edges, ends, -1)
-                    covered = np.cumsum(edges[:-1]) > 0
-                    gone = int(covered.sum())
-                    kept = [words[i] for i in np.flatnonzero(~covered)]
-                else:
-                    kept = words
-                total.append(len(words))
-                removed.append(gone)
-                digest.append(b" ".join(kept))
+                    stays = np.flatnonzero(np.cumsum(edges[:-1]) == 0).tolist()
+                    words = [words[i] for i in stays]
+                removed.append(total[-1] - len(words))
+                left.append(b" ".join(words))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(total, pa.int64()),
                     pa.array(removed, pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in digest], pa.string()),
-                    pa.array(digest, pa.binary()).cast(pa.string()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in left], pa.string()),
+                    pa.array(left, pa.binary()).cast(pa.string()),
                 ],
                 names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"],
             )
@@ -241,21 +305,10 @@ def _kept(window: int):
     return emit
 
 
-def repeated_places(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
-    """The texts keyed by row, and per text the starts of windows that start elsewhere too."""
-    texts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text"),
-        F.xxhash64("doc_id", "text").alias("row_key"),
-    )
-    anchors = repeated(texts.mapInArrow(_anchors(window), MEET))
-    places = F.flatten(
-        F.transform("found", lambda x: F.sequence(x["place"], x["place"] + x["run"] - 1))
-    )
-    near = anchors.select("row_key", F.col("doc_id").alias("anchor_id"), places.alias("places"))
-    same = (F.col("t.row_key") == F.col("a.row_key")) & F.col("t.doc_id").eqNullSafe(F.col("a.anchor_id"))
-    marked = texts.alias("t").join(near.alias("a"), same).select("t.row_key", "t.doc_id", "t.text", "a.places")
-    return texts, repeated(marked.mapInArrow(_windows(window), MEET))
+def joined(texts: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    there = found.select(F.col("doc_id").alias("found_id"), F.col("text_mark").alias("found_mark"), "found")
+    same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_mark") == F.col("found_mark"))
+    return texts.join(there, same, how).select("doc_id", "body", "found")
 
 
 def drop_repeated(docs: DataFrame, window: int = 35) -> DataFrame:
@@ -270,14 +323,11 @@ def drop_repeated(docs: DataFrame, window: int = 35) -> DataFrame:
     """
     if window < 1:
         raise ValueError("window must be positive")
-    texts, found = repeated_places(docs, window)
-    found = found.select(F.col("row_key"), F.col("doc_id").alias("found_id"), "found")
-    same = (F.col("t.row_key") == F.col("f.row_key")) & F.col("t.doc_id").eqNullSafe(F.col("f.found_id"))
-    return (
-        texts.alias("t")
-        .join(found.alias("f"), same, "left")
-        .select("t.doc_id", "t.text", "f.found")
-        .mapInArrow(
-            _kept(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
-        )
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    anchors = repeated(docs.mapInArrow(_anchors(window), ANCHORS))
+    # not null, so that both joins read one and the same exchange of the texts
+    texts = docs.mapInArrow(_packed, PACKED)
+    windows = joined(texts, anchors, "inner").mapInArrow(_windows(window), WINDOWS)
+    return joined(texts, repeated(windows), "left").mapInArrow(
+        _kept(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
     )
