@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tracebook.llm import licenses, lines, packing, simhash, spans
-from tracebook.llm.common import table
+from tracebook.llm import decontaminate, licenses, lines, packing, simhash, spans, toxicity
+from tracebook.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,3 +46,15 @@ def op3_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_labels(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contained_items(docs, items, share=0.2, recall=0.99)
+
+
+@query
+def op5_toxicity_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.toxicity(docs, labels, fold(F.col("doc_id"), 3) == 1, per_class=2000, threshold=0.7)

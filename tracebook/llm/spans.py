@@ -35,11 +35,13 @@ DIFFERENCE_SETS = {
     31: (0, 1, 3, 8, 12, 18),
 }
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4D)
-# A place of a text is one long: 23 bits of the text's hash, which tell rows that share an id
-# apart, and 40 bits of word position. The sign marks runs that are known as repeated.
+# A place of a text is one long: 40 bits of word position, then 22 bits of the text's hash, which
+# tell rows that share an id apart, and one for a null id, which stands as 0. The sign marks runs
+# that are known as repeated.
 PLACE_BITS = 40
 PLACE = (1 << PLACE_BITS) - 1
-TEXT_BITS = (1 << 63) - 1 - PLACE
+NO_ID = 1 << 62
+TEXT_BITS = NO_ID - 1 - PLACE
 KNOWN = 1 << 63
 ANCHORS = "hash long, doc_id long, mark long"
 WINDOWS = "hash long, extra int, doc_id long, mark long"
@@ -126,9 +128,10 @@ def meeting_rows(
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def text_marks(texts: list[bytes]) -> np.ndarray:
+def text_marks(texts: list[bytes], ids: pa.Array) -> np.ndarray:
     whole = np.fromiter((xxhash.xxh3_64_intdigest(t) for t in texts), np.uint64, len(texts))
-    return whole & np.uint64(TEXT_BITS)
+    none = np.asarray(ids.is_null()).astype(np.uint64) * np.uint64(NO_ID)
+    return whole & np.uint64(TEXT_BITS) | none
 
 
 def word_memo() -> Memo:
@@ -154,8 +157,9 @@ def _anchors(window: int):
                 with np.errstate(over="ignore"):
                     hashes = Rolling(MULTIPLIERS[0], words).at(picked, size)
                     yield from meeting_rows(
-                        hashes, None, text_marks(texts), ids.slice(at, len(texts)), owner[picked], inside[picked]
-                    )
+                        hashes, None, text_marks(texts, own := ids.slice(at, len(texts))),
+                        own.fill_null(0), owner[picked], inside[picked],
+                    )
 
     return emit
 
@@ -167,8 +171,8 @@ def _windows(window: int):
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = word_memo()
         for batch in batches:
-            bodies, ids = unpacked(batch), batch.column("doc_id")
-            for at, texts in chunks(bodies):
+            keys, ids = np.asarray(batch.column("text_mark")).view(np.uint64), batch.column("doc_id")
+            for at, texts in chunks(unpacked(batch)):
                 words, sizes = word_hashes(memo, texts)
                 starts = run_starts(sizes)
                 owner = np.repeat(np.arange(len(texts)), sizes)
@@ -186,7 +190,8 @@ def _windows(window: int):
                     checks = Rolling(MULTIPLIERS[1], words).at(picked, window) >> np.uint64(32)
                     yield from meeting_rows(
                         Rolling(MULTIPLIERS[0], words).at(picked, window),
-                        checks.astype(np.uint32).view(np.int32), text_marks(texts),
+                        checks.astype(np.uint32).view(np.int32),
+                        keys[at : at + len(texts)] << np.uint64(PLACE_BITS),
                         ids.slice(at, len(texts)), owner[picked], inside[picked],
                     )
 
@@ -250,7 +255,7 @@ def repeated(rows: DataFrame) -> DataFrame:
 
 PACKED = T.StructType(
     [
-        T.StructField("doc_id", T.LongType()),
+        T.StructField("doc_id", T.LongType(), False),
         T.StructField("text_mark", T.LongType(), False),
         T.StructField("body", T.BinaryType(), False),
     ]
@@ -262,9 +267,10 @@ def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     squeeze = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         texts = [text or b"" for text in byte_texts(batch)]
-        marks = (text_marks(texts) >> np.uint64(PLACE_BITS)).astype(np.int64)
+        ids = batch.column("doc_id")
+        marks = (text_marks(texts, ids) >> np.uint64(PLACE_BITS)).astype(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(marks), pa.array([squeeze(t) for t in texts], pa.binary())],
+            [ids.fill_null(0), pa.array(marks), pa.array([squeeze(t) for t in texts], pa.binary())],
             names=["doc_id", "text_mark", "body"],
         )
 
@@ -291,9 +297,10 @@ def _kept(window: int):
                     words = [words[i] for i in stays]
                 removed.append(total[-1] - len(words))
                 left.append(b" ".join(words))
+            none = np.asarray(batch.column("text_mark")) >= NO_ID >> PLACE_BITS
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    pc.if_else(pa.array(none), pa.scalar(None, pa.int64()), batch.column("doc_id")),
                     pa.array(total, pa.int64()),
                     pa.array(removed, pa.int64()),
                     pa.array([hashlib.sha256(x).hexdigest() for x in left], pa.string()),
@@ -306,9 +313,7 @@ def _kept(window: int):
 
 
 def joined(texts: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    there = found.select(F.col("doc_id").alias("found_id"), F.col("text_mark").alias("found_mark"), "found")
-    same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_mark") == F.col("found_mark"))
-    return texts.join(there, same, how).select("doc_id", "body", "found")
+    return texts.join(found, ["doc_id", "text_mark"], how).select("doc_id", "text_mark", "body", "found")
 
 
 def drop_repeated(docs: DataFrame, window: int = 35) -> DataFrame:
