@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracebook.llm import decontaminate, licenses, lines, packing, simhash, spans, toxicity
+from tracebook.llm import decontaminate, licenses, lines, packing, quality, secret_scan, simhash, spans, toxicity
 from tracebook.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,15 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 def op5_toxicity_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.toxicity(docs, labels, fold(F.col("doc_id"), 3) == 1, per_class=2000, threshold=0.7)
+
+
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.quality(docs, labels, fold(F.col("doc_id"), 5) == 0, per_class=4000, threshold=0.3)
+
+
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.secrets(docs, secret_scan.fitted(docs, sample=2000))
