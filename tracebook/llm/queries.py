@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracebook.llm import decontaminate, licenses, lines, packing, quality, secret_scan, simhash, spans, toxicity
+from tracebook.llm import decontaminate, html_text, licenses, lines, packing, quality, secret_scan, simhash, spans, toxicity
 from tracebook.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +70,8 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secret_scan.secrets(docs, secret_scan.fitted(docs, sample=2000))
+
+
+@query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
