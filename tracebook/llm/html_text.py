@@ -87,13 +87,13 @@ def digest(*parts: object) -> int:
 
 
 def marked_boiler(tag: str, attributes: str) -> tuple[bool, bool, str]:
-    """Whether an element is furniture, whether it is a header, and its class as part of its place."""
+    """Whether an element is furniture, whether it is a header, and the names that mark its place."""
     words, role, hidden, name = set(), "", False, ""
     for key, a, b, c, bare in ATTRIBUTES.findall(attributes) if attributes.strip() else ():
         key, value = key.lower() or bare.lower(), (a or b or c).lower()
         if key in ("class", "id"):
             words.update(re.split(r"[^a-z0-9]+", value))
-            name = value if key == "class" else name
+            name += f" {key}={re.sub('[0-9]+', '0', value)}"
         elif key == "role":
             role = value
         hidden |= key == "hidden" or (key == "aria-hidden" and value == "true")
