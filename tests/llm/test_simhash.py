@@ -76,3 +76,38 @@ def test_near_copies_nulls_ties_and_empty_texts(docs):
 
 def test_empty_table(docs):
     assert simhash.near_copies(docs((1, "x")).limit(0)).collect() == []
+
+
+def test_masks_catch_more_differing_bits():
+    import random
+
+    rng = random.Random(3)
+    for limit in (3, 4, 6, 8):
+        for _ in range(300):
+            bits = rng.sample(range(64), limit)
+            assert any(not any(mask >> bit & 1 for bit in bits) for mask in simhash.masks(limit))
+
+
+def test_one_of_each_group_of_near_copies_stays(docs):
+    import random
+
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(3000)]
+    base = [rng.choices(words, k=rng.randrange(40, 400)) for _ in range(60)]
+    rows, groups = [], []
+    for g, text in enumerate(base):
+        for copy in range(g % 4 + 1):
+            changed = list(text)
+            if copy:
+                changed[rng.randrange(len(changed))] = "other"
+            rows.append(" ".join(changed))
+            groups.append(g)
+    order = rng.sample(range(len(rows)), len(rows))
+    table = docs(*[(i, rows[i]) for i in order], (900, None), (901, ""), (902, "a b"), (902, "a b"), (None, rows[0]))
+    kept = simhash.one_of_each(table)
+    assert kept.columns == table.columns
+    ids = sorted(r.doc_id for r in kept.collect())
+    first = [groups.index(g) for g in range(60)]
+    assert set(first) <= set(ids) and ids[-2:] == [900, 902]
+    assert len(ids) <= 60 + 2 + 4
+    assert simhash.one_of_each(table.limit(0)).collect() == []

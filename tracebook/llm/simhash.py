@@ -28,44 +28,70 @@ from tracebook.llm.components import components
 FANOUT = 16
 SMALL_NODE = 48
 FRONTIER = 1024
+BINS = 256
+
+
+def shingles(text: bytes, size: int) -> list[bytes]:
+    """Runs of ``size`` words of the lower-cased text, repeats included; fewer words are one run."""
+    words = text.lower().split()  # of bytes: lower-cases A-Z, splits at ASCII white space
+    if len(words) <= size:
+        return [b" ".join(words)] if words else []
+    joined = b" ".join(words)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(sizes + 1) - 1
+    starts = (ends - sizes)[: len(words) - size + 1]
+    return [joined[a:b] for a, b in zip(starts.tolist(), ends[size - 1 :].tolist(), strict=True)]
+
+
+def majority_bits(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Per run of hashes the bits that more than half of them have."""
+    found = np.zeros(len(sizes), np.uint64)
+    full = np.flatnonzero(sizes)
+    if len(full):
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        starts = np.concatenate(([0], np.cumsum(sizes[full])[:-1]))
+        most = np.add.reduceat(bits, starts, axis=0, dtype=np.int32) * 2 > sizes[full][:, None]
+        found[full] = (most * (np.uint64(1) << np.arange(64, dtype=np.uint64))).sum(axis=1, dtype=np.uint64)
+    return found
+
+
+def sketch(hashes: np.ndarray) -> bytes:
+    """The smallest hash in each of ``BINS`` bins, 16 bits each; 0xFFFF where a bin is empty."""
+    held = np.full(BINS, 0xFFFF, np.uint16)
+    if len(hashes):
+        # of the order of all hashes of a bin only the smallest counts, so 48 bits decide, 16 are kept
+        bins, rest = (hashes % np.uint64(BINS)).astype(np.int64), hashes >> np.uint64(16)
+        order = np.lexsort((rest, bins))
+        first = order[np.append(True, bins[order][1:] != bins[order][:-1])]
+        held[bins[first]] = (rest[first] % np.uint64(0xFFFF)).astype(np.uint16)
+    return held.tobytes()
 
 
-def _prints(words_per_shingle: int, seed: int):
-    def shingles(text: bytes) -> list[bytes]:
-        words = text.lower().split()  # of bytes: lower-cases A-Z, splits at ASCII white space
-        if len(words) <= words_per_shingle:
-            return [b" ".join(words)] if words else []
-        joined = b" ".join(words)
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(sizes + 1) - 1
-        starts = ends - sizes
-        last = len(words) - words_per_shingle + 1
-        return [
-            joined[a:b]
-            for a, b in zip(starts[:last].tolist(), ends[words_per_shingle - 1 :].tolist(), strict=True)
-        ]
+def sketch_similarity(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Share of bins with the same smallest hash among bins that either has."""
+    a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint16).reshape(-1, BINS) for x in (left, right))
+    either = (a != 0xFFFF) | (b != 0xFFFF)
+    return ((a == b) & either).sum(axis=1) / np.maximum(either.sum(axis=1), 1)
 
+
+def _prints(size: int, seed: int, sketched: int | None):
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
-        weights = np.uint64(1) << np.arange(64, dtype=np.uint64)
         for batch in batches:
-            values = [np.zeros(0, np.uint64)]
+            values, sketches = [np.zeros(0, np.uint64)], []
             for _, texts in chunks(byte_texts(batch), 1 << 20):
-                hashed = [[digest(s, seed) for s in shingles(text)] for text in texts]
+                hashed = [[digest(s, seed) for s in shingles(text, size)] for text in texts]
                 sizes = np.fromiter(map(len, hashed), np.int64, len(hashed))
-                fingerprints = np.zeros(len(texts), np.uint64)
-                full = np.flatnonzero(sizes)
-                if len(full):
-                    flat = np.fromiter((h for run in hashed for h in run), np.uint64, int(sizes.sum()))
-                    bits = np.unpackbits(flat.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                    starts = np.concatenate(([0], np.cumsum(sizes[full])[:-1]))
-                    ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
-                    most = ones * 2 > sizes[full][:, None]
-                    fingerprints[full] = (most * weights).sum(axis=1, dtype=np.uint64)
-                values.append(fingerprints)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), signed(np.concatenate(values))], names=["doc_id", "code"]
-            )
+                flat = np.fromiter((h for run in hashed for h in run), np.uint64, int(sizes.sum()))
+                values.append(majority_bits(flat, sizes))
+                if sketched:
+                    for text in texts:
+                        sketches.append(sketch(np.array([digest(s, seed) for s in shingles(text, sketched)], np.uint64)))
+            columns, names = [*batch.columns[:-1], signed(np.concatenate(values))], [*batch.schema.names[:-1], "code"]
+            if sketched:
+                columns.append(pa.array(sketches, pa.binary()))
+                names.append("sketch")
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return emit
 
@@ -78,21 +104,29 @@ def fingerprints(docs: DataFrame, words_per_shingle: int = 3, seed: int = 42) ->
     one without words has code 0.
     """
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _prints(words_per_shingle, seed), "doc_id long, code long"
+        _prints(words_per_shingle, seed, None), "doc_id long, code long"
     )
 
 
-def masks() -> list[int]:
-    """Nine masks of 35 or 36 bits: one block of three, and one third of the other two."""
-    blocks = [list(range(0, 22)), list(range(22, 43)), list(range(43, 64))]
+def masks(limit: int = 2) -> list[int]:
+    """Masks such that codes at ``limit`` or fewer differing bits agree on one of them.
+
+    Up to two bits: nine masks of 35 or 36 bits, one block of three and one third of the other
+    two. Beyond: any two of ``limit`` + 2 blocks, since that many differences leave two alone.
+    """
     found = []
-    for outer in range(3):
-        rest = [bit for at, block in enumerate(blocks) if at != outer for bit in block]
-        third = -(-len(rest) // 3)
-        for inner in range(3):
-            bits = blocks[outer] + rest[inner * third : (inner + 1) * third]
-            found.append(sum(1 << bit for bit in bits))
-    return found
+    if limit <= 2:
+        blocks = [list(range(0, 22)), list(range(22, 43)), list(range(43, 64))]
+        for outer in range(3):
+            rest = [bit for at, block in enumerate(blocks) if at != outer for bit in block]
+            third = -(-len(rest) // 3)
+            for inner in range(3):
+                found.append(blocks[outer] + rest[inner * third : (inner + 1) * third])
+    else:
+        count = limit + 2
+        blocks = [list(range(64 * k // count, 64 * (k + 1) // count)) for k in range(count)]
+        found = [one + other for at, one in enumerate(blocks) for other in blocks[at + 1 :]]
+    return [sum(1 << bit for bit in bits) for bits in found]
 
 
 def gray_rank(code: Column) -> Column:
@@ -155,47 +189,39 @@ def alone(codes: np.ndarray, limit: int) -> np.ndarray:
 
 
 def spanning_links(codes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that hold each set of reachable codes together: every code with the set's smallest.
+    """Links between codes within the limit that hold each set of reachable codes together.
 
-    The search spreads from a code to all it reaches; a reached code leaves the index, which is
-    built anew once half of it has gone.
+    The search spreads from a code to all it reaches, one link for each; a reached code leaves the
+    index, which is built anew once half of it has gone.
     """
     codes = codes[~alone(codes, limit)]
     none = np.zeros(0, np.uint64)
-    if not len(codes):
-        return none, none
     left = np.ones(len(codes), bool)
-    index, places = GrayIndex(codes), np.arange(len(codes))
-    from_, to_ = [], []
+    places = np.arange(len(codes))
+    index = GrayIndex(codes) if len(codes) else None
+    reached, through = [none], [none]
     for seed in range(len(codes)):
         if not left[seed]:
             continue
         left[seed] = False
-        frontier, members = np.array([seed]), [np.array([seed])]
-        while len(frontier):
-            reached = []
+        frontier = np.array([seed])
+        while len(frontier) and len(places):
+            step = []
             for at in range(0, len(frontier), FRONTIER):
-                _, found = index.within(codes[frontier[at : at + FRONTIER]], limit)
-                found = np.unique(places[found])
-                found = found[left[found]]
+                who, found = index.within(codes[frontier[at : at + FRONTIER]], limit)
+                found, first = np.unique(places[found], return_index=True)
+                parent = frontier[at + who[first]]
+                new = left[found]
+                found, parent = found[new], parent[new]
                 left[found] = False
-                reached.append(found)
-            frontier = np.concatenate(reached)
-            if len(frontier):
-                members.append(frontier)
+                step.append(found)
+                reached.append(codes[found])
+                through.append(codes[parent])
+            frontier = np.concatenate(step)
             if len(frontier) and 2 * int(left[places].sum()) < len(places) and len(places) > FANOUT:
                 places = places[left[places]]
-                index = GrayIndex(codes[places]) if len(places) else index
-                if not len(places):
-                    frontier = frontier[:0]
-        group = np.concatenate(members)
-        if len(group) > 1:
-            smallest = group[np.argmin(codes[group].view(np.int64))]
-            from_.append(codes[group])
-            to_.append(np.full(len(group), codes[smallest]))
-        if not len(places):
-            break
-    return (np.concatenate(from_), np.concatenate(to_)) if from_ else (none, none)
+                index = GrayIndex(codes[places]) if len(places) else None
+    return np.concatenate(reached), np.concatenate(through)
 
 
 def _node_links(limit: int):
@@ -249,13 +275,16 @@ def _node_links(limit: int):
 
 
 def code_links(codes: DataFrame, limit: int = 2) -> DataFrame:
-    """Links (left, right) between distinct codes that join all codes ``limit`` bits apart or less."""
-    if not 0 <= limit <= 2:
-        raise ValueError("the masks hold for at most two differing bits")
-    # a mask takes 35 or 36 bits, so the masked pattern and the mask's number fit a hash of 64
-    # bits; two patterns that share it by chance only meet, their codes are compared in full
+    """Links (left, right) between distinct codes that join all codes ``limit`` bits apart or less.
+
+    Both ends of a link are within the limit themselves.
+    """
+    if not 0 <= limit <= 8:
+        raise ValueError("limit must be 0 to 8: masks for more bits would be too short")
+    # a masked pattern and its mask's number are named by a hash of 64 bits; two that share it by
+    # chance only meet, their codes are compared in full
     upper = F.explode(
-        F.array(*[F.xxhash64(F.lit(at), F.col("code").bitwiseAND(F.lit(_long(m)))) for at, m in enumerate(masks())])
+        F.array(*[F.xxhash64(F.lit(at), F.col("code").bitwiseAND(F.lit(_long(m)))) for at, m in enumerate(masks(limit))])
     )
     dealt = codes.select("code", gray_rank(F.col("code")).alias("rank"), upper.alias("node"))
     return (
@@ -292,3 +321,49 @@ def near_copies(docs: DataFrame, limit: int = 2, words_per_shingle: int = 3) ->
         F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def _similar(least: float):
+    def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                near = sketch_similarity(batch.column("left_sketch"), batch.column("right_sketch")) >= least
+                yield batch.select(["left", "right"]).filter(pa.array(near))
+
+    return emit
+
+
+def one_of_each(
+    docs: DataFrame, similarity: float = 0.8, words: int = 5, limit: int = 6, words_per_shingle: int = 2
+) -> DataFrame:
+    """``docs``, all columns, with one row of each group of near copies: the smallest doc_id.
+
+    Candidates are fingerprints over runs of ``words_per_shingle`` words at ``limit`` or fewer
+    differing bits; a link holds if the texts' sets of runs of ``words`` words have the given
+    similarity or more, by the smallest hashes in 256 bins (exact for the sets that meet in bins
+    of one member; off by 0.025 on average for long texts). Equal fingerprints are equal texts
+    here. Ties of doc_id, nulls last, are settled by the text's hash, and of repeated rows one
+    stays. Texts without words are one group. An empty table gives an empty result.
+    """
+    key = F.xxhash64("doc_id", "text")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_key"))
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("row_key"), "text")
+    prints = stored(
+        read.mapInArrow(
+            _prints(words_per_shingle, 42, words), "doc_id long, row_key long, code long, sketch binary"
+        )
+    )
+    codes = prints.groupBy("code").agg(F.min(order).alias("first"), F.min_by("sketch", order).alias("sketch"))
+    links = code_links(codes.select("code"), limit).distinct()
+    left = codes.select(F.col("code").alias("left"), F.col("sketch").alias("left_sketch"))
+    right = codes.select(F.col("code").alias("right"), F.col("sketch").alias("right_sketch"))
+    near = links.join(left, "left").join(right, "right").mapInArrow(_similar(similarity), "left long, right long")
+    roots = components(near).withColumnRenamed("node", "code")
+    of = codes.select("code", "first").join(roots, "code", "left")
+    stay = of.groupBy(F.coalesce("root", "code").alias("root")).agg(F.min("first").alias("first"))
+    chosen = stay.select(F.col("first.row_key").alias("stay_key"))
+    held = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select(
+        "_row", F.xxhash64(F.col("_row.doc_id"), F.col("_row.text")).alias("_key")
+    )
+    kept = held.join(chosen, F.col("_key") == F.col("stay_key"), "left_semi")
+    return kept.dropDuplicates(["_key"]).select("_row.*")
