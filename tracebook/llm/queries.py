@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from tracebook.llm import decontaminate, html_text, licenses, lines, packing, quality, secret_scan, simhash, spans, toxicity
 from tracebook.llm.common import fold, table
+from tracebook.llm.sql import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
+
 
 
 def query(function: Query) -> Query:
@@ -75,3 +76,6 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+assert SQL.keys() <= QUERIES.keys()
