@@ -12,13 +12,16 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 from compare import connect, differences  # noqa: E402
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
 from tests.test_star import landing, lists  # noqa: E402
 from tracebook.operators.picks import latest_per_key  # noqa: E402
 from tracebook.operators.snapshot import disclosure_documents  # noqa: E402
 from tracebook.operators.pages import topic_excerpts  # noqa: E402
 from tracebook.operators.star import Dimension, join_dimensions  # noqa: E402
+from tracebook.plans import disclosure_bindings, disclosure_oracles  # noqa: E402, F401
+from tracebook.plans.bindings import queries  # noqa: E402
 from tracebook.plans.disclosures import build, extraction  # noqa: E402
+from tracebook.plans.oracles import oracle_sql  # noqa: E402
 from tracebook.schemas import PAYLOADS  # noqa: E402
 from tracebook.sources import scans, sinks  # noqa: E402
 
@@ -95,7 +98,7 @@ def test_marts_join_no_dimension_twice(without_broadcast):
 def test_filters_and_columns_reach_the_scan(spark):
     plan = physical(queries()["coverage"](spark, SMALL))
     scan = next(line for line in plan.splitlines() if "orders.parquet" in line)
-    assert "EqualTo(o_orderstatus,F)" in scan
+    assert "EqualTo(o_orderpriority,1-URGENT)" in scan
     assert "o_totalprice" not in scan.split("ReadSchema")[1]
 
 

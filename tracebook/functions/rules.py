@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracebook.fixed_values import LANGUAGES, MODELS, TOPICS
 from tracebook.functions.once import computed_once
+from tracebook.schemas import VALUE_TYPE
 
 Rules = dict[str, Column]
 
+# fixed value: the longest URL a registry entry may have
+URL_LIMIT = 2083
+
 
 def length_between(c: str, low: int, high: int) -> Column:
     return F.length(F.col(c)).between(low, high)
@@ -25,7 +30,7 @@ def exactly_one(first: str, second: str) -> Column:
 
 
 def http_url(c: str) -> Column:
-    return F.col(c).rlike(r"^(?i)https?://[^\s/?#]+\S*$")
+    return F.col(c).rlike(r"^(?i)https?://[^\s/?#]+\S*\z") & (F.length(c) <= URL_LIMIT)
 
 
 def record_rules() -> Rules:
@@ -54,14 +59,22 @@ def landing_limits() -> Rules:
     }
 
 
+def type_limits() -> Rules:
+    """Whether a number as it came fits the landing column that it is meant for."""
+    return {
+        f"{column}_fits": F.col(column).isNull() | F.col(column).try_cast(kind).isNotNull()
+        for column, kind in {"value_numeric": VALUE_TYPE, "source_page": T.IntegerType()}.items()
+    }
+
+
 def registry_rules() -> Rules:
     """Rules of a company registry entry; the report URL may be missing."""
     return {
         "ticker_length": length_between("ticker", 2, 10),
         "name_length": length_between("name", 2, 100),
         "sector_length": length_between("sector", 2, 50),
-        "country_code": F.col("country").rlike("^[A-Z]{2}$"),
-        "language_code": F.col("language").rlike("^(fr|en)$"),
+        "country_code": F.col("country").rlike(r"^[A-Z]{2}\z"),
+        "language_code": F.col("language").rlike(r"^(fr|en)\z"),
         "ir_page_url_http": http_url("ir_page_url"),
         "known_report_url_http": F.col("known_report_url").isNull() | http_url("known_report_url"),
     }

@@ -16,12 +16,15 @@ from tracebook.fixed_values import (
 )
 from tracebook.functions.once import computed_once
 from tracebook.operators.joins import contains_any
-from tracebook.session import shuffle_width
 
 # fixed value: page header form and the blank line between pages
 HEADER_PATTERN = r"\[page ([0-9]+)\]"
 PAGE_BREAK = "\n\n"
 
+# Slices of a hot group in the first pass. Lengths are all that the passes carry, so the second
+# pass sees this many budgets of short rows per group, however wide the cluster shuffles.
+SLICES = 64
+
 
 def page_header(page: Column) -> Column:
     return F.concat(F.lit("[page "), page.cast("string"), F.lit("]"))
@@ -49,10 +52,11 @@ def split_report(reports: DataFrame, text: str = "text") -> DataFrame:
     return pages.select("*", number.alias("page"), body.alias("text"))
 
 
-def assemble_reports(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
+def assemble_reports(pages: DataFrame, max_pages: int | None = MAX_PAGES) -> DataFrame:
     """Marked-up text and page count per report, from its first ``max_pages`` pages.
 
-    The page limit is part of the operation and bounds what one group collects.
+    The page limit is part of the operation and bounds what one group collects; without one
+    a report is as long as its pages make it.
     """
     parts = page_rows(pages, max_pages).select(
         "report_id",
@@ -109,7 +113,7 @@ def prefix_within_budget(
     order: Sequence[str],
     lanes: Mapping[str, Lane],
     between=lambda survivors: survivors,
-    split: int | None = None,
+    split: int = SLICES,
 ) -> DataFrame:
     """Rows that stay in at least one lane, with the array ``kept`` of their lanes.
 
@@ -120,7 +124,6 @@ def prefix_within_budget(
     group, no more than ``split`` budgets of text. ``between`` may refine the survivors
     (and lower the cost of a group's last row) before the second pass.
     """
-    split = split or shuffle_width(df.sparkSession)
     costs = {lane: f"__cost_{lane}" for lane in lanes}
     rows = df.withColumns({costs[lane]: spec.cost for lane, spec in lanes.items()})
     rows = rows.where(F.coalesce(*[F.col(c) for c in costs.values()]).isNotNull())
@@ -181,54 +184,51 @@ def topic_excerpts(
     pages: DataFrame,
     topics: Mapping[str, Sequence[str]] = TOPIC_KEYWORDS,
     max_chars: int = MAX_PROMPT_CHARS,
-    split: int | None = None,
+    split: int = SLICES,
 ) -> DataFrame:
     """The excerpt of every (report, topic): matching pages within the text budget.
 
-    ``pages(report_id, page, text)`` numbers the pages of a report 1, 2, 3, … A page
+    ``pages(report_id, page, text)`` has one row per page; numbers may have gaps. A page
     matches a topic if its lower-cased text contains one of the topic's keywords. Matching
     pages are taken in page order until the first one that would break the budget; if none
     was taken, the excerpt is the first ``max_chars`` characters of the report.
 
-    All topics share one pass: a page is shuffled once however many topics it serves, and
-    a page that serves none is dropped at the scan unless it can belong to the head of the
-    report.
+    The budget is decided on page lengths and hits alone, for all topics in one pass; text is
+    fetched afterwards for the pages that were taken.
     """
     header = page_header(F.col("page"))
     chunk = F.concat(header, F.lit("\n"), F.coalesce("text", F.lit("")), F.lit(PAGE_BREAK))
-    searched = computed_once(
-        pages.select("report_id", "page", "text"), {"chunk": chunk, "__lower": F.lower(chunk)}
-    ).drop("text")
-    flagged = searched.withColumns(
-        {f"__hit_{topic}": contains_any(F.col("__lower"), words) for topic, words in topics.items()}
-    ).drop("__lower")
-    length = F.length("chunk")
+    numbered = pages.select("report_id", "page", "text")
+    searched = computed_once(numbered, {"length": F.length(chunk), "__lower": F.lower(chunk)})
+    flagged = searched.select(
+        "report_id",
+        "page",
+        "length",
+        *[contains_any(F.col("__lower"), words).alias(f"__hit_{topic}") for topic, words in topics.items()],
+    )
+    length = F.col("length")
     lanes = {
         topic: Lane(F.when(F.col(f"__hit_{topic}"), length), max_chars) for topic in topics
     }
-    # every page takes at least its header and the blank line, 11 characters
-    in_head = F.col("page") <= max_chars // 11 + 1
-    lanes[_HEAD] = Lane(F.when(in_head, length), max_chars, covering=True)
-
+    lanes[_HEAD] = Lane(length, max_chars, covering=True)
     last_pages = pages.groupBy("report_id").agg(F.max("page").alias("__last"))
 
     def without_final_break(survivors: DataFrame) -> DataFrame:
         """The last page of a report has no blank line behind it."""
         joined = survivors.join(last_pages, "report_id")
-        final = F.col("page") == F.col("__last")
-        less = F.when(final, len(PAGE_BREAK)).otherwise(0)
+        less = F.when(F.col("page") == F.col("__last"), len(PAGE_BREAK)).otherwise(0)
         return joined.withColumns(
-            {
-                "chunk": F.when(
-                    final, F.substring("chunk", F.lit(1), F.length("chunk") - len(PAGE_BREAK))
-                ).otherwise(F.col("chunk")),
-                **{f"__cost_{lane}": F.col(f"__cost_{lane}") - less for lane in lanes},
-            }
-        ).drop("__last")
-
-    kept = prefix_within_budget(
+            {f"__cost_{lane}": F.col(f"__cost_{lane}") - less for lane in lanes}
+        )
+
+    taken = prefix_within_budget(
         flagged, ["report_id"], ["page"], lanes, without_final_break, split
-    )
+    ).select("report_id", "page", "__last", "kept")
+    whole = F.when(
+        F.col("page") == F.col("__last"),
+        F.concat(header, F.lit("\n"), F.coalesce("text", F.lit(""))),
+    ).otherwise(chunk)
+    kept = taken.join(numbered, ["report_id", "page"]).withColumn("chunk", whole)
 
     def texts(lane: str) -> Column:
         return F.collect_list(

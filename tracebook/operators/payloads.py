@@ -151,6 +151,9 @@ def judged_attempts(payloads: DataFrame) -> DataFrame:
             & F.length(entry["esrs_disclosure"]).between(3, 20)
             & F.length(entry["metric_name"]).between(3, 200)
             & (entry["value_numeric"].isNull() != entry["value_text"].isNull())
+            & (entry["value_numeric"].isNull() | entry["value_numeric"].try_cast(VALUE_TYPE).isNotNull())
+            & (F.length(F.coalesce(entry["value_text"], F.lit(""))) <= 500)
+            & (F.length(F.coalesce(entry["unit"], F.lit(""))) <= 50)
             & (entry["source_page"] >= 1)
             & F.length(entry["source_snippet"]).between(20, 500)
             & entry["source_snippet"].rlike(r"(?U)\S")
@@ -177,18 +180,30 @@ def first_accepted(
     keys: Sequence[str] = ("report_id", "topic"),
     priority: str = "priority",
 ) -> DataFrame:
-    """Per work item the accepted attempt of the best priority."""
-    return first_per_key(attempts.where("accepted"), list(keys), [F.col(priority).asc()])
+    """Per work item the accepted attempt of the best priority; model and content settle ties."""
+    named = [F.col("model").asc()] if "model" in attempts.columns else []
+    order = [F.col(priority).asc(), *named, F.xxhash64(F.to_json(F.struct("*"))).asc()]
+    return first_per_key(attempts.where("accepted"), list(keys), order)
 
 
 def attempt_outcomes(
     work: DataFrame, attempts: DataFrame, keys: Sequence[str] = ("report_id", "topic")
 ) -> DataFrame:
-    """Every work item with its chosen attempt; ``error`` is set where none was accepted."""
+    """Every work item with its chosen attempt; ``error`` tells why none was accepted.
+
+    The messages of the attempts follow each other in the order in which models are tried.
+    """
     chosen = first_accepted(attempts, keys).drop("error")
     outcome = work.join(chosen, list(keys), "left")
-    failed = F.when(F.col("accepted").isNull(), F.lit("no acceptable payload"))
-    return outcome.withColumn("error", failed).drop("accepted")
+    message = F.concat_ws(": ", "model", F.coalesce("error", F.lit("payload refused")))
+    said = F.array_sort(F.collect_list(F.when(~F.col("accepted"), F.struct("priority", message.alias("m")))))
+    messages = attempts.groupBy(*keys).agg(
+        F.array_join(F.transform(said, lambda x: x["m"]), "; ").alias("__said")
+    )
+    failed = F.when(
+        F.col("accepted").isNull(), F.coalesce(F.nullif("__said", F.lit("")), F.lit("no attempt"))
+    )
+    return outcome.join(messages, list(keys), "left").withColumn("error", failed).drop("accepted", "__said")
 
 
 def all_or_nothing(
@@ -222,7 +237,7 @@ def scored_records(
     )
     scored = score_records(entries).withColumns(
         {
-            "value_numeric": F.col("value_numeric").cast(VALUE_TYPE),
+            "value_numeric": F.col("value_numeric").try_cast(VALUE_TYPE),
             "extraction_timestamp": F.current_timestamp() if extracted_at is None else extracted_at,
         }
     )

@@ -196,7 +196,15 @@ def wide_fact(
     )
     if approvals is None:
         return wide.withColumn("human_approved", F.lit(None).cast("boolean"))
-    return wide.join(approvals.select("disclosure_id", "human_approved"), "disclosure_id", "left")
+    return wide.join(latest_decisions(approvals), "disclosure_id", "left")
+
+
+def latest_decisions(approvals: DataFrame) -> DataFrame:
+    """One decision per disclosure: the latest where times are kept, and a rejection among equals."""
+    when = F.col("decided_at") if "decided_at" in approvals.columns else F.lit(0)
+    return approvals.groupBy("disclosure_id").agg(
+        F.max_by("human_approved", F.struct(when, ~F.col("human_approved"))).alias("human_approved")
+    )
 
 
 def fact(wide: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from tracebook.operators.picks import first_per_key, latest_per_key, preferred_f
 from tracebook.operators.snapshot import nested_documents
 from tracebook.plans.tables import table
 from tracebook.schemas import SCORE_TYPE
-from tracebook.sources.scans import admitted_files, spread_small
+from tracebook.sources.scans import admitted_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +32,8 @@ LINE_TOPICS = {
 }
 CHAT_TOPICS = {"E1": ("energ", "climate", "ation"), "S1": ("employ", "diente"), "G1": ("ethics", "lobby")}
 BUDGET = 1500
+# of all years; one customer in eight has none, which gives missing parents and nulls
+URGENT = "o_orderpriority = '1-URGENT'"
 
 
 def query(function: Query) -> Query:
@@ -60,7 +62,7 @@ def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    lines = table(spark, sf_dir, "lineitem")
     return latest_per_key(lines, ["l_orderkey", "l_linenumber"], "l_shipdate")
 
 
@@ -268,7 +270,7 @@ def semi_labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers with a delivery of 1998, found by their derived key."""
     suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("ticker"), "s_name")
-    lines = table(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem").where(F.year("l_shipdate") == 1998)
     shipped = lines.groupBy("l_suppkey", F.year("l_shipdate").alias("year")).agg(
         F.max("l_orderkey").alias("last_order")
     )
@@ -299,9 +301,9 @@ def failure_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    early = orders.where((F.col("o_orderstatus") == "F") & (F.year("o_orderdate") == 1995))
+    urgent = orders.where(URGENT)
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    check = quality.has_parent("c_custkey", early.select("o_custkey").distinct(), "o_custkey")
+    check = quality.has_parent("c_custkey", urgent.select("o_custkey").distinct(), "o_custkey")
     return quality.failing_rows(customers, check)
 
 
@@ -357,7 +359,7 @@ def unit_interval_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def value_in_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread_small(table(spark, sf_dir, "events"), "event_id").select(
+    events = table(spark, sf_dir, "events").select(
         "event_id",
         F.when(F.col("event_type") != "view", F.col("value").cast("decimal(28,6)")).alias("number"),
         F.when(F.col("event_type") == "view", F.upper(F.substring("props", 3, 1))).alias("word"),
@@ -369,7 +371,7 @@ def value_in_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def snippet_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread_small(table(spark, sf_dir, "events"), "event_id")
+    events = table(spark, sf_dir, "events")
     snippet = F.concat(F.lit("Total, "), F.col("props"))
     number = F.when(F.col("event_type") != "view", F.col("value") / 8)
     word = F.when(F.col("event_type") == "view", F.lit("K"))
@@ -383,12 +385,12 @@ def snippet_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def passage_in_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     passages = table(spark, sf_dir, "benchmark").withColumnRenamed("text", "passage")
-    documents = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return containment_pairs(documents, passages, "doc_id", "item_id")
 
 
 def line_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
     return lines.select(
         F.col("doc_id").alias("report_id"), (F.col("line") + 1).alias("page"), "text"
@@ -430,7 +432,7 @@ def assembled_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def split_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    assembled = pages.assemble_reports(chat_pages(spark, sf_dir)).select("report_id", "text")
+    assembled = pages.assemble_reports(chat_pages(spark, sf_dir), max_pages=None).select("report_id", "text")
     return pages.split_report(assembled).select(
         "report_id", "page", F.length("chunk").cast("long").alias("chunk_chars")
     )
@@ -460,7 +462,7 @@ def prompt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def payload_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event's JSON as a one-entry payload, parsed and coerced."""
-    events = spread_small(table(spark, sf_dir, "events"), "event_id")
+    events = table(spark, sf_dir, "events")
     payload = F.concat(
         F.lit('{"metrics":[{"source_page":'),
         F.when(F.col("event_type") == "view", F.lit('"12"')).otherwise(F.lit("12.7")),
@@ -595,7 +597,7 @@ def parent_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def display_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread_small(table(spark, sf_dir, "events"), "event_id")
+    events = table(spark, sf_dir, "events")
     cents = F.col("value").cast("decimal(12,2)")
     number = F.when(F.col("event_type") == "click", cents * 37).when(
         F.col("event_type") == "purchase", cents
@@ -631,7 +633,7 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def mean_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F' and year(o_orderdate) = 1995")
+    orders = table(spark, sf_dir, "orders").where(URGENT)
     spent = orders.select(
         F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").cast("decimal(14,2)").alias("score")
     )
@@ -691,7 +693,7 @@ def portfolio_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F' and year(o_orderdate) = 1995")
+    orders = table(spark, sf_dir, "orders").where(URGENT)
     customers = table(spark, sf_dir, "customer")
     return reports.coverage(
         customers.select("c_custkey"), orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey"
@@ -716,11 +718,11 @@ def sequence_in_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def top1_nulls_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_one(early_totals(spark, sf_dir), "largest", "c_name")
+    return top_one(urgent_totals(spark, sf_dir), "largest", "c_name")
 
 
-def early_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F' and year(o_orderdate) = 1995")
+def urgent_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").where(URGENT)
     largest = orders.groupBy("o_custkey").agg(F.max("o_totalprice").alias("largest"))
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     return customers.join(largest, F.col("c_custkey") == F.col("o_custkey"), "left").select(
@@ -731,7 +733,7 @@ def early_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def top_customer_per_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_per_key(
-        early_totals(spark, sf_dir),
+        urgent_totals(spark, sf_dir),
         ["c_nationkey"],
         [F.col("largest").desc_nulls_last(), F.col("c_name").asc()],
     )

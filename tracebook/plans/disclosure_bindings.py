@@ -16,7 +16,7 @@ from tracebook.plans import disclosures
 from tracebook.plans.bindings import query, score_of, stamp
 from tracebook.plans.tables import table
 from tracebook.schemas import METRICS, PERIODS, RAW
-from tracebook.sources.scans import flatten_records, spread_small
+from tracebook.sources.scans import landing_rows
 
 TOPIC_OF = {"click": "E1", "view": "E2", "purchase": "E3", "error": "S1", "signup": "G1"}
 FIRST_MODEL, SECOND_MODEL = "claude-sonnet-4-6", "mistral-large-latest"
@@ -29,7 +29,7 @@ def _topic() -> Column:
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with the columns of a disclosure record next to their own."""
-    events = spread_small(table(spark, sf_dir, "events"), "event_id")
+    events = table(spark, sf_dir, "events")
     rank = F.try_variant_get(F.try_parse_json("props"), "$.k", "int")
     return events.withColumn("k", rank).select(
         "*",
@@ -128,24 +128,29 @@ def flattened_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested records flattened and judged by the record rules."""
     events = event_records(spark, sf_dir)
     word = F.when(F.col("event_type").isin("view", "error"), F.lit("Yes"))
+    odd_score = F.when(F.col("event_id") % 10 == 3, 1.0004).when(F.col("event_id") % 10 == 4, 12.0)
+    odd_value = F.when(F.col("event_id") % 10 == 5, 1e22).when(F.col("event_id") % 10 == 6, 1e30)
     nested = events.withColumns(
         {
-            "value_numeric": F.when(F.col("event_type") != "view", F.col("value_numeric")),
+            "confidence_score": F.coalesce(odd_score, F.col("confidence_score").cast("double")),
+            "value_numeric": F.when(
+                F.col("event_type") != "view", F.coalesce(odd_value, F.col("value_numeric").cast("double"))
+            ),
             "value_text": word,
             "source_citation": F.struct(
                 (F.col("source_page") - 5).alias("page"),
                 F.when(F.col("k") < 90, F.col("source_snippet")).alias("snippet"),
             ),
+            "unit": F.col("event_id").cast("string"),
         }
-    )
-    flat = flatten_records(nested.drop("source_page", "source_snippet", "ts").withColumn(
-        "unit", F.col("event_id").cast("string")
-    ))
-    checked = rules.validate(flat, rules.record_rules())
-    return checked.select(
+    ).drop("source_page", "source_snippet", "ts")
+    valid, invalid = landing_rows(nested)
+    both = valid.withColumn("violations", F.array().cast("array<string>")).unionByName(invalid)
+    return both.select(
         F.col("unit").cast("long").alias("event_id"),
         "company_ticker",
         "source_page",
+        F.coalesce("value_numeric", F.lit(-1)).cast("double").alias("value_numeric"),
         F.array_join("violations", ",").alias("violations"),
     )
 

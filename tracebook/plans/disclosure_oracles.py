@@ -166,13 +166,17 @@ FROM numbered GROUP BY ALL"""
 
 ORACLES["flattened_records"] = f"""
 SELECT event_id, company_ticker, source_page - 5 AS source_page,
+    CASE WHEN event_type = 'view' OR event_id % 10 IN (5, 6) THEN -1
+         ELSE CAST(value_numeric AS DOUBLE) END AS value_numeric,
     array_to_string(list_filter([
         CASE WHEN length(company_ticker) NOT BETWEEN 2 AND 10 THEN 'company_ticker_length' END,
         CASE WHEN event_type = 'error' THEN 'exactly_one_value' END,
+        CASE WHEN event_id % 10 IN (3, 4) THEN 'confidence_score_range' END,
         CASE WHEN source_page - 5 < 1 THEN 'source_page_min' END,
         CASE WHEN k >= 90 OR length(source_snippet) NOT BETWEEN 20 AND 500
              THEN 'source_snippet_length' END,
-        CASE WHEN k >= 90 THEN 'source_snippet_blank' END],
+        CASE WHEN k >= 90 THEN 'source_snippet_blank' END,
+        CASE WHEN event_type <> 'view' AND event_id % 10 IN (5, 6) THEN 'value_numeric_fits' END],
         lambda x: x IS NOT NULL), ',') AS violations
 FROM {RECORDS}"""
 

@@ -123,18 +123,21 @@ def refresh(
     database: str,
     approvals: DataFrame | None = None,
     threshold: float = CONFIDENCE_THRESHOLD,
+    rejected_wins: bool = False,
 ) -> Warehouse:
     """Full refresh of the stored tables; staging stays a view.
 
     Staging feeds the metric dimension and the fact, the wide fact feeds fact and marts;
     both are stored before they are used again, so nothing above them is computed twice.
     """
-    staged = checkpointed(latest_per_key(raw))
-    staged.createOrReplaceTempView("stg_disclosure")
+    latest = latest_per_key(raw)
+    latest.createOrReplaceTempView("stg_disclosure")  # over raw: shows rows that come later
+    staged = checkpointed(latest)
     company = as_table(star.company_dimension(companies), f"{database}.dim_company")
     metric = as_table(star.metric_dimension(catalogue, staged), f"{database}.dim_metric")
     period = as_table(star.period_dimension(periods), f"{database}.dim_period")
     wide = checkpointed(star.wide_fact(staged, company, metric, period, approvals))
+    options = {"rejected_wins": rejected_wins}
     return Warehouse(
         staged=staged,
         companies=company,
@@ -143,10 +146,10 @@ def refresh(
         wide=wide,
         fact=as_table(star.fact(wide), f"{database}.fact_disclosure"),
         published=as_table(
-            star.published_mart(wide, threshold), f"{database}.mart_disclosure_published"
+            star.published_mart(wide, threshold, **options), f"{database}.mart_disclosure_published"
         ),
         review=as_table(
-            star.review_mart(wide, threshold), f"{database}.mart_disclosure_review_queue"
+            star.review_mart(wide, threshold, **options), f"{database}.mart_disclosure_review_queue"
         ),
     )
 

@@ -49,7 +49,7 @@ JUDGED = """(
     FROM documents LEFT JOIN labels USING (doc_id))"""
 PUBLISHED = "(score >= 0.8 OR coalesce(approved, false))"
 REVIEW = "(score < 0.8 AND NOT coalesce(approved, false))"
-EARLY = "o_orderstatus = 'F' AND year(o_orderdate) = 1995"
+URGENT = "o_orderpriority = '1-URGENT'"
 CHAT = "(SELECT conv_id AS report_id, CAST(turn + 1 AS INTEGER) AS page, text FROM conversations)"
 LINES = """(
     SELECT doc_id AS report_id, page, line AS text FROM (
@@ -187,7 +187,7 @@ FROM events"""
 
 ORACLES["fk_violations"] = f"""
 SELECT c_custkey, c_name FROM customer
-WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE {EARLY})"""
+WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE {URGENT})"""
 
 LABELLED = "(SELECT doc_id, lang, quality, toxic FROM documents LEFT JOIN labels USING (doc_id))"
 _COUNTED = {
@@ -299,7 +299,7 @@ FROM {CHAT} WHERE page <= 200 GROUP BY report_id"""
 ORACLES["split_pages"] = f"""
 SELECT report_id, page, length('[page ' || page || ']') + 1 + length(text)
     + CASE WHEN page = max(page) OVER (PARTITION BY report_id) THEN 0 ELSE 2 END AS chunk_chars
-FROM {CHAT} WHERE page <= 200"""
+FROM {CHAT}"""
 
 
 def prompt() -> str:
@@ -432,7 +432,7 @@ FROM orders GROUP BY ROLLUP (o_orderstatus)"""
 ORACLES["mean_score"] = f"""
 SELECT c_custkey, coalesce(m, 0.0::DOUBLE) AS mean_score FROM customer LEFT JOIN (
     SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) / count(*) AS m
-    FROM orders WHERE {EARLY} GROUP BY 1) ON o_custkey = c_custkey"""
+    FROM orders WHERE {URGENT} GROUP BY 1) ON o_custkey = c_custkey"""
 
 ORACLES["topic_profile"] = f"""
 SELECT source, lang, CAST(list_position({list(LANGUAGE_ORDER[:3])}, lang) AS BIGINT) AS topic_position,
@@ -465,7 +465,7 @@ SELECT CAST(sum(exposure) AS DOUBLE) AS total_exposure, CAST(sum(amount) AS DOUB
 FROM {EXPOSED}"""
 
 ORACLES["coverage"] = f"""
-SELECT count(*) FILTER (c_custkey IN (SELECT o_custkey FROM orders WHERE {EARLY})) AS covered,
+SELECT count(*) FILTER (c_custkey IN (SELECT o_custkey FROM orders WHERE {URGENT})) AS covered,
        count(*) AS entities FROM customer"""
 
 ORACLES["sequence_in_group"] = """
@@ -473,16 +473,16 @@ SELECT o_orderkey, concat_ws('-', CAST(o_custkey AS VARCHAR), CAST(row_number()
     PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS VARCHAR)) AS id
 FROM orders"""
 
-EARLY_TOTALS = f"""(
+URGENT_TOTALS = f"""(
     SELECT c_nationkey, c_name, largest FROM customer LEFT JOIN (
-        SELECT o_custkey, max(o_totalprice) AS largest FROM orders WHERE {EARLY} GROUP BY 1
+        SELECT o_custkey, max(o_totalprice) AS largest FROM orders WHERE {URGENT} GROUP BY 1
     ) ON o_custkey = c_custkey)"""
 
 ORACLES["top1_nulls_last"] = f"""
-SELECT * FROM {EARLY_TOTALS} ORDER BY largest DESC NULLS LAST, c_name LIMIT 1"""
+SELECT * FROM {URGENT_TOTALS} ORDER BY largest DESC NULLS LAST, c_name LIMIT 1"""
 
 ORACLES["top_customer_per_nation"] = f"""
-SELECT * FROM {EARLY_TOTALS} QUALIFY row_number() OVER (
+SELECT * FROM {URGENT_TOTALS} QUALIFY row_number() OVER (
     PARTITION BY c_nationkey ORDER BY largest DESC NULLS LAST, c_name) = 1"""
 
 ORACLES["nested_snapshot"] = """

@@ -28,25 +28,15 @@ def local_session(app: str = "tracebook", cores: int | str = "*", **extra: str)
     return session
 
 
-def shuffle_width(session: SparkSession) -> int:
-    """How many ways a hot group is split: the width the cluster shuffles at."""
-    return max(int(session.conf.get("spark.sql.shuffle.partitions")), 1)
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """Store an intermediate result that several consumers read, and cut its lineage there.
 
     The files go to the shared folder named by ``spark.checkpoint.dir``, so they outlive
-    executors. Where none is named, a local session uses a folder of its own and a cluster
-    session keeps the plan as it is.
+    executors. Only a session that names none, as in tests, gets a folder of its own.
     """
     session = df.sparkSession
     context = session.sparkContext
     if context.getCheckpointDir() is None:
         folder = session.conf.get("spark.checkpoint.dir", None)
-        if not folder and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="checkpoints-")
-        if not folder:
-            return df
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint()

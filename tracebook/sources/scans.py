@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tracebook.fixed_values import FILE_MAGIC, METRIC_CATALOGUE, REGISTRY_MAX_ENTRIES
 from tracebook.functions.keys import parent_code
-from tracebook.functions.rules import record_rules, registry_rules, split_valid
+from tracebook.functions.rules import landing_limits, record_rules, registry_rules, split_valid, type_limits, validate
 from tracebook.schemas import METRICS, RAW, RECORD, REGISTRY
 
 
@@ -17,35 +17,21 @@ def reference_list(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
-#: a scan below this size is too small to be worth keeping in few tasks
-SMALL_SCAN_BYTES = 64 * 1024 * 1024
-_SPREAD_BYTES = 256 * 1024
-
-
-def spread_small(df: DataFrame, *columns: str) -> DataFrame:
-    """Spread a small scan by hash over all tasks; leave any other scan as it is.
-
-    A small file is mostly one row group, which a single task would read and then also
-    process alone. Large tables have enough splits and are not shuffled for this.
-    """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size >= SMALL_SCAN_BYTES:
-        return df
-    tasks = min(df.sparkSession.sparkContext.defaultParallelism, size // _SPREAD_BYTES)
-    return df.repartition(tasks, *columns) if tasks > 1 else df
-
-
 def registry(spark: SparkSession, path: str) -> DataFrame:
     """Company registry; refuses a list that is empty, too long, or has a bad entry."""
-    entries = reference_list(spark, path, REGISTRY).cache()
-    valid, invalid = split_valid(entries, registry_rules())
-    broken = invalid.select("ticker", "violations").take(5)
-    if broken:
-        raise ValueError(f"invalid registry entries: {broken}")
-    count = valid.count()
-    if not 1 <= count <= REGISTRY_MAX_ENTRIES:
-        raise ValueError(f"registry must have 1 to {REGISTRY_MAX_ENTRIES} entries, has {count}")
-    return valid
+    entries = validate(reference_list(spark, path, REGISTRY), registry_rules())
+    entry = F.struct("ticker", "violations")
+    # one pass; the first bad entries, not all of them, are named in the message
+    found = entries.agg(
+        F.count("*").alias("n"),
+        F.count_if(F.size("violations") > 0).alias("n_broken"),
+        F.slice(F.array_sort(F.collect_set(F.when(F.size("violations") > 0, entry))), 1, 5).alias("broken"),
+    ).first()
+    if found["n_broken"]:
+        raise ValueError(f"invalid registry entries: {found['n_broken']}, among them {found['broken']}")
+    if not 1 <= found["n"] <= REGISTRY_MAX_ENTRIES:
+        raise ValueError(f"registry must have 1 to {REGISTRY_MAX_ENTRIES} entries, has {found['n']}")
+    return entries.drop("violations")
 
 
 def metric_catalogue(spark: SparkSession) -> DataFrame:
@@ -73,21 +59,41 @@ def archive_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RECORD).json(path).select(*RECORD.fieldNames())
 
 
-def flatten_records(records: DataFrame) -> DataFrame:
-    """Nested records as flat landing rows, 14 columns in fixed order."""
+def flat_sources(records: DataFrame) -> DataFrame:
+    """Nested records with the 14 landing columns in order, still in the types they came in."""
     sources = {
         "source_page": F.col("source_citation.page"),
         "source_snippet": F.col("source_citation.snippet"),
         "extraction_timestamp": F.coalesce("extraction_timestamp", F.current_timestamp()),
     }
-    return records.select(
-        *[sources.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in RAW.fields]
+    return records.select(*[sources.get(f.name, F.col(f.name)).alias(f.name) for f in RAW.fields])
+
+
+def landing_types(rows: DataFrame) -> DataFrame:
+    """The landing columns in their declared types, other columns behind; what does not fit is null."""
+    declared = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in RAW.fields]
+    return rows.select(*declared, *[c for c in rows.columns if c not in RAW.fieldNames()])
+
+
+def flatten_records(records: DataFrame) -> DataFrame:
+    """Nested records as flat landing rows, 14 columns in fixed order."""
+    return landing_types(flat_sources(records))
+
+
+def landing_rows(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid landing rows, invalid rows with their violations) of nested records.
+
+    The rules look at the values as they came, before any of them is rounded or cast.
+    """
+    valid, invalid = split_valid(
+        flat_sources(records), record_rules() | landing_limits() | type_limits()
     )
+    return landing_types(valid), landing_types(invalid)
 
 
 def archive_rows(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(valid landing rows, invalid rows) of an archive; the record rules apply again."""
-    return split_valid(flatten_records(record_archive(spark, path)), record_rules())
+    return landing_rows(record_archive(spark, path))
 
 
 def raw_table(spark: SparkSession, path: str) -> DataFrame:
@@ -115,4 +121,6 @@ def admitted_files(
     """
     starts = F.substring(content, 1, len(magic)) == F.lit(magic)
     done = landed.where(F.col("length") > 0).select(key)
-    return files.where((F.length(content) > 0) & starts).join(done, key, "left_anti")
+    # the files' own length column is read without opening them
+    filled = F.col("length") > 0 if "length" in files.columns else F.length(content) > 0
+    return files.where(filled).join(done, key, "left_anti").where(starts)

@@ -14,7 +14,10 @@ def _write_counted(df: DataFrame, path: str, mode: str) -> int:
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     # rebalancing gathers the rows of a year in few files and splits a year that is too big
-    counted.hint("rebalance", "fiscal_year").write.mode(mode).partitionBy("fiscal_year").parquet(path)
+    # static: a reload replaces every year, whatever the session's overwrite mode
+    counted.hint("rebalance", "fiscal_year").write.mode(mode).option(
+        "partitionOverwriteMode", "static"
+    ).partitionBy("fiscal_year").parquet(path)
     return int(seen.get["rows"])
 
 

@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tracebook.functions.rules import record_rules, split_valid
 from tracebook.operators.picks import latest_per_key
 from tracebook.schemas import RAW, RECORD
-from tracebook.sources.scans import flatten_records
+from tracebook.sources.scans import landing_rows
 
 
 def archive_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -33,11 +32,14 @@ def land_stream(records: DataFrame, table: str, rejects: str, checkpoint: str) -
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        parsed = flatten_records(batch).persist()  # read by both writes
-        valid, invalid = split_valid(parsed, record_rules())
-        valid.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
-        invalid.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
-        parsed.unpersist()
+        held = batch.persist()  # read by both writes
+        valid, invalid = landing_rows(held)
+        for rows, path in ((valid, table), (invalid, rejects)):
+            # one file per year; static, so that a batch done again replaces all it left
+            rows.hint("rebalance", "fiscal_year").write.mode("overwrite").option(
+                "partitionOverwriteMode", "static"
+            ).partitionBy("fiscal_year").parquet(f"{path}/batch_id={batch_id}")
+        held.unpersist()
 
     return (
         records.writeStream.foreachBatch(land)
@@ -49,7 +51,9 @@ def land_stream(records: DataFrame, table: str, rejects: str, checkpoint: str) -
 
 def landed_rows(spark: SparkSession, table: str) -> DataFrame:
     """Everything landed so far."""
-    return spark.read.schema(RAW).parquet(f"{table}/batch_id=*").select(*RAW.fieldNames())
+    return (
+        spark.read.schema(RAW).option("basePath", table).parquet(f"{table}/batch_id=*").select(*RAW.fieldNames())
+    )
 
 
 def latest_landed(spark: SparkSession, table: str) -> DataFrame:
