@@ -482,9 +482,9 @@ def payload_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select(
         "event_id",
         "is_list",
-        F.coalesce("e.esrs_disclosure", F.lit("none")).alias("code"),
-        F.coalesce("e.source_page", F.lit(-1)).alias("page"),
-        F.coalesce("e.value_numeric", F.lit(-1.0)).alias("number"),
+        F.col("e.esrs_disclosure").alias("code"),
+        F.col("e.source_page").alias("page"),
+        F.col("e.value_numeric").alias("number"),
         F.coalesce("e.sound", F.lit(False)).alias("sound"),
     )
 

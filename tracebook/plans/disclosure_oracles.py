@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tracebook.plans.disclosure_bindings import FIRST_MODEL, SECOND_MODEL, TOPIC_OF
-from tracebook.plans.oracles import EVENT_SCORE, ORACLES, exact_units
+from tracebook.plans.oracles import EVENT_SCORE, ORACLES, three_decimals
 
 KEY = "company_ticker, fiscal_year, esrs_disclosure, metric_name, extraction_model"
 TOPIC = "CASE event_type " + " ".join(f"WHEN '{e}' THEN '{t}'" for e, t in TOPIC_OF.items()) + " END"
@@ -122,9 +122,10 @@ _rows("fact", "unit_interval(confidence_score)", "confidence_score < 0 OR confid
 _rows(
     "fact",
     "value_in_source",
-    "NOT (contains(replace(replace(source_snippet, ',', ''), ' ', ''), "
-    "CAST(CAST(value_numeric AS INTEGER) AS VARCHAR)) "
-    "OR contains(source_snippet, CAST(value_numeric AS VARCHAR)))",
+    "len(list_filter(["
+    "{'form': printf('%.0f', trunc(value_numeric::DOUBLE + 0.5)), 'place': translate(source_snippet, ', ', '')}, "
+    "{'form': value_numeric::VARCHAR, 'place': source_snippet}], "
+    "lambda a: contains(a.place, a.form))) = 0",
 )
 for _table in ("published", "review"):
     _unique(_table, "disclosure_id")
@@ -196,7 +197,7 @@ based AS (
 SELECT 'EV' || event_id AS company_ticker, esrs_topic, esrs_disclosure, metric_name,
        7 AS source_page,
        CASE WHEN second THEN '{SECOND_MODEL}' ELSE '{FIRST_MODEL}' END AS extraction_model,
-       number AS value_numeric, {exact_units("x", 3)} / 1000.0::DOUBLE AS confidence_score
+       number AS value_numeric, {three_decimals("x")} AS confidence_score
 FROM based"""
 
 ORACLES["resolved_urls"] = """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from tracebook.operators.pages import PROMPT_HEAD, PROMPT_TAIL, catalogue_lines
+from tracebook.fixed_values import METRIC_CATALOGUE
 from tracebook.plans.bindings import BUDGET, CHAT_TOPICS, LANGUAGE_ORDER, LINE_TOPICS, MONTH
 
 ORACLES: dict[str, str] = {}
@@ -23,16 +23,9 @@ def latest(source: str, keys: str, order: str, columns: str = "*") -> str:
     )
 
 
-def exact_units(x: str, digits: int) -> str:
-    """Rounding of a double on its exact binary value, in units of 10**-digits."""
-    scale = f"{10**digits}.0::DOUBLE"
-    high = f"(134217729.0::DOUBLE * {x} - (134217729.0::DOUBLE * {x} - {x}))"
-    floor = f"floor({x} * {scale})"
-    beyond = f"(({high} * {scale} - ({floor} + 0.5::DOUBLE)) + ({x} - {high}) * {scale})"
-    return (
-        f"(CASE WHEN {beyond} > 0 THEN {floor} + 1 WHEN {beyond} < 0 THEN {floor} "
-        f"ELSE {floor} + {floor}::BIGINT % 2 END)"
-    )
+def three_decimals(x: str) -> str:
+    """A double as it is printed with three decimals, which rounds its exact binary value."""
+    return f"CAST(printf('%.3f', {x}) AS DOUBLE)"
 
 
 LATEST_EVENTS = latest("events", "user_id, event_type", "ts DESC, event_id DESC")
@@ -223,19 +216,18 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
 ORACLES["unit_interval_violations"] = """
 SELECT event_id, value / 100 AS score FROM events WHERE value / 100 < 0 OR value / 100 > 1"""
 
+# every form in which a value may stand, next to the text in which that form is looked for
 ORACLES["value_in_source"] = """
-WITH named AS (
-    SELECT event_id, props,
-           CASE WHEN event_type <> 'view' THEN CAST(value AS DECIMAL(28,6)) END AS number,
-           CASE WHEN event_type = 'view' THEN upper(substring(props, 3, 1)) END AS word
-    FROM events)
-SELECT event_id, CAST(number AS DOUBLE) AS number, word, props FROM named
-WHERE CASE
-    WHEN number IS NOT NULL THEN NOT (
-        contains(replace(replace(props, ',', ''), ' ', ''), CAST(CAST(number AS INTEGER) AS VARCHAR))
-        OR contains(props, CAST(number AS VARCHAR)))
-    WHEN word IS NOT NULL THEN position(lower(word) IN lower(props)) = 0
-    ELSE true END"""
+WITH forms AS (
+    SELECT event_id, props, CAST(value AS DECIMAL(28,6)) AS number, NULL AS word, [
+        {'form': printf('%.0f', trunc(value + 0.5)), 'place': translate(props, ', ', '')},
+        {'form': printf('%.6f', value), 'place': props}] AS accepted
+    FROM events WHERE event_type <> 'view'
+    UNION ALL
+    SELECT event_id, props, NULL, upper(props[3]),
+        [{'form': lower(props[3]), 'place': lower(props)}] FROM events WHERE event_type = 'view')
+SELECT event_id, CAST(number AS DOUBLE) AS number, word, props FROM forms
+WHERE len(list_filter(accepted, lambda a: contains(a.place, a.form))) = 0"""
 
 ORACLES["snippet_value"] = """
 SELECT event_id, CASE WHEN event_type = 'view' THEN contains(lower(props), 'k')
@@ -302,22 +294,42 @@ SELECT report_id, page, length('[page ' || page || ']') + 1 + length(text)
 FROM {CHAT}"""
 
 
+# the prompt as it must read
+PROMPT = """Read the report excerpt and list the figures it discloses.
+
+Company: <company>
+Fiscal year: 2024
+Topic: <topic>
+Language: en
+
+Figures wanted:
+<catalogue>
+
+Answer with a JSON object holding a list named metrics. Give only values written in the
+excerpt, each with its page (source_page), a quote of at least 20 characters
+(source_snippet), the parent code (esrs_disclosure), the name as listed (metric_name),
+either value_numeric or value_text, the unit, and your certainty between 0 and 1
+(model_confidence). Leave out what is not disclosed; answer yes-no figures as text.
+
+Excerpt:
+---
+<excerpt>
+---
+"""
+
+
 def prompt() -> str:
-    catalogue = " ".join(
-        f"WHEN '{topic}' THEN {text(catalogue_lines(topic))}" for topic in CHAT_TOPICS
+    rows = ", ".join(
+        f"({at}, {text(topic)}, {text(code)}, {text(name)}, {text(unit or '')})"
+        for at, (topic, code, name, unit) in enumerate(METRIC_CATALOGUE)
     )
-    values = {
-        "company": "'Company ' || report_id",
-        "year": "'2024'",
-        "topic": "topic",
-        "language": "'en'",
-        "catalogue": f"CASE topic {catalogue} END",
-    }
-    rest, parts = PROMPT_HEAD, []
-    for field, value in values.items():
-        before, rest = rest.split("{" + field + "}", 1)
-        parts += [text(before), f"({value})"]
-    return " || ".join([*parts, text(rest), "excerpt", text(PROMPT_TAIL)])
+    entry = "'  - ' || string_split(code, '.')[1] || ': ' || name || ' (unit: ' || unit || ')'"
+    listed = f"""(SELECT coalesce(string_agg({entry}, chr(10) ORDER BY place), '')
+        FROM (VALUES {rows}) c(place, about, code, name, unit) WHERE about = topic)"""
+    filled = f"replace({text(PROMPT)}, '<company>', 'Company ' || report_id)"
+    for mark, value in (("<topic>", "topic"), ("<catalogue>", listed), ("<excerpt>", "excerpt")):
+        filled = f"replace({filled}, '{mark}', {value})"
+    return filled
 
 
 ORACLES["prompt_rows"] = f"""
@@ -329,10 +341,9 @@ FROM (SELECT report_id, topic, {prompt()} AS prompt
 
 ORACLES["payload_parse"] = """
 SELECT event_id, event_type <> 'click' AS is_list,
-       CASE event_type WHEN 'click' THEN 'none' ELSE 'E1-6' END AS code,
-       CASE event_type WHEN 'click' THEN -1 ELSE 12 END AS page,
-       CASE event_type WHEN 'click' THEN -1.0::DOUBLE
-            ELSE CAST(json_extract(props, '$.k') AS DOUBLE) END AS number,
+       CASE WHEN event_type <> 'click' THEN 'E1-6' END AS code,
+       CASE WHEN event_type <> 'click' THEN 12 END AS page,
+       CASE WHEN event_type <> 'click' THEN CAST(json_extract(props, '$.k') AS DOUBLE) END AS number,
        event_type NOT IN ('click', 'error') AS sound
 FROM events"""
 
@@ -390,7 +401,7 @@ penalised AS (
            * CASE WHEN snippet THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END
            * CASE WHEN spoken THEN 1.0::DOUBLE ELSE 0.7::DOUBLE END AS x
     FROM base)
-SELECT doc_id, CASE WHEN structural THEN {exact_units("x", 3)} / 1000.0::DOUBLE
+SELECT doc_id, CASE WHEN structural THEN {three_decimals("x")}
                     ELSE 0.0::DOUBLE END AS score
 FROM penalised"""
 
