@@ -104,3 +104,15 @@ def test_failed_work_keeps_the_messages_of_its_attempts(spark):
     assert found[1].error == "m1: timeout; m2: payload refused"
     assert found[2].error is None and found[2].model == "m1"
     assert found[3].error == "no attempt"
+
+
+def test_declared_marts_keep_their_types(spark):
+    from tracebook.schemas import MARTS, RAW
+
+    sinks.create_layers(spark, RAW)
+    narrow = landing(spark).select(F.lit("k").alias("period_id"), F.col("fiscal_year").cast("long"),
+                                   *[F.lit(None).cast("date").alias(c) for c in ("period_start", "period_end")],
+                                   F.lit("x").alias("reporting_basis"))
+    stored = sinks.as_table(narrow, "marts.dim_period", MARTS["dim_period"])
+    assert dict(stored.dtypes)["fiscal_year"] == "smallint"
+    assert sinks.as_table(narrow.limit(1), "marts.dim_period", MARTS["dim_period"]).count() == 1

@@ -23,7 +23,7 @@ from tracebook.operators.joins import work_list
 from tracebook.operators.pages import page_rows, prompt_rows, topic_excerpts
 from tracebook.operators.payloads import attempt_outcomes, judged_attempts, scored_records
 from tracebook.operators.picks import latest_per_key
-from tracebook.schemas import COMPANIES, METRICS, PERIODS, SCORE_TYPE
+from tracebook.schemas import COMPANIES, MARTS, METRICS, PERIODS, SCORE_TYPE
 from tracebook.session import checkpointed
 from tracebook.sources.sinks import as_table
 
@@ -133,9 +133,15 @@ def refresh(
     latest = latest_per_key(raw)
     latest.createOrReplaceTempView("stg_disclosure")  # over raw: shows rows that come later
     staged = checkpointed(latest)
-    company = as_table(star.company_dimension(companies), f"{database}.dim_company")
-    metric = as_table(star.metric_dimension(catalogue, staged), f"{database}.dim_metric")
-    period = as_table(star.period_dimension(periods), f"{database}.dim_period")
+    company = as_table(
+        star.company_dimension(companies), f"{database}.dim_company", MARTS["dim_company"]
+    )
+    metric = as_table(
+        star.metric_dimension(catalogue, staged), f"{database}.dim_metric", MARTS["dim_metric"]
+    )
+    period = as_table(
+        star.period_dimension(periods), f"{database}.dim_period", MARTS["dim_period"]
+    )
     wide = checkpointed(star.wide_fact(staged, company, metric, period, approvals))
     options = {"rejected_wins": rejected_wins}
     return Warehouse(
@@ -144,7 +150,7 @@ def refresh(
         metrics=metric,
         periods=period,
         wide=wide,
-        fact=as_table(star.fact(wide), f"{database}.fact_disclosure"),
+        fact=as_table(star.fact(wide), f"{database}.fact_disclosure", MARTS["fact_disclosure"]),
         published=as_table(
             star.published_mart(wide, threshold, **options), f"{database}.mart_disclosure_published"
         ),

@@ -63,6 +63,38 @@ PERIODS = _struct(
     period_end=T.DateType(),
     reporting_basis=_TEXT,
 )
+
+#: the declared mart tables: keys in front, then the attributes
+_KEY = _TEXT
+MARTS = {
+    "dim_company": T.StructType([T.StructField("company_id", _KEY), *COMPANIES.fields]),
+    "dim_metric": _struct(
+        metric_id=_KEY,
+        esrs_topic=_TEXT,
+        esrs_disclosure=_TEXT,
+        metric_name=_TEXT,
+        unit=_TEXT,
+        mandatory_flag=T.BooleanType(),
+        is_in_catalog=T.BooleanType(),
+    ),
+    "dim_period": T.StructType([T.StructField("period_id", _KEY), *PERIODS.fields]),
+    "fact_disclosure": _struct(
+        disclosure_id=_KEY,
+        company_id=_KEY,
+        metric_id=_KEY,
+        period_id=_KEY,
+        value_numeric=VALUE_TYPE,
+        value_text=_TEXT,
+        unit=_TEXT,
+        confidence_score=SCORE_TYPE,
+        source_page=T.IntegerType(),
+        source_snippet=_TEXT,
+        language=_TEXT,
+        extraction_model=_TEXT,
+        extraction_timestamp=T.TimestampType(),
+        human_approved=T.BooleanType(),
+    ),
+}
 EXPOSURES = _struct(ticker=_TEXT, exposure_eur_m=T.IntegerType())
 APPROVALS = _struct(disclosure_id=_TEXT, human_approved=T.BooleanType())
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracebook.fixed_values import NATURAL_KEY
+from tracebook.schemas import MARTS
 
 
 def _write_counted(df: DataFrame, path: str, mode: str) -> int:
@@ -41,10 +42,12 @@ def create_table(
 
 
 def create_layers(spark: SparkSession, raw_schema: T.StructType) -> None:
-    """The three layers with the raw landing table."""
+    """The three layers with the raw landing table and the declared mart tables."""
     for layer in ("raw", "staging", "marts"):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     create_table(spark, "raw.disclosure_extracted", raw_schema, ("fiscal_year",))
+    for name, schema in MARTS.items():
+        create_table(spark, f"marts.{name}", schema)
 
 
 def write_clustered(
@@ -66,9 +69,14 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def as_table(df: DataFrame, name: str) -> DataFrame:
-    """Full refresh of a stored table."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def as_table(df: DataFrame, name: str, schema: T.StructType | None = None) -> DataFrame:
+    """Full refresh of a stored table; a declared one keeps its columns and types."""
+    if schema is None:
+        df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    else:
+        create_table(df.sparkSession, name, schema)
+        typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+        typed.write.mode("overwrite").insertInto(name)
     return df.sparkSession.table(name)
 
 
