@@ -19,6 +19,7 @@ documents, which are neither shuffled nor gathered.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracebook.llm.common import Memo, byte_texts, chunks, positions_within, run_starts
+from tracebook.llm.common import byte_texts, chunks, positions_within, run_starts
 
 ITEMS_PER_BLOCK = 20_000
 SAMPLED_STEPS = 3
@@ -43,6 +44,38 @@ def plain(word: bytes) -> str:
     return word if word.isalnum() else "".join(c for c in word if c.isalnum())
 
 
+# ASCII: letters in lower case and digits stay, white space too, all else goes
+LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+MARKS = bytes(b for b in range(33, 128) if not chr(b).isalnum())
+
+
+class WordCodes(dict):
+    """Codes of words whose ASCII part is plain already; others are made plain when first met."""
+
+    def __init__(self, codes: dict[str, int], limit: int = 200_000):
+        self.base = {word.encode(): code for word, code in codes.items()}
+        super().__init__(self.base)
+        self.codes, self.limit = codes, limit
+
+    def __missing__(self, word: bytes) -> int:
+        if word.isascii():
+            bare = word.decode() if word.isalnum() else plain(word)
+        else:
+            bare = plain(word)
+        value = self[word] = self.codes.get(bare, 0) if bare else SKIP
+        return value
+
+    def run(self, text: bytes) -> np.ndarray:
+        """The codes of a text's words; words without letters or digits are left out."""
+        found = np.fromiter(map(self.__getitem__, text.translate(LOWER, MARKS).split()), np.int32)
+        return found[found != SKIP]
+
+    def trim(self) -> None:
+        if len(self) > self.limit + len(self.base):
+            self.clear()
+            self.update(self.base)
+
+
 def plain_words(text: bytes) -> list[str]:
     return [p for p in map(plain, text.split()) if p]
 
@@ -67,15 +100,16 @@ class SizeClass:
 
 def walk_keys(codes: np.ndarray, starts: np.ndarray, size: int, bits: np.ndarray, sample: np.ndarray) -> np.ndarray:
     """The sampled steps of the walks from ``starts``, as one number each."""
-    at = np.zeros(len(starts), np.int64)
+    codes, starts = codes.astype(np.int32, copy=False), starts.astype(np.int32)
+    at = np.zeros(len(starts), np.int32)
     keys = np.zeros(len(starts), np.uint64)
     with np.errstate(over="ignore"):
         for step in range(int(sample.max()) + 1):
-            here = np.where(at < size, codes[starts + np.minimum(at, size - 1)], 0)
+            here = codes.take(starts + at)  # a walk of so many steps stays in its window
             if step in sample:
                 keys = (keys ^ here.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
                 keys ^= keys >> np.uint64(29)
-            at += bits[step, here]
+            at += bits[step].take(here)
     return keys
 
 
@@ -111,6 +145,7 @@ class ItemIndex:
                 by_size.setdefault(class_size(len(run)), []).append(at)
         for size, members in sorted(by_size.items()):
             self.classes.append(self.build(size, members, recall, rng))
+        self.bags = [Counter(run.tolist()) for run in self.words]
         self.widest = max((c.size for c in self.classes), default=1)
 
     def allowed(self, item: int) -> int:
@@ -129,8 +164,9 @@ class ItemIndex:
         )
         found = np.zeros(len(picked), bool)
         while len(made.walks) < MOST_REPETITIONS and found.mean() < recall:
-            bits = rng.integers(2, size=(2 * size, len(self.codes) + 1), dtype=np.uint8)
-            sample = np.sort(rng.choice(max(2 * size - 2, 1), min(SAMPLED_STEPS, max(2 * size - 2, 1)), replace=False))
+            # steps of the first half of the walk: it has met fewer edits there
+            bits = rng.integers(2, size=(size, len(self.codes) + 1), dtype=np.uint8)
+            sample = np.sort(rng.choice(size, min(SAMPLED_STEPS, size), replace=False))
             keys = walk_keys(flat, starts, size, bits, sample)
             order = np.argsort(keys, kind="stable")
             made.walks.append((bits, sample))
@@ -170,23 +206,16 @@ def edits_within(item: np.ndarray, text: np.ndarray) -> int:
 def _scan(index: ItemIndex, emit_rows):
     """Runs ``emit_rows(batch, hits)`` per batch; hits: (row, item, start word, edits), one per row and item."""
 
-    def code(word: bytes) -> int:
-        bare = plain(word)
-        return index.codes.get(bare, 0) if bare else SKIP
-
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(code)
+        codes = WordCodes(index.codes)
         pad = index.widest
         for batch in batches:
             hits: dict[tuple[int, int], tuple[int, int]] = {}
-            for at, texts in chunks(byte_texts(batch)):
-                memo.trim()
-                get, runs = memo.__getitem__, []
-                for text in texts:
-                    run = np.fromiter(map(get, text.split()), np.int64)
-                    runs.append(run[run != SKIP])
+            for at, texts in chunks(byte_texts(batch), 2 << 20):
+                codes.trim()
+                runs = [codes.run(text) for text in texts]
                 sizes = np.array([len(run) for run in runs])
-                flat = np.concatenate([x for run in runs for x in (run, np.zeros(pad, np.int64))])
+                flat = np.concatenate([x for run in runs for x in (run, np.zeros(pad, np.int32))])
                 starts = run_starts(sizes + pad)
                 left = np.repeat(starts + sizes, sizes + pad) - np.arange(len(flat))
                 tried: set[tuple[int, int, int]] = set()
@@ -202,7 +231,7 @@ def _scan(index: ItemIndex, emit_rows):
                         tried.add(near)
                         low = max(0, near[2] * (allowed + 1) - allowed)
                         run = runs[row][low : low + size + 4 * allowed + 1]
-                        if np.isin(run, index.words[item]).sum() < size - allowed:
+                        if (Counter(run.tolist()) & index.bags[item]).total() < size - allowed:
                             continue  # too few words in common for so few edits
                         edits = edits_within(index.words[item], run)
                         if edits <= allowed:
