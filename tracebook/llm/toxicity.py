@@ -193,11 +193,11 @@ def numbered(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct words, the words of all texts as numbers, and the words per text."""
     numbers: defaultdict[bytes, int] = defaultdict()
     numbers.default_factory = numbers.__len__
-    runs = [bare_words(text) for text in texts]
-    sizes = np.fromiter(map(len, runs), np.int64, len(runs))
     get = numbers.__getitem__
-    flat = np.fromiter((get(w) for run in runs for w in run), np.int64, int(sizes.sum()))
-    return list(numbers), flat, sizes
+    # text by text, so that the words of one at a time are in memory
+    runs = [np.fromiter(map(get, bare_words(text)), np.int64) for text in texts]
+    sizes = np.fromiter(map(len, runs), np.int64, len(runs))
+    return list(numbers), np.concatenate([np.zeros(0, np.int64), *runs]), sizes
 
 
 def windows(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
