@@ -111,3 +111,30 @@ def test_one_of_each_group_of_near_copies_stays(docs):
     assert set(first) <= set(ids) and ids[-2:] == [900, 902]
     assert len(ids) <= 60 + 2 + 4
     assert simhash.one_of_each(table.limit(0)).collect() == []
+
+
+def test_links_of_a_wide_node_are_those_of_all_close_and_similar_pairs(spark):
+    """60 codes of one node; S is close to all and similar to none, the others are similar in pairs."""
+    rng = np.random.default_rng(7)
+    codes = np.array([0, *[1 << (i % 16) | 1 << (16 + i // 16) for i in range(60)]], np.int64)
+    sketches = rng.integers(0, 0xFFFF, (61, simhash.BINS)).astype(np.uint16)
+    for i in range(1, 61, 2):
+        sketches[i + 1] = sketches[i]
+        sketches[i + 1, :20] = 1
+    rows = [(i, int(codes[i]), bytearray(sketches[i].tobytes())) for i in range(61)]
+    entries = spark.createDataFrame(rows, "entry long, code long, sketch binary")
+    found = groups(((r.left, r.right) for r in simhash.similar_links(entries, 6, 0.8).collect()), range(61))
+    assert len({*found}) == 31
+    assert all(found[i] == found[i + 1] for i in range(1, 61, 2))
+
+
+def test_different_texts_of_one_fingerprint_both_stay(docs):
+    """Both texts have the same runs of two words, but few runs of five in common."""
+    import random
+
+    rng = random.Random(8)
+    blocks = [f"h {' '.join(f'b{k}x{i}' for i in range(4))} " for k in range(60)]
+    one = "".join(rng.sample(blocks, 60)) + "h"
+    other = "".join(rng.sample(blocks, 60)) + "h"
+    assert sorted(simhash.shingles(one.encode(), 2)) == sorted(simhash.shingles(other.encode(), 2))
+    assert {r.doc_id for r in simhash.one_of_each(docs(one, other, one)).collect()} == {0, 1}

@@ -28,6 +28,9 @@ from tracebook.llm.components import components
 FANOUT = 16
 SMALL_NODE = 48
 FRONTIER = 1024
+# Pairs that a search in a wide node holds at a time, and those whose sketches it compares at a time.
+PAIRS_HELD = 1 << 21
+PAIRS_COMPARED = 4096
 BINS = 256
 
 
@@ -67,9 +70,11 @@ def sketch(hashes: np.ndarray) -> bytes:
     return held.tobytes()
 
 
-def sketch_similarity(left: pa.Array, right: pa.Array) -> np.ndarray:
-    """Share of bins with the same smallest hash among bins that either has."""
-    a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint16).reshape(-1, BINS) for x in (left, right))
+def sketch_rows(sketches: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches.to_pylist()), np.uint16).reshape(-1, BINS)
+
+
+def similarities(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     either = (a != 0xFFFF) | (b != 0xFFFF)
     return ((a == b) & either).sum(axis=1) / np.maximum(either.sum(axis=1), 1)
 
@@ -323,26 +328,154 @@ def near_copies(docs: DataFrame, limit: int = 2, words_per_shingle: int = 3) ->
     )
 
 
-def _similar(least: float):
+def whole_nodes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by node, in tables that hold all rows of each of their nodes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        node = np.asarray(batch.column("node"))
+        if held and node[0] == node[-1] == held[-1].column("node")[0].as_py():
+            held.append(batch)
+            continue
+        cut = int(np.flatnonzero(node == node[-1])[0])
+        if held or cut:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+        held = [batch.slice(cut)]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def close_pairs(codes: np.ndarray, node: np.ndarray, longest: int, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of all pairs within the limit that share a node, for nodes of ``longest`` rows at most."""
+    for step in range(1, longest):
+        at = np.flatnonzero(
+            (node[:-step] == node[step:]) & (np.bitwise_count(codes[:-step] ^ codes[step:]) <= limit)
+        )
+        yield at, at + step
+
+
+def node_runs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Node and code of every row, where each node starts, how many rows it has."""
+    node, codes = (np.asarray(rows.column(c)).view(np.uint64) for c in ("node", "code"))
+    heads = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+    return node, codes, heads, np.diff(np.append(heads, len(node)))
+
+
+def _members(limit: int):
+    """Rows, sorted by node and Gray rank, whose node holds another within the limit."""
+
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                near = sketch_similarity(batch.column("left_sketch"), batch.column("right_sketch")) >= least
-                yield batch.select(["left", "right"]).filter(pa.array(near))
+        for rows in whole_nodes(batches):
+            node, codes, heads, sizes = node_runs(rows)
+            met = np.zeros(len(codes), bool)
+            of = np.repeat(sizes, sizes)
+            few = np.flatnonzero((of > 1) & (of <= SMALL_NODE))
+            for left, right in close_pairs(codes[few], node[few], int(of[few].max(initial=1)), limit):
+                met[few[left]] = met[few[right]] = True
+            for at in np.flatnonzero(sizes > SMALL_NODE):
+                here = slice(heads[at], heads[at] + sizes[at])
+                met[here] = ~alone(codes[here], limit)
+            yield from rows.filter(pa.array(met)).combine_chunks().to_batches()
 
     return emit
 
 
+def verified_links(
+    codes: np.ndarray, sketches: np.ndarray, limit: int, least: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of links that hold together what pairs both within the limit and similar join.
+
+    The search spreads as in ``spanning_links``, but only a pair whose sketches are similar takes
+    its far end out of the index; what was close and failed waits for the other codes near it.
+    """
+    none = np.zeros(0, np.int64)
+    left = np.ones(len(codes), bool)
+    places = np.arange(len(codes))
+    index = GrayIndex(codes)
+    reached, through = [none], [none]
+    for seed in range(len(codes)):
+        if not left[seed]:
+            continue
+        left[seed] = False
+        frontier = np.array([seed])
+        while len(frontier) and len(places):
+            step, size = [none], max(1, min(FRONTIER, PAIRS_HELD // len(places)))
+            for at in range(0, len(frontier), size):
+                who, found = index.within(codes[frontier[at : at + size]], limit)
+                parent, found = frontier[at + who], places[found]
+                for pair in range(0, len(found), PAIRS_COMPARED):
+                    one, other = (x[pair : pair + PAIRS_COMPARED] for x in (parent, found))
+                    one, other = one[left[other]], other[left[other]]
+                    near = similarities(sketches[one], sketches[other]) >= least
+                    new, first = np.unique(other[near], return_index=True)
+                    left[new] = False
+                    step.append(new)
+                    reached.append(new)
+                    through.append(one[near][first])
+            frontier = np.concatenate(step)
+            if len(frontier) and 2 * int(left[places].sum()) < len(places) and len(places) > FANOUT:
+                places = places[left[places]]
+                index = GrayIndex(codes[places]) if len(places) else None
+    return np.concatenate(reached), np.concatenate(through)
+
+
+def _verified(limit: int, least: float):
+    """Links (left, right) between the members of each node that are close and similar."""
+
+    def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_nodes(batches):
+            node, codes, heads, sizes = node_runs(rows)
+            name = np.asarray(rows.column("entry"))
+            sketches = sketch_rows(rows.column("sketch"))
+            of = np.repeat(sizes, sizes)
+            few = np.flatnonzero((of > 1) & (of <= SMALL_NODE))
+            found = [(few[:0], few[:0])]
+            for left, right in close_pairs(codes[few], node[few], int(of[few].max(initial=1)), limit):
+                for at in range(0, len(left), PAIRS_COMPARED):
+                    one, other = (few[x[at : at + PAIRS_COMPARED]] for x in (left, right))
+                    near = similarities(sketches[one], sketches[other]) >= least
+                    found.append((one[near], other[near]))
+            for at in np.flatnonzero(sizes > SMALL_NODE):
+                here = slice(heads[at], heads[at] + sizes[at])
+                one, other = verified_links(codes[here], sketches[here], limit, least)
+                found.append((one + heads[at], other + heads[at]))
+            left, right = (name[np.concatenate([x[side] for x in found])] for side in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], names=["left", "right"])
+
+    return emit
+
+
+def similar_links(entries: DataFrame, limit: int, least: float) -> DataFrame:
+    """Links (left, right) that join all ``entries`` (entry, code, sketch) that are close and similar.
+
+    Every close pair shares a node, and a node's links hold together what its similar pairs join.
+    Sketches go only to entries that have a close one in the node.
+    """
+    upper = F.explode(
+        F.array(*[F.xxhash64(F.lit(at), F.col("code").bitwiseAND(F.lit(_long(m)))) for at, m in enumerate(masks(limit))])
+    )
+
+    def by_node(rows: DataFrame) -> DataFrame:
+        return rows.repartition("node").sortWithinPartitions("node", gray_rank(F.col("code")))
+
+    members = by_node(entries.select("entry", "code", upper.alias("node"))).mapInArrow(
+        _members(limit), "entry long, code long, node long"
+    )
+    sketched = members.join(entries.select("entry", "sketch"), "entry")
+    return by_node(sketched).mapInArrow(_verified(limit, least), "left long, right long")
+
+
 def one_of_each(
     docs: DataFrame, similarity: float = 0.8, words: int = 5, limit: int = 6, words_per_shingle: int = 2
 ) -> DataFrame:
     """``docs``, all columns, with one row of each group of near copies: the smallest doc_id.
 
-    Candidates are fingerprints over runs of ``words_per_shingle`` words at ``limit`` or fewer
-    differing bits; a link holds if the texts' sets of runs of ``words`` words have the given
-    similarity or more, by the smallest hashes in 256 bins (exact for the sets that meet in bins
-    of one member; off by 0.025 on average for long texts). Equal fingerprints are equal texts
-    here. Ties of doc_id, nulls last, are settled by the text's hash, and of repeated rows one
+    Candidates are all pairs of fingerprints over runs of ``words_per_shingle`` words at ``limit``
+    or fewer differing bits, equal ones included; a link holds if the texts' sets of runs of
+    ``words`` words have the given similarity or more, by the smallest hashes in 256 bins (exact
+    for the sets that meet in bins of one member; off by 0.025 on average for long texts). Texts
+    with the same fingerprint and sketch are one entry of the search. Ties of doc_id, nulls last, are settled by the text's hash, and of repeated rows one
     stays. Texts without words are one group. An empty table gives an empty result.
     """
     key = F.xxhash64("doc_id", "text")
@@ -353,14 +486,15 @@ def one_of_each(
             _prints(words_per_shingle, 42, words), "doc_id long, row_key long, code long, sketch binary"
         )
     )
-    codes = prints.groupBy("code").agg(F.min(order).alias("first"), F.min_by("sketch", order).alias("sketch"))
-    links = code_links(codes.select("code"), limit).distinct()
-    left = codes.select(F.col("code").alias("left"), F.col("sketch").alias("left_sketch"))
-    right = codes.select(F.col("code").alias("right"), F.col("sketch").alias("right_sketch"))
-    near = links.join(left, "left").join(right, "right").mapInArrow(_similar(similarity), "left long, right long")
-    roots = components(near).withColumnRenamed("node", "code")
-    of = codes.select("code", "first").join(roots, "code", "left")
-    stay = of.groupBy(F.coalesce("root", "code").alias("root")).agg(F.min("first").alias("first"))
+    named = prints.withColumn("entry", F.xxhash64("code", "sketch"))
+    entries = stored(
+        named.groupBy("entry").agg(
+            F.first("code").alias("code"), F.first("sketch").alias("sketch"), F.min(order).alias("first")
+        )
+    )
+    roots = components(similar_links(entries, limit, similarity)).withColumnRenamed("node", "entry")
+    of = entries.select("entry", "first").join(roots, "entry", "left")
+    stay = of.groupBy(F.coalesce("root", "entry").alias("root")).agg(F.min("first").alias("first"))
     chosen = stay.select(F.col("first.row_key").alias("stay_key"))
     held = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select(
         "_row", F.xxhash64(F.col("_row.doc_id"), F.col("_row.text")).alias("_key")
