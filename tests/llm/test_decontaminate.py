@@ -90,3 +90,15 @@ def test_empty_tables_null_and_wordless_items(docs, spark):
     assert [tuple(r)[:2] for r in decontaminate.contained_items(docs("x abc def y", "ab"), none).collect()] == [(0, None)]
     assert decontaminate.contained_items(docs("x"), none.limit(0)).collect() == []
     assert decontaminate.contained_items(docs("x").limit(0), none).collect() == []
+
+
+def test_long_items_with_all_the_edits_allowed_are_found(docs, spark):
+    rng = random.Random(11)
+    items = [words(rng, 500) for _ in range(4)]
+    table = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    # every fifth word replaced: no five words of the item are left in a row
+    texts = [["changed" if (at + k) % 5 == 0 else w for at, w in enumerate(items[k % 4])] for k in range(40)]
+    shown = [" ".join([*words(rng, k), *text, *words(rng, 9)]) for k, text in enumerate(texts)]
+    found = {(r.doc_id, r.item_id): r for r in decontaminate.contained_items(docs(*shown), table).collect()}
+    assert found.keys() == {(k, k % 4) for k in range(40)}
+    assert all(r.edits <= 100 for r in found.values())

@@ -5,8 +5,10 @@ steps on by a random bit drawn for the step and the word. Two windows a few edit
 together again soon after each edit, so edit distance becomes Hamming distance between the walks,
 and sampled steps of a walk are a locality-sensitive hash. One repetition has its own bits and its
 own sample; how many are taken follows from ``recall``: edited copies of the items are embedded
-when the index is built, and repetitions are added until that share of them is found. A window
-that meets an item is verified by the exact edit distance between the item and the text there.
+when the index is built, and repetitions are added until that share of them is found. A class of
+items that stays under it (long items meet edits in every walk) is looked up by parts instead,
+which misses nothing: of e + 1 parts of an item, e edits leave one as it is. A window that meets
+an item is verified by the exact edit distance between the item and the text there.
 
 Items are sorted into size classes a quarter apart; a class walks over as many words as its
 smallest item has. A window within the allowed edits has almost all its words in common with an
@@ -96,6 +98,8 @@ class SizeClass:
     items: list[int]
     walks: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # (bits by step and word, sample)
     tables: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # sorted keys and their items
+    # where walks find too few: by length of the parts, sorted keys, their items and where in them
+    parts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
 
 
 def walk_keys(codes: np.ndarray, starts: np.ndarray, size: int, bits: np.ndarray, sample: np.ndarray) -> np.ndarray:
@@ -113,6 +117,24 @@ def walk_keys(codes: np.ndarray, starts: np.ndarray, size: int, bits: np.ndarray
     return keys
 
 
+def run_keys(codes: np.ndarray, size: int) -> np.ndarray:
+    """One number for each run of ``size`` codes."""
+    count = max(len(codes) - size + 1, 0)
+    keys = np.zeros(count, np.uint64)
+    with np.errstate(over="ignore"):
+        for step in range(size):
+            keys = (keys ^ codes[step : step + count].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            keys ^= keys >> np.uint64(29)
+    return keys
+
+
+def met(keys: np.ndarray, got: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of equal keys: (in ``got``, in the sorted ``keys``)."""
+    low, high = np.searchsorted(keys, got, "left"), np.searchsorted(keys, got, "right")
+    many = high - low
+    return np.repeat(np.arange(len(got)), many), np.repeat(low, many) + positions_within(many)
+
+
 def edited(rng: np.random.Generator, words: np.ndarray, edits: int, size: int) -> np.ndarray:
     """The words after random edits, padded with unknown words."""
     held = list(words)
@@ -172,11 +194,40 @@ class ItemIndex:
             made.walks.append((bits, sample))
             made.tables.append((keys[order], np.array(members)[order]))
             found |= walk_keys(trials, np.arange(len(picked)) * size, size, bits, sample) == keys[picked]
+        if found.mean() < recall:
+            made.walks, made.tables, made.parts = [], [], self.cut(members)
         return made
 
-    def candidates(self, codes: np.ndarray, left: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(start, item) of windows that meet an item. left: words to the end of the own text."""
+    def cut(self, members: list[int]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Every item in one part more than it allows edits, looked up by the first words of each part."""
+        rows: dict[int, list[tuple[int, int, int]]] = {}
+        for item in members:
+            words = self.words[item]
+            count = min(self.allowed(item) + 1, len(words))
+            size = len(words) // count
+            keys = run_keys(words, size)
+            places = np.arange(count) * len(words) // count
+            rows.setdefault(size, []).extend((int(keys[p]), item, int(p)) for p in places)
+        return {
+            size: (
+                np.array([k for k, _, _ in found], np.uint64),
+                np.array([i for _, i, _ in found], np.int64),
+                np.array([p for _, _, p in found], np.int64),
+            )
+            for size, found in ((size, sorted(found)) for size, found in rows.items())
+        }
+
+    def candidates(
+        self, codes: np.ndarray, left: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | int]]:
+        """(place, item, place in the item) where text and item meet. left: words to the end of the own text."""
         for made in self.classes:
+            for size, (keys, items, places) in made.parts.items():
+                at, part = met(keys, run_keys(codes, size))
+                own = left[at] >= size
+                yield at[own], items[part[own]], places[part[own]]
+            if not made.walks:
+                continue
             inside = np.concatenate(([0], np.cumsum(made.vocabulary[codes])))
             last = np.minimum(np.arange(len(codes)) + made.size, len(codes))
             last = np.minimum(last, np.arange(len(codes)) + left)
@@ -185,10 +236,8 @@ class ItemIndex:
                 continue
             for (bits, sample), (keys, items) in zip(made.walks, made.tables, strict=True):
                 got = walk_keys(codes, starts, made.size, bits, sample)
-                low, high = np.searchsorted(keys, got, "left"), np.searchsorted(keys, got, "right")
-                many = high - low
-                at = np.repeat(low, many) + positions_within(many)
-                yield np.repeat(starts, many), items[at]
+                at, entry = met(keys, got)
+                yield starts[at], items[entry], 0
 
 
 def edits_within(item: np.ndarray, text: np.ndarray) -> int:
@@ -219,9 +268,9 @@ def _scan(index: ItemIndex, emit_rows):
                 starts = run_starts(sizes + pad)
                 left = np.repeat(starts + sizes, sizes + pad) - np.arange(len(flat))
                 tried: set[tuple[int, int, int]] = set()
-                for where, items in index.candidates(flat, np.maximum(left, 0)):
+                for where, items, skipped in index.candidates(flat, np.maximum(left, 0)):
                     owner = np.searchsorted(starts, where, side="right") - 1
-                    pairs = np.unique(np.stack([owner, items, where - starts[owner]], axis=1), axis=0)
+                    pairs = np.unique(np.stack([owner, items, where - skipped - starts[owner]], axis=1), axis=0)
                     for row, item, place in pairs.tolist():
                         size, allowed = len(index.words[item]), index.allowed(item)
                         # windows a few words apart are verified by the same stretch of text
