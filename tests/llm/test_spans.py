@@ -51,3 +51,20 @@ def test_null_ids_repeated_rows_and_empty_tables(docs):
     assert sorted((r.doc_id, r.n_removed) for r in found.collect() if r.doc_id) == [(1, 0), (2, 51), (2, 51)]
     assert [r.n_removed for r in found.collect() if r.doc_id is None] == [50]
     assert spans.drop_repeated(docs("x").limit(0)).collect() == []
+
+
+def test_texts_without_an_id_are_told_apart_by_more_than_a_few_bits(docs):
+    """Two texts whose hashes agree in the bits that mark a place; one has a repeated window, one has none."""
+    seen, pair = {}, None
+    for k in range(200_000):
+        text = f"n{k} " + " ".join(f"c{i}" for i in range(3))
+        bits = spans.xxhash.xxh3_64_intdigest(text.encode()) & ((1 << 62) - (1 << 40))
+        if bits in seen:
+            pair = seen[bits], text
+            break
+        seen[bits] = text
+    one, other = pair
+    # a window of the first is repeated by a third text, at places that the second has too
+    third = "z " + one
+    found = spans.drop_repeated(docs((None, one), (None, other), (1, third)), window=4).collect()
+    assert sorted((r.doc_id or 0, r.n_removed) for r in found) == [(0, 0), (0, 4), (1, 4)]

@@ -35,18 +35,17 @@ DIFFERENCE_SETS = {
     31: (0, 1, 3, 8, 12, 18),
 }
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4D)
-# A place of a text is one long: 40 bits of word position, then 22 bits of the text's hash, which
-# tell rows that share an id apart, and one for a null id, which stands as 0. The sign marks runs
-# that are known as repeated.
+# A text is named by 64 bits of hash over its id, whether that is null, and the text. A place of it
+# is one long: 40 bits of word position, then 23 bits of another hash of the text. The sign marks
+# runs that are known as repeated.
 PLACE_BITS = 40
 PLACE = (1 << PLACE_BITS) - 1
-NO_ID = 1 << 62
-TEXT_BITS = NO_ID - 1 - PLACE
+TEXT_BITS = (1 << 63) - 1 - PLACE
 KNOWN = 1 << 63
-ANCHORS = "hash long, doc_id long, mark long"
-WINDOWS = "hash long, extra int, doc_id long, mark long"
+ANCHORS = "hash long, name long, mark long"
+WINDOWS = "hash long, extra int, name long, mark long"
 # A run of places in a text is one long: the first place, then 32 bits for its length.
-FOUND = "doc_id long, text_mark long, places long"
+FOUND = "name long, text_mark long, places long"
 RUN_BITS = 32
 
 
@@ -121,17 +120,16 @@ def meeting_rows(
         (known, spread, runs, KNOWN),
     ):
         columns = [signed(key), ids.take(pa.array(owner[picked])), signed(at[picked] | np.uint64(sign))]
-        names = ["hash", "doc_id", "mark"]
+        names = ["hash", "name", "mark"]
         if checks is not None:
             columns.insert(1, pa.array(extra))
             names.insert(1, "extra")
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def text_marks(texts: list[bytes], ids: pa.Array) -> np.ndarray:
+def text_marks(texts: list[bytes]) -> np.ndarray:
     whole = np.fromiter((xxhash.xxh3_64_intdigest(t) for t in texts), np.uint64, len(texts))
-    none = np.asarray(ids.is_null()).astype(np.uint64) * np.uint64(NO_ID)
-    return whole & np.uint64(TEXT_BITS) | none
+    return whole & np.uint64(TEXT_BITS)
 
 
 def word_memo() -> Memo:
@@ -147,7 +145,7 @@ def _anchors(window: int):
         wanted = np.zeros(period, bool)
         wanted[list(residues)] = True
         for batch in batches:
-            ids = batch.column("doc_id")
+            names = batch.column("name")
             for at, texts in chunks(byte_texts(batch)):
                 words, sizes = word_hashes(memo, texts)
                 inside = positions_within(sizes)
@@ -157,9 +155,8 @@ def _anchors(window: int):
                 with np.errstate(over="ignore"):
                     hashes = Rolling(MULTIPLIERS[0], words).at(picked, size)
                     yield from meeting_rows(
-                        hashes, None, text_marks(texts, own := ids.slice(at, len(texts))),
-                        own.fill_null(0), owner[picked], inside[picked],
-                    )
+                        hashes, None, text_marks(texts), names.slice(at, len(texts)), owner[picked], inside[picked]
+                    )
 
     return emit
 
@@ -171,7 +168,7 @@ def _windows(window: int):
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = word_memo()
         for batch in batches:
-            keys, ids = np.asarray(batch.column("text_mark")).view(np.uint64), batch.column("doc_id")
+            keys, ids = np.asarray(batch.column("text_mark")).view(np.uint64), batch.column("name")
             for at, texts in chunks(unpacked(batch)):
                 words, sizes = word_hashes(memo, texts)
                 starts = run_starts(sizes)
@@ -238,24 +235,25 @@ def found_rows(batch: pa.RecordBatch, keep: np.ndarray) -> pa.RecordBatch:
     text_mark = (marks & ((1 << 63) - 1)) >> PLACE_BITS
     return pa.RecordBatch.from_arrays(
         [
-            batch.column("doc_id").filter(pa.array(keep)),
+            batch.column("name").filter(pa.array(keep)),
             pa.array(text_mark),
             pa.array((marks & PLACE) << RUN_BITS | runs),
         ],
-        names=["doc_id", "text_mark", "places"],
+        names=["name", "text_mark", "places"],
     )
 
 
 def repeated(rows: DataFrame) -> DataFrame:
-    """Per text the places found twice, as one array of runs."""
+    """Per text the places found twice, as one array of distinct runs, however many rows hold the text."""
     order = [name for name in ("hash", "extra") if name in rows.columns]
     met = rows.repartition("hash").sortWithinPartitions(*order).mapInArrow(partners, FOUND)
-    return met.groupBy("doc_id", "text_mark").agg(F.collect_list("places").alias("found"))
+    return met.groupBy("name", "text_mark").agg(F.collect_set("places").alias("found"))
 
 
 PACKED = T.StructType(
     [
-        T.StructField("doc_id", T.LongType(), False),
+        T.StructField("name", T.LongType(), False),
+        T.StructField("doc_id", T.LongType(), True),
         T.StructField("text_mark", T.LongType(), False),
         T.StructField("body", T.BinaryType(), False),
     ]
@@ -267,11 +265,11 @@ def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     squeeze = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         texts = [text or b"" for text in byte_texts(batch)]
-        ids = batch.column("doc_id")
-        marks = (text_marks(texts, ids) >> np.uint64(PLACE_BITS)).astype(np.int64)
+        names, ids = batch.column("name"), batch.column("doc_id")
+        marks = (text_marks(texts) >> np.uint64(PLACE_BITS)).astype(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [ids.fill_null(0), pa.array(marks), pa.array([squeeze(t) for t in texts], pa.binary())],
-            names=["doc_id", "text_mark", "body"],
+            [names, ids, pa.array(marks), pa.array([squeeze(t) for t in texts], pa.binary())],
+            names=["name", "doc_id", "text_mark", "body"],
         )
 
 
@@ -297,10 +295,9 @@ def _kept(window: int):
                     words = [words[i] for i in stays]
                 removed.append(total[-1] - len(words))
                 left.append(b" ".join(words))
-            none = np.asarray(batch.column("text_mark")) >= NO_ID >> PLACE_BITS
             yield pa.RecordBatch.from_arrays(
                 [
-                    pc.if_else(pa.array(none), pa.scalar(None, pa.int64()), batch.column("doc_id")),
+                    batch.column("doc_id"),
                     pa.array(total, pa.int64()),
                     pa.array(removed, pa.int64()),
                     pa.array([hashlib.sha256(x).hexdigest() for x in left], pa.string()),
@@ -313,7 +310,7 @@ def _kept(window: int):
 
 
 def joined(texts: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    return texts.join(found, ["doc_id", "text_mark"], how).select("doc_id", "text_mark", "body", "found")
+    return texts.join(found, ["name", "text_mark"], how).select("name", "doc_id", "text_mark", "body", "found")
 
 
 def drop_repeated(docs: DataFrame, window: int = 35) -> DataFrame:
@@ -328,7 +325,9 @@ def drop_repeated(docs: DataFrame, window: int = 35) -> DataFrame:
     """
     if window < 1:
         raise ValueError("window must be positive")
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    doc_id = F.col("doc_id").cast("long")
+    name = F.xxhash64(doc_id, doc_id.isNull(), F.col("text")).alias("name")
+    docs = docs.select(name, doc_id.alias("doc_id"), "text")
     anchors = repeated(docs.mapInArrow(_anchors(window), ANCHORS))
     # not null, so that both joins read one and the same exchange of the texts
     texts = docs.mapInArrow(_packed, PACKED)
