@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracebook.session import checkpointed
 
 _AT = "__at"
+_ROW = "__row"
 
 
 def _block_shifts(sizes: DataFrame, width: int, levels: int) -> DataFrame:
@@ -77,3 +79,46 @@ def number_within(
     return local.join(shifts, _AT).select(
         *df.columns, (F.col("__local") + F.col("__shift")).cast("long").alias(name)
     )
+
+
+def number_by_range(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[Column],
+    name: str,
+    size: str | None = None,
+    keep: Callable[[DataFrame], DataFrame] = checkpointed,
+) -> DataFrame:
+    """Add ``name`` = 0, 1, 2, … in the given order within each group, by one distributed sort.
+
+    Rows are dealt to ranges of (keys, order), so that a hot group lies over many ranges, and
+    numbered where they lie; rows of a group in earlier ranges are then added, of which there is
+    one count per range and group. Rows that the order leaves equal are dealt out too and numbered
+    as they come. With ``size`` the number of rows of the group is added as well. ``keep`` stores
+    the sorted rows, which are read once for the counts and once for the numbers.
+    """
+    order = [*[F.col(k) for k in keys], *order_by, F.col(_ROW)]
+    placed = keep(
+        df.withColumn(_ROW, F.monotonically_increasing_id())
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn(_AT, F.monotonically_increasing_id())
+        .drop(_ROW)
+    )
+    # the id is the number of the range, shifted by 33 bits, and the place within it
+    group = F.struct(F.shiftright(_AT, 33).alias("range"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    counts = placed.groupBy(group.alias("__group")).agg(F.min(_AT).alias("__first"), F.count(F.lit(1)).alias("__n"))
+    same = F.struct(*[F.col("__group")[f"k{i}"] for i in range(len(keys))]) if keys else F.lit(0)
+    every = Window.partitionBy(same)
+    before = every.orderBy("__group.range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        "__group",
+        (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__shift"),
+        F.sum("__n").over(every).alias("__size"),
+    )
+    more = [F.col("__size").alias(size)] if size else []
+    return (
+        placed.withColumn("__group", group)
+        .join(starts, "__group")
+        .select(*df.columns, (F.col(_AT) + F.col("__shift")).cast("long").alias(name), *more)
+    )
