@@ -25,11 +25,11 @@ def test_query_matches_its_sql(spark, name):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in llm.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*llm.QUERIES, "pipeline"} <= queries().keys() and llm.SQL.keys() <= oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", ["op3_line_frequency_rules", "op8_license_scan"])
+@pytest.mark.parametrize("name", ["op3_line_frequency_rules", "op8_license_scan", "op12_source_mix"])
 def test_native_queries_run_no_python(spark, name):
     plan = llm.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))

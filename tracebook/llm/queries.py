@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracebook.llm import decontaminate, html_text, licenses, lines, packing, quality, secret_scan, simhash, spans, toxicity
+from tracebook.llm import (
+    collocations, decontaminate, html_text, licenses, lines, merkle, mixing, packing, quality, secret_scan, simhash,
+    spans, toxicity,
+)
 from tracebook.llm.common import fold, table
 from tracebook.llm.sql import SQL
 
@@ -78,4 +81,19 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), words=3, min_count=10, share_percent=50, top=2000)
+
+
+@query
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 assert SQL.keys() <= QUERIES.keys()

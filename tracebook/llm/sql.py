@@ -6,6 +6,9 @@ from tracebook.llm.licenses import PHRASES, TEMPLATES
 
 WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
+LOWER_OR_NULL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+LOWER = f"coalesce({LOWER_OR_NULL}, '')"
+
 LINE_FREQUENCY_RULES = rf"""
 WITH base AS (
     SELECT doc_id, row_number() OVER () AS r, coalesce(source, '') AS host, coalesce(text, '') AS text, {WORDS} AS w
@@ -97,9 +100,101 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(found.n, 0) AS B
     CASE WHEN found.n > 0 THEN 1.0::DOUBLE ELSE coalesce(held.score, 0)::DOUBLE END AS score
 FROM base LEFT JOIN found USING (r) LEFT JOIN held USING (r)"""
 
+COLLOCATIONS = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        unnest(string_split_regex({LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+f AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, CAST(count(*) AS HUGEINT) AS n
+    FROM starts, (VALUES (1), (2), (3)) sizes(k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+totals AS (SELECT lang, sum(n) AS n FROM f WHERE k = 1 GROUP BY lang),
+found AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND n >= 10),
+cut AS (
+    SELECT *, array_to_string(w[:j], ' ') AS head, array_to_string(w[j + 1:], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM found)),
+scored AS (
+    SELECT c.lang, c.phrase, c.k, c.a, j, h.n AS l, t.n AS r, (1000000 * a * a) // (h.n * t.n) AS score
+    FROM cut c JOIN f h ON h.lang = c.lang AND h.phrase = head JOIN f t ON t.lang = c.lang AND t.phrase = rest),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS nth FROM scored),
+inner_parts AS (
+    SELECT lang, a, unnest([array_to_string(w[:2], ' '), array_to_string(w[2:], ' ')]) AS phrase
+    FROM found WHERE k = 3),
+kept AS (
+    SELECT * FROM lowest s WHERE nth = 1 AND NOT EXISTS (
+        SELECT 1 FROM inner_parts i WHERE i.lang = s.lang AND i.phrase = s.phrase AND 100 * i.a >= 50 * s.a)),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+    CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+# the polynomial of the usual crc32, bit by bit
+CRC32 = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+        lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+def _leaf(text: str) -> str:
+    fields = ["doc_id", "source", "lang", "n_chars", text]
+    parts = [f"coalesce(octet_length(encode({f}::VARCHAR))::VARCHAR || ':' || {f}::VARCHAR, '-')" for f in fields]
+    return f"sha256({' || '.join(parts)})"
+
+
+MERKLE = rf"""
+WITH RECURSIVE base AS (
+    SELECT row_number() OVER () AS r, doc_id, source, {_leaf("text")} AS leaf,
+        CASE WHEN text IS NOT NULL AND {CRC32} % 5 = 0 THEN {_leaf(LOWER_OR_NULL)} END AS changed FROM documents),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+        count(*) OVER (PARTITION BY source) AS n FROM base),
+own AS (
+    SELECT source, 0 AS level, place, n, leaf AS digest FROM placed
+    UNION ALL
+    SELECT source, level + 1, place // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY place))
+    FROM own WHERE n > 1 GROUP BY source, level, place // 16, n),
+subroots AS (
+    SELECT source, level AS top, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place,
+        count(*) OVER () AS n FROM own WHERE n = 1),
+upper AS (
+    SELECT 0 AS level, place, n, digest FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY place))
+    FROM upper WHERE n > 1 GROUP BY level, place // 16, n),
+runs AS (
+    SELECT false AS high, source, level, place // 16 AS run, list(digest ORDER BY place) AS digests
+    FROM own WHERE n > 1 GROUP BY source, level, place // 16
+    UNION ALL
+    SELECT true, NULL, level, place // 16, list(digest ORDER BY place) FROM upper WHERE n > 1 GROUP BY level, place // 16),
+steps AS (
+    SELECT r, p.source, false AS high, 0 AS level, place, coalesce(changed, leaf) AS folded, '' AS proof FROM placed p
+    UNION ALL
+    SELECT s.r, s.source, s.high OR t.digests IS NULL,
+        CASE WHEN t.digests IS NULL THEN 0 ELSE s.level + 1 END,
+        CASE WHEN t.digests IS NULL THEN b.place ELSE s.place // 16 END,
+        CASE WHEN t.digests IS NULL THEN s.folded ELSE sha256(
+            array_to_string(t.digests[:s.place % 16], '') || s.folded
+            || array_to_string(t.digests[s.place % 16 + 2:], '')) END,
+        CASE WHEN t.digests IS NULL THEN s.proof ELSE s.proof
+            || array_to_string(t.digests[:s.place % 16], '') || array_to_string(t.digests[s.place % 16 + 2:], '') END
+    FROM steps s JOIN subroots b ON b.source IS NOT DISTINCT FROM s.source
+    LEFT JOIN runs t ON t.high = s.high AND t.level = s.level AND t.run = s.place // 16
+        AND (s.high OR t.source IS NOT DISTINCT FROM s.source)
+    WHERE t.digests IS NOT NULL OR NOT s.high),
+ends AS (SELECT r, folded, proof FROM steps QUALIFY row_number() OVER (PARTITION BY r ORDER BY high DESC, level DESC) = 1)
+SELECT doc_id, p.source, leaf, b.digest AS subroot, u.digest AS root, sha256(proof) AS proof_sha256,
+    folded AS folded_root, folded = u.digest AS verified
+FROM placed p JOIN ends USING (r) JOIN subroots b ON b.source IS NOT DISTINCT FROM p.source
+JOIN (SELECT digest FROM upper WHERE n = 1) u ON true"""
+
 
 SQL = {
     "op3_line_frequency_rules": LINE_FREQUENCY_RULES,
     "op8_license_scan": license_scan(),
     "op9_substring_dedup": SUBSTRING_DEDUP,
+    "op11_phrase_collocations": COLLOCATIONS,
+    "op13_merkle_manifest": MERKLE,
 }
