@@ -30,7 +30,7 @@ SLICE_BYTES = 1 << 20
 BITS = 21
 WORDS_AT_ONCE, DISTINCT_AT_ONCE = 3_000_000, 1 << 19
 BUCKETS = 256
-WINDOWS = "lang string, head string, last string, n long"
+WINDOWS = "head string, last string, n long"
 
 
 class Numbers(dict):
@@ -97,16 +97,19 @@ class Run:
         return self.size >= WORDS_AT_ONCE or len(self.numbers) >= DISTINCT_AT_ONCE
 
     def counted(self, language: str, words: int) -> Iterator[pa.RecordBatch]:
-        """(lang, all words but the last, the last, count) of distinct windows."""
+        """(all words but the last and the language, the last, count) of distinct windows.
+
+        A tab, which no word holds, stands before the language; one column less is shuffled so.
+        """
         found, n = distinct_windows(np.concatenate(self.words), words, len(self.numbers))
         names = pa.array([b"", *list(self.numbers)[1:]], pa.binary())
         for at in range(0, len(n), 1 << 16):
             part = found[at : at + (1 << 16)]
             columns = [names.take(pa.array(part[:, k])).cast(pa.string()) for k in range(words)]
             first = columns[0] if words == 2 else pc.binary_join_element_wise(*columns[:-1], " ")
-            lang = pa.array([language], pa.string()).take(pa.array(np.zeros(len(part), np.int64)))
+            head = pc.binary_join_element_wise(first, pa.scalar(language), "\t")
             count = pa.array(n[at : at + (1 << 16)].astype(np.int64))
-            yield pa.RecordBatch.from_arrays([lang, first, columns[-1], count], names=["lang", "head", "last", "n"])
+            yield pa.RecordBatch.from_arrays([head, columns[-1], count], names=["head", "last", "n"])
 
 
 def _count(words: int):
@@ -137,22 +140,23 @@ def phrase_counts(docs: DataFrame, words: int = 3, min_count: int = 10) -> DataF
     ``phrase`` is joined by spaces; the row with no words has the number of all words of the language.
     """
     read = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    windows = read.mapInArrow(_count(words), WINDOWS).repartition("lang", "head")
-    longest = windows.groupBy("lang", "head", "last").agg(F.sum("n").alias("n"))
+    windows = read.mapInArrow(_count(words), WINDOWS).repartition("head")
+    longest = windows.groupBy("head", "last").agg(F.sum("n").alias("n"))
     # in place, as rows of one head lie together: endings that are too rare become no ending,
     ending = F.when(F.col("n") >= min_count, F.col("last")).otherwise("")
-    endings = longest.groupBy("lang", "head", ending.alias("last")).agg(F.sum("n").alias("n"))
+    endings = longest.groupBy("head", ending.alias("last")).agg(F.sum("n").alias("n"))
     # then beginnings that are too rare keep their first word alone
-    of_head = F.sum("n").over(Window.partitionBy("lang", "head"))
+    of_head = F.sum("n").over(Window.partitionBy("head"))
     often = of_head >= min_count if words > 2 else F.lit(True)
-    heads = F.split("head", " ")
+    heads = F.split(F.substring_index("head", "\t", 1), " ")
+    lang = F.expr("substring(head, instr(head, '\t') + 1)")
     names = [f"w{k}" for k in range(words)]
     columns = [F.get(heads, F.lit(k)) for k in range(words - 1)]
     columns = [columns[0], *[F.when(F.col("often"), column).otherwise("") for column in columns[1:]]]
     windows = (
         endings.withColumn("often", often)
         .select(
-            "lang", *[column.alias(name) for column, name in zip(columns, names, strict=False)],
+            lang.alias("lang"), *[column.alias(name) for column, name in zip(columns, names, strict=False)],
             F.when(F.col("often"), F.col("last")).otherwise("").alias(names[-1]), "n",
         )
         .groupBy("lang", *names)
