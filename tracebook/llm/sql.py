@@ -69,29 +69,32 @@ FROM base LEFT JOIN kept USING (r)"""
 
 def license_scan(threshold: float = 0.8) -> str:
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     phrases = ", ".join(f"('{phrase}', '{label}')" for phrase, label in PHRASES.items())
-    templates = ", ".join(f"('{text}', '{label}')" for text, label in TEMPLATES)
+    templates = ", ".join(f"({n}, '{text}', '{label}')" for n, (text, label) in enumerate(TEMPLATES))
     return rf"""
 WITH base AS (
-    SELECT doc_id, row_number() OVER () AS r, {low} AS low,
-        regexp_extract_all({low}, '{word}') AS w FROM documents),
+    SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({LOWER}, '{word}') AS w FROM documents),
+words AS (SELECT r, unnest(w) AS word, unnest(range(0, len(w))) AS spot FROM base),
 phrases AS (SELECT string_split(p, ' ') AS parts, label FROM (VALUES {phrases}) t(p, label)),
 places AS (
-    SELECT r, label, i - 1 AS spot FROM (
-        SELECT r, w, parts, label, unnest(range(1, len(w) + 1)) AS i FROM base, phrases)
-    WHERE w[i:i + len(parts) - 1] = parts),
+    SELECT r, label, spot FROM words JOIN phrases ON word = parts[1] JOIN base USING (r)
+    WHERE w[spot + 1:spot + len(parts)] = parts),
 found AS (
     SELECT r, count(*) AS n, min(spot) AS first_word, max(spot) AS last_word, list_distinct(list(label)) AS labels
     FROM places GROUP BY r),
-templates AS (SELECT list_distinct(string_split(t, ' ')) AS want, label FROM (VALUES {templates}) t(t, label)),
+templates AS (
+    SELECT n AS t, label, string_split(t, ' ') AS parts, list_distinct(string_split(t, ' ')) AS want
+    FROM (VALUES {templates}) t(n, t, label)),
+wanted AS (SELECT t, unnest(want) AS word FROM templates),
+hits AS (SELECT r, t, word, spot FROM words JOIN wanted USING (word)),
 blocks AS (
-    SELECT r, list_distinct(regexp_extract_all(line, '{word}')) AS block
-    FROM (SELECT r, unnest(string_split(low, chr(10))) AS line FROM base)),
+    SELECT s.r, s.t, s.spot, count(DISTINCT h.word) AS n
+    FROM hits s JOIN templates USING (t) JOIN hits h
+        ON h.r = s.r AND h.t = s.t AND h.spot >= s.spot AND h.spot < s.spot + floor(len(parts) / {threshold} + 1e-9)
+    GROUP BY ALL),
 held AS (
-    SELECT r, list_distinct(list(label)) AS labels, max(n / len(want)) AS score FROM (
-        SELECT r, label, want, len(list_intersect(block, want)) AS n FROM blocks, templates)
-    WHERE n >= {threshold} * len(want) - 1e-9 GROUP BY r)
+    SELECT r, list_distinct(list(label)) AS labels, max(n / len(want)) AS score
+    FROM blocks JOIN templates USING (t) WHERE n >= {threshold} * len(want) - 1e-9 GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(found.n, 0) AS BIGINT) AS n_base,
     CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
     array_to_string(list_sort(coalesce(found.labels, [])), ',') AS base_labels,
@@ -100,6 +103,7 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(found.n, 0) AS B
     CASE WHEN found.n > 0 THEN 1.0::DOUBLE ELSE coalesce(held.score, 0)::DOUBLE END AS score
 FROM base LEFT JOIN found USING (r) LEFT JOIN held USING (r)"""
 
+
 COLLOCATIONS = rf"""
 WITH pieces AS (
     SELECT coalesce(lang, 'und') AS lang,
