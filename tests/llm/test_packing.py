@@ -15,13 +15,11 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(PATH)
 
 
 TEXTS = [
-    "", "  ", "a", " a b  c \n\n d\t e ", "it's we'll  I'd 've", "<|endoftext|> x", "é ß 漢字 🙂 1234 ½ ²",
+    "", "  ", "a", " a b  c \n\n d\t e ", "it's we'll  I'd 've", "<|endoftext|> x", "end <|endoftext|> of", "a<|endoftext|><|endoftext|>", " <|endoftext|> b  c <|endof", "é ß 漢字 🙂 1234 ½ ²",
     "tab\tline\nnext  \n", "a b   c", "\x1c \x1d x", "word " * 3000, "x" * 5000, "ÀÉ, ñ-ó! " * 700,
 ]
 

@@ -44,13 +44,20 @@ def byte_level_ranks(path: str) -> dict[bytes, int]:
     byte = {chr(b): b for b in printing} | {chr(256 + i): b for i, b in enumerate(rest)}
     with open(path, encoding="utf-8") as file:
         vocabulary = json.load(file)["model"]["vocab"]
+    added = added_tokens(path)
     return {
         bytes(byte[c] for c in token): rank
         for token, rank in vocabulary.items()
-        if all(c in byte for c in token) and not token.startswith("<|endoftext|>")
+        if all(c in byte for c in token) and token not in added
     }
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Tokens that the file adds to the vocabulary: found in a text as a whole, before anything is split."""
+    with open(path, encoding="utf-8") as file:
+        return {token["content"]: token["id"] for token in json.load(file).get("added_tokens", [])}
+
+
 class Encoder:
     """Ids of whole texts; words met before are looked up.
 
@@ -59,8 +66,9 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        self.added = added_tokens(path)
         self.model = tiktoken.Encoding(
-            "from file", pat_str=PATTERN, mergeable_ranks=byte_level_ranks(path), special_tokens={}
+            "from file", pat_str=PATTERN, mergeable_ranks=byte_level_ranks(path), special_tokens=self.added
         )
         self.forget()
 
@@ -75,6 +83,8 @@ class Encoder:
         return self.place[word]
 
     def encode(self, text: str) -> np.ndarray:
+        if any(token in text for token in self.added):
+            return np.array(self.model.encode(text, allowed_special="all"), np.uint32)
         if LONE_SPACES.search(text):
             return np.array(self.model.encode_ordinary(text), np.uint32)
         first, *words = text.split(" ")
