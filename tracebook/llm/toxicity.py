@@ -1,9 +1,10 @@
 """Toxic documents by a bidirectional gated recurrent network with attention pooling.
 
 A word enters with two inputs: its own vector, if the training sample knows it, and the vectors
-of its character 3-, 4- and 5-grams. Column 0 of both tables starts from the log-odds of the word
-or n-gram between toxic and other documents, the rest from noise; all are trained. The network
-reads windows of words forwards and backwards, weighs its states by attention and gives one
+of its character 3-, 4- and 5-grams. Column 0 of both tables is the log-odds of the word or n-gram
+between toxic and other documents; the rest starts small and is trained. In training a document
+is not counted among the documents of its own log-odds, words lose their vectors at random and
+vectors decay, so that what stands in a few documents by chance is not learnt. The network reads windows of words forwards and backwards, weighs its states by attention and gives one
 logit; a document's logit is the largest of all its windows, which overlap by half. Toxic
 documents are toxic somewhere, so training takes from them the window that scores highest so far.
 
@@ -29,6 +30,7 @@ WINDOW, STRIDE = 32, 16
 HIDDEN, WIDTH = 6, 4
 NGRAM_ROWS = 1 << 16
 MIN_DOCS = 3
+DROPPED, DECAY = 0.5, 2.0
 WINDOWS_AT_ONCE = 4096
 BARE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -88,14 +90,24 @@ class Network:
             self.p[f"new_{way}"] = noise(HIDDEN, HIDDEN)
             self.p[f"b_{way}"] = np.zeros(3 * HIDDEN, np.float32)
 
-    def inputs(self, words: list[bytes]) -> tuple[np.ndarray, tuple]:
-        """One row per word: its vector, the mean of its n-grams, the strongest n-gram."""
+    def inputs(
+        self, words: list[bytes], odds: tuple[np.ndarray, np.ndarray] | None = None, kept: np.ndarray | None = None
+    ) -> tuple[np.ndarray, tuple]:
+        """One row per word: its vector, the mean of its n-grams, the strongest n-gram.
+
+        ``odds`` (words, n-grams) stands for the two columns 0; words not ``kept`` have no vector.
+        """
         known = np.fromiter((self.vocabulary.get(w, 0) for w in words), np.int64, len(words))
+        own = self.p["words"][known]
         grams = self.p["grams"]
+        if odds is not None:
+            own[:, 0], grams = odds[0][known], np.concatenate((odds[1][:, None], grams[:, 1:]), axis=1)
+        if kept is not None:
+            own[~kept, 1:] = 0
         total = np.zeros((len(words), WIDTH), np.float32)
         count = np.zeros(len(words), np.float32)
         best = np.full(len(words), -9, np.float32)
-        kept = []
+        traced = []
         for owner, row in ngrams(words):
             heads = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else owner
             if not len(heads):
@@ -106,11 +118,11 @@ class Network:
             total[who] += np.add.reduceat(vectors, heads, axis=0)
             top = np.maximum.reduceat(vectors[:, 0], heads)
             better = top > best[who]
-            kept.append((owner, row))
+            traced.append((owner, row))
             best[who[better]] = top[better]
         count = np.maximum(count, 1)
-        x = np.concatenate((self.p["words"][known], total / count[:, None], best[:, None]), axis=1)
-        return x, (known, kept, count)
+        x = np.concatenate((own, total / count[:, None], best[:, None]), axis=1)
+        return x, (known if kept is None else np.where(kept, known, 0), traced, count)
 
     def run(self, x: np.ndarray, ids: np.ndarray, keep: bool = False) -> tuple[np.ndarray, dict | None]:
         """Logits of windows: rows of word numbers into ``x``, -1 behind the end."""
@@ -179,12 +191,12 @@ class Network:
         return g, by_x
 
     def input_gradients(self, trace: tuple, by_x: np.ndarray) -> dict[str, np.ndarray]:
-        known, kept, count = trace
+        known, traced, count = trace
         g = {"words": np.zeros_like(self.p["words"]), "grams": np.zeros_like(self.p["grams"])}
         np.add.at(g["words"], known, by_x[:, :WIDTH])
         g["words"][0] = 0  # unknown words stay where they are
         share = by_x[:, WIDTH : 2 * WIDTH] / count[:, None]
-        for owner, row in kept:
+        for owner, row in traced:
             np.add.at(g["grams"], row, share[owner])
         return g
 
@@ -226,20 +238,30 @@ def logits(network: Network, texts: list[bytes]) -> np.ndarray:
     return best
 
 
-def evidence(network: Network, sets: list[set[bytes]], toxic: np.ndarray) -> None:
-    """Log-odds of words and n-grams, counted once per document, into column 0."""
-    n_toxic, n_other = int(toxic.sum()), int((~toxic).sum())
-    counts = np.zeros((2, len(network.vocabulary) + 1))
-    grams = np.zeros((2, NGRAM_ROWS))
-    for words, side in zip(sets, toxic.astype(int), strict=True):
-        rows = [network.vocabulary[w] for w in words if w in network.vocabulary]
-        counts[side, rows] += 1
-        found = [row for _, row in ngrams(sorted(words))] or [np.zeros(0, np.int64)]
+def evidence(network: Network, sets: list[set[bytes]], toxic: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Log-odds of words and n-grams, counted once per document, into column 0.
+
+    Returns what columns 0 are for a document that is itself counted: without it among the others,
+    and without it among the toxic ones.
+    """
+    n = np.array([(~toxic).sum(), toxic.sum()], float)
+    words, grams = np.zeros((2, len(network.vocabulary) + 1)), np.zeros((2, NGRAM_ROWS))
+    for held, side in zip(sets, toxic.astype(int), strict=True):
+        words[side, [network.vocabulary[w] for w in held if w in network.vocabulary]] += 1
+        found = [row for _, row in ngrams(sorted(held))] or [np.zeros(0, np.int64)]
         grams[side, np.unique(np.concatenate(found))] += 1
-    network.p["words"][1:, 0] = log_odds(counts[1, 1:], counts[0, 1:], n_toxic, n_other)
-    network.p["words"][0] = 0
-    seen = grams.sum(axis=0) >= MIN_DOCS
-    network.p["grams"][:, 0] = np.where(seen, log_odds(grams[1], grams[0], n_toxic, n_other), 0)
+
+    def columns(less: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = []
+        for counts in (words, grams):
+            left = np.maximum(counts - less[:, None], 0)
+            odds = log_odds(left[1], left[0], n[1] - less[1], n[0] - less[0])
+            found.append(np.where(counts.sum(axis=0) >= MIN_DOCS, odds, 0).astype(np.float32))
+        found[0][0] = 0
+        return found[0], found[1]
+
+    network.p["words"][:, 0], network.p["grams"][:, 0] = columns(np.zeros(2))
+    return [columns(np.array([1, 0])), columns(np.array([0, 1]))]
 
 
 def train(sample: list[tuple[str, int]], steps: int = 400, rate: float = 0.02, seed: int = 5) -> Network:
@@ -260,40 +282,54 @@ def train(sample: list[tuple[str, int]], steps: int = 400, rate: float = 0.02, s
         network.p["out"][:] = 0
         network.p["bias"][:] = 3 if toxic.any() else -3
         return network
-    evidence(network, sets, toxic)
+    without = evidence(network, sets, toxic)
     owner, ids = windows(flat, sizes)
     rng = np.random.default_rng(seed)
     moments = {name: (np.zeros_like(v), np.zeros_like(v)) for name, v in network.p.items()}
-    first = network.inputs(words)[0]
     # to begin with, the windows with the strongest words and n-grams
-    strong = np.where(ids >= 0, (first[:, 0] + first[:, 2 * WIDTH])[ids], -9)
-    score = np.sort(strong, axis=1)[:, -2:].sum(axis=1)
+    score = np.zeros(len(ids), np.float32)
+    bad, good = np.flatnonzero(toxic[owner]), np.flatnonzero(~toxic[owner])
+    for side, rows in enumerate((good, bad)):
+        first = network.inputs(words, without[side])[0]
+        strong = np.where(ids[rows] >= 0, (first[:, 0] + first[:, 2 * WIDTH])[ids[rows]], -9)
+        score[rows] = np.sort(strong, axis=1)[:, -2:].sum(axis=1)
 
     def highest(rows: np.ndarray) -> np.ndarray:
         """Of these windows the one with the largest score of each text."""
         order = rows[np.lexsort((score[rows], owner[rows]))]
         return order[np.append(owner[order][1:] != owner[order][:-1], True)]
 
-    bad, good = np.flatnonzero(toxic[owner]), np.flatnonzero(~toxic[owner])
     for step in range(1, steps + 1):
         if step in (1, steps // 4, steps // 2):
-            if step > 1:
-                x = network.inputs(words)[0]
-                for at in range(0, len(ids), WINDOWS_AT_ONCE):
-                    score[at : at + WINDOWS_AT_ONCE] = network.run(x, ids[at : at + WINDOWS_AT_ONCE])[0]
+            for side, rows in enumerate((good, bad) if step > 1 else ()):
+                x = network.inputs(words, without[side])[0]
+                for at in range(0, len(rows), WINDOWS_AT_ONCE):
+                    part = rows[at : at + WINDOWS_AT_ONCE]
+                    score[part] = network.run(x, ids[part])[0]
             top_bad, top_good = highest(bad), highest(good)
         rows = np.concatenate([rng.choice(x, n) for x, n in ((top_bad, 64), (top_good, 32), (good, 32))])
-        used, local = np.unique(ids[rows], return_inverse=True)
-        local = local.reshape(len(rows), WINDOW)
-        if used[0] < 0:
-            used, local = used[1:], local - 1
-        x, trace = network.inputs([words[w] for w in used])
-        found, memory = network.run(x, local, keep=True)
+        inputs, local, traces, before = [], [], [], 0
+        for side, part in ((1, rows[:64]), (0, rows[64:])):
+            used, numbers = np.unique(ids[part], return_inverse=True)
+            numbers = numbers.reshape(len(part), WINDOW)
+            if used[0] < 0:
+                used, numbers = used[1:], numbers - 1
+            x, trace = network.inputs([words[w] for w in used], without[side], rng.random(len(used)) >= DROPPED)
+            local.append(np.where(numbers >= 0, numbers + before, -1))
+            inputs.append(x)
+            traces.append(trace)
+            before += len(x)
+        found, memory = network.run(np.concatenate(inputs), np.concatenate(local), keep=True)
         slope = (sigmoid(found) - toxic[owner[rows]]).astype(np.float32) / len(rows)
         g, by_x = network.gradients(memory, slope)
-        g |= network.input_gradients(trace, by_x)
+        for trace, part in zip(traces, np.split(by_x, [len(inputs[0])]), strict=True):
+            for name, value in network.input_gradients(trace, part).items():
+                g[name] = g[name] + value if name in g else value
         speed = rate * (1 - step / (steps + 1))
         for name, value in g.items():
+            if name in ("words", "grams"):
+                value[:, 0] = 0  # the log-odds stay as they are counted
+                network.p[name][:, 1:] *= 1 - speed * DECAY
             m, v = moments[name]
             m += 0.1 * (value - m)
             v += 0.01 * (value * value - v)
