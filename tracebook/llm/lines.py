@@ -7,7 +7,7 @@ words of its own is rejected.
 Lines are counted by hash, one row per host, line and document that has it; the count is summed
 on the map side before each shuffle, so a line that a third of all documents carry is a few rows
 per task. Copies should not make their own lines look like furniture: documents of a host whose
-longest line is the same count as one document.
+whole normalised texts are equal count as one document.
 """
 
 from __future__ import annotations
@@ -80,14 +80,13 @@ def normal_line(line: Column) -> Column:
 
 
 def hashed_lines(text: Column) -> Column:
-    """Lines with a word as (line, words, chars), in order."""
+    """Lines with a word as (line, words), in order."""
     lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), normal_line)
     return F.transform(
         F.filter(lines, lambda line: line != ""),
         lambda line: F.struct(
             F.xxhash64(line).alias("line"),
             F.size(F.split(line, " ")).alias("words"),
-            F.length(line).alias("chars"),
         ),
     )
 
@@ -97,7 +96,7 @@ def measured(docs: DataFrame, host: str) -> DataFrame:
     text = F.col("text")
     read = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64("doc_id", "text").alias("row_key"),
+        F.xxhash64("doc_id", host, "text").alias("row_key"),
         F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"),
         *base_columns(text),
         hashed_lines(text).alias("lines"),
@@ -113,10 +112,10 @@ def measured(docs: DataFrame, host: str) -> DataFrame:
 def frequent_lines(rows: DataFrame, min_docs: int, max_share: float) -> DataFrame:
     """(host, line, n_docs) of lines in more than ``min_docs`` and ``max_share`` of a host's documents.
 
-    Documents with the same longest line are one document.
+    Documents with the same lines in the same order are one document.
     """
-    longest = F.array_max(F.transform("lines", lambda x: F.struct(x["chars"], x["line"])))["line"]
-    seen = rows.where(F.size("lines") > 0).select("host", longest.alias("counted_as"), "lines")
+    whole = F.xxhash64(F.transform("lines", lambda x: x["line"]))
+    seen = rows.where(F.size("lines") > 0).select("host", whole.alias("counted_as"), "lines")
     hosts = seen.groupBy("host").agg(F.count_distinct("counted_as").alias("host_docs"))
     own = F.array_distinct(F.transform("lines", lambda x: x["line"]))
     counts = (
@@ -143,12 +142,12 @@ def furniture(rows: DataFrame, frequent: DataFrame) -> DataFrame:
     )
 
 
-def without_lines(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+def without_lines(docs: DataFrame, dropped: DataFrame, host: str = "source") -> DataFrame:
     """``docs`` with ``text`` freed of the lines that ``furniture`` names for each row."""
     gone = F.col("gone.dropped")
     kept = F.filter(F.split("d.text", "\n"), lambda x: ~F.array_contains(gone, F.xxhash64(normal_line(x))))
     text = F.when(gone.isNull(), F.col("d.text")).otherwise(F.array_join(kept, "\n"))
-    key = F.xxhash64(F.col("d.doc_id"), F.col("d.text")) == F.col("gone.row_key")
+    key = F.xxhash64(F.col("d.doc_id"), F.col(f"d.`{host}`"), F.col("d.text")) == F.col("gone.row_key")
     return docs.alias("d").join(dropped.alias("gone"), key, "left").select(
         *[text.alias("text") if name == "text" else F.col(f"d.`{name}`") for name in docs.columns]
     )

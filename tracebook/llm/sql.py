@@ -21,12 +21,11 @@ again AS (
         SELECT r, i, unnest(range(0, 8)) AS k FROM (
             SELECT *, count(*) OVER (PARTITION BY r, win) AS times FROM windows) WHERE times > 1)
     GROUP BY r),
-lines AS (
-    SELECT r, host, trim(regexp_replace(regexp_replace(lower(line), '[0-9]+', '0', 'g'),
-                                        '[\x20\x09-\x0D]+', ' ', 'g')) AS line
-    FROM (SELECT r, host, unnest(string_split(text, chr(10))) AS line FROM base)),
-named AS (
-    SELECT r, host, line, max((length(line), line)) OVER (PARTITION BY r) AS counted_as FROM lines WHERE line <> ''),
+plain AS (
+    SELECT r, host, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(
+        regexp_replace(lower(x), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'))), lambda x: x <> '') AS every
+    FROM base),
+named AS (SELECT r, host, unnest(every) AS line, array_to_string(every, chr(10)) AS counted_as FROM plain),
 frequent AS (
     SELECT host, line FROM named JOIN (
         SELECT host, count(DISTINCT counted_as) AS host_docs FROM named GROUP BY host) USING (host)
