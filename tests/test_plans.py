@@ -20,7 +20,7 @@ from tracebook.operators.pages import topic_excerpts  # noqa: E402
 from tracebook.operators.star import Dimension, join_dimensions  # noqa: E402
 from tracebook.plans import disclosure_bindings, disclosure_oracles  # noqa: E402, F401
 from tracebook.plans.bindings import queries  # noqa: E402
-from tracebook.plans.disclosures import build, extraction  # noqa: E402
+from tracebook.plans.disclosures import build, extraction, run_checks  # noqa: E402
 from tracebook.plans.oracles import oracle_sql  # noqa: E402
 from tracebook.schemas import PAYLOADS  # noqa: E402
 from tracebook.sources import scans, sinks  # noqa: E402
@@ -86,13 +86,27 @@ def test_year_filter_prunes_partitions_below_the_window(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(fiscal_year" in plan and "= 2024)" in plan
 
 
-def test_marts_join_no_dimension_twice(without_broadcast):
+def test_marts_read_raw_once_and_join_no_metrics(without_broadcast):
     spark = without_broadcast
     house = build(landing(spark), *lists(spark))
-    plan = physical(house.published)
-    joins = plan.count("SortMergeJoin")
-    # three dimensions and the anti-join that extends the metric dimension
-    assert joins == 4
+    for mart in (house.fact, house.published, house.review):
+        plan = physical(mart)
+        # companies and periods; metrics are named by the row's own columns
+        assert plan.count("SortMergeJoin") == 2
+        assert plan.count("WindowGroupLimit") == 2
+    # the catalogue reaches the marts as one value, which the fact does without
+    assert "hashpartitioning(esrs_disclosure" not in physical(house.fact)
+
+
+def test_checks_are_one_plan_without_jobs(without_broadcast):
+    spark = without_broadcast
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("checks", "nothing runs while the report is planned")
+    house = build(landing(spark), *lists(spark))
+    report = run_checks(house, landing(spark), ("FR",))
+    assert list(tracker.getJobIdsForGroup("checks")) == []
+    spark.sparkContext.setJobGroup("", "")
+    assert physical(report).count("Exchange ") <= 20
 
 
 def test_filters_and_columns_reach_the_scan(spark):

@@ -42,9 +42,28 @@ class ParentCheck:
     parent_column: str
 
 
+@dataclass(frozen=True)
+class DisjointCheck:
+    """No key stands both in rows of the one and in rows of the other kind."""
+
+    name: str
+    column: str
+    left: Column
+    right: Column
+
+
 Check = RowCheck | UniqueCheck | ParentCheck
 
 
+@dataclass(frozen=True)
+class CheckedTable:
+    """The rows of a DataFrame that make up the table ``name``, and its checks."""
+
+    name: str
+    checks: Sequence[RowCheck | UniqueCheck | DisjointCheck]
+    rows: Column | None = None
+
+
 def not_null(column: str) -> RowCheck:
     return RowCheck(f"not_null({column})", F.col(column).isNull())
 
@@ -126,6 +145,72 @@ def summarize(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return report.withColumn("passed", F.col("failures") == 0)
 
 
+def flagged_parent(column: str, flag: str) -> RowCheck:
+    """Every key that is not null has a parent row, as the join that built the table has noted."""
+    return RowCheck(f"relationships({column})", F.col(column).isNotNull() & ~F.col(flag))
+
+
+def _entries(table: CheckedTable, first: int) -> list[Column]:
+    """Per check (its number, a key, a mark) for rows that count, else null."""
+    here = F.lit(True) if table.rows is None else F.coalesce(table.rows, F.lit(False))
+    found = []
+    for at, check in enumerate(table.checks, first):
+        mark = F.lit(0)
+        if isinstance(check, RowCheck):
+            counts, key = F.coalesce(check.failing, F.lit(False)), F.lit(None).cast("string")
+        elif isinstance(check, UniqueCheck) and len(check.columns) == 1:
+            counts, key = F.col(check.columns[0]).isNotNull(), F.col(check.columns[0]).cast("string")
+        elif isinstance(check, UniqueCheck):
+            counts, key = F.lit(True), F.to_json(F.struct(*check.columns), {"ignoreNullFields": "false"})
+        else:
+            left, right = (F.when(side, bit).otherwise(0) for side, bit in ((check.left, 1), (check.right, 2)))
+            counts, key, mark = check.left | check.right, F.col(check.column).cast("string"), left + right
+        entry = F.struct(F.lit(at).alias("check"), key.alias("key"), mark.alias("mark"))
+        found.append(F.when(here & counts, entry))
+    return found
+
+
+def fused_report(sources: Sequence[tuple[DataFrame, Sequence[CheckedTable]]]) -> DataFrame:
+    """``table_name, check_name, failures, passed`` of all checks of all tables at once.
+
+    A source is read once for all tables that are kinds of its rows. Its rows become (check, key)
+    entries where they fail or where a key has to be looked at; entries of all sources meet in one
+    aggregate per check and key, which combines before the shuffle, and one per check.
+    """
+    spark = sources[0][0].sparkSession
+    names: list[tuple[str, str, str]] = []
+    parts: list[DataFrame] = []
+    for df, tables in sources:
+        entries: list[Column] = []
+        for table in tables:
+            entries += _entries(table, len(names))
+            names += [(table.name, check.name, type(check).__name__) for check in table.checks]
+        parts.append(df.select(F.inline(F.array_compact(F.array(*entries)))))
+    keys = reduce(DataFrame.unionByName, parts).groupBy("check", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_or("mark").alias("marks")
+    )
+    # as many rows as there are checks; those without an entry have no failures
+    declared = spark.createDataFrame(
+        [(at, *name) for at, name in enumerate(names)], "check int, table_name string, check_name string, kind string"
+    )
+    kinds = F.element_at(F.array(*[F.lit(kind) for *_, kind in names]), F.col("check") + 1)
+    failing = (
+        F.when(kinds == "RowCheck", F.col("n"))
+        .when(kinds == "UniqueCheck", F.when(F.col("n") > 1, 1))
+        .otherwise(F.when(F.col("marks") == 3, 1))
+    )
+    counted = keys.select("check", F.coalesce(failing, F.lit(0)).cast("long").alias("failures"))
+    none = declared.select("check", F.lit(0).cast("long").alias("failures"))
+    totals = counted.unionByName(none).groupBy("check").agg(F.sum("failures").alias("failures"))
+    named = F.element_at(
+        F.array(*[F.struct(F.lit(t).alias("t"), F.lit(c).alias("c")) for t, c, _ in names]), F.col("check") + 1
+    )
+    return totals.select(
+        named["t"].alias("table_name"), named["c"].alias("check_name"), "failures",
+        (F.col("failures") == 0).alias("passed"),
+    )
+
+
 def common_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys found in both tables; two routes of one fact must share none."""
     return left.select(*keys).intersect(right.select(*keys).distinct())
@@ -180,12 +265,13 @@ def period_checks() -> list[Check]:
     ]
 
 
-def fact_checks(companies: DataFrame, metrics: DataFrame, periods: DataFrame) -> list[Check]:
+def fact_checks(company: str, metric: str, period: str) -> list[Check]:
+    """Expects the flags of the joins that built the fact."""
     return [
         unique("disclosure_id"), not_null("disclosure_id"),
-        not_null("company_id"), has_parent("company_id", companies, "company_id"),
-        not_null("metric_id"), has_parent("metric_id", metrics, "metric_id"),
-        not_null("period_id"), has_parent("period_id", periods, "period_id"),
+        not_null("company_id"), flagged_parent("company_id", company),
+        not_null("metric_id"), flagged_parent("metric_id", metric),
+        not_null("period_id"), flagged_parent("period_id", period),
         not_null("confidence_score"),
         holds("score_range", F.col("confidence_score").between(0, 1)),
         not_null("source_snippet"),
@@ -195,7 +281,7 @@ def fact_checks(companies: DataFrame, metrics: DataFrame, periods: DataFrame) ->
 
 
 def published_checks(threshold: Column) -> list[Check]:
-    """Expects the mart joined with the reviewers' ``human_approved``."""
+    """Expects the reviewers' ``human_approved`` next to the mart's columns."""
     return [
         unique("disclosure_id"), not_null("disclosure_id"),
         holds(
@@ -208,7 +294,7 @@ def published_checks(threshold: Column) -> list[Check]:
 def review_checks() -> list[Check]:
     return [
         unique("disclosure_id"), not_null("disclosure_id"),
-        accepted_values("human_approved", [False]),
+        RowCheck("accepted_values(human_approved)", F.coalesce("human_approved", F.lit(False))),
     ]
 
 

@@ -44,11 +44,9 @@ def extend_dimension(
     A discovered key with several attribute values keeps the smallest row of attributes,
     so that the surrogate key stays unique; ``attribute_conflicts`` lists such keys.
     """
-    columns = [*natural, *attributes]
-    listed = catalogue.select(*columns, F.lit(True).alias(flag))
-    # distinct first: it combines on the map side and leaves little to pick from and to join
-    seen = observed.select(*columns).distinct()
-    chosen = seen.groupBy(*natural).agg(F.min(F.struct(*attributes)).alias("__chosen"))
+    listed = catalogue.select(*natural, *attributes, F.lit(True).alias(flag))
+    # the smallest attributes are kept per key on the map side: one row per key and task is shuffled
+    chosen = observed.groupBy(*natural).agg(F.min(F.struct(*attributes)).alias("__chosen"))
     unknown = chosen.join(catalogue.select(*natural), list(natural), "left_anti")
     discovered = unknown.select(
         *natural,
@@ -81,26 +79,30 @@ def metric_dimension(catalogue: DataFrame, staged: DataFrame) -> DataFrame:
     )
 
 
-def join_dimensions(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
+def join_dimensions(
+    fact: DataFrame, dimensions: Sequence[Dimension], flags: Sequence[str] = ()
+) -> DataFrame:
     """Inner joins on natural keys; rows without a match drop out.
 
     All other dimension columns are carried along, so that fact and marts are projections of
     one wide table and nothing is joined twice. Where names meet, the earlier column stays.
+    With ``flags``, one name per dimension, rows without a match stay and say so there.
     """
     wide = fact
     for number, dimension in enumerate(dimensions):
         taken = set(wide.columns)
         renamed = {natural: f"__d{number}_{natural}" for natural in dimension.on.values()}
         carried = [c for c in dimension.table.columns if c not in taken]
+        found = [F.lit(True).alias(flags[number])] if flags else []
         side = dimension.table.select(
-            *[F.col(c).alias(alias) for c, alias in renamed.items()], *carried
+            *[F.col(c).alias(alias) for c, alias in renamed.items()], *carried, *found
         )
         condition = reduce(
             lambda a, b: a & b,
             [F.col(f) == F.col(renamed[natural]) for f, natural in dimension.on.items()],
         )
-        wide = wide.join(side, condition, "inner").drop(*renamed.values())
-    return wide
+        wide = wide.join(side, condition, "left" if flags else "inner").drop(*renamed.values())
+    return wide.withColumns({flag: F.coalesce(flag, F.lit(False)) for flag in flags})
 
 
 def join_on_surrogates(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
@@ -161,44 +163,86 @@ def period_dimension(periods: DataFrame) -> DataFrame:
     return keyed(periods, "period_id", ["fiscal_year"])
 
 
-def wide_fact(
+HAS_COMPANY, HAS_METRIC, HAS_PERIOD = "has_company", "has_metric", "has_period"
+LISTED_METRICS = 5_000
+
+
+def listed_topic(catalogue: DataFrame, bound: int = LISTED_METRICS) -> Column:
+    """The topic of a row's metric in the catalogue, null if it is not listed there.
+
+    The catalogue is a reference list: it reaches the rows as one value, a map of maps, instead of
+    a join that would move every row. More than ``bound`` metrics raise; join those.
+    """
+    natural = ["esrs_disclosure", "metric_name"]
+    listed = catalogue.dropna(subset=natural).groupBy(*natural).agg(F.min("esrs_topic").alias("topic"))
+    by_code = listed.limit(bound + 1).groupBy("esrs_disclosure").agg(
+        F.map_from_entries(F.collect_list(F.struct("metric_name", "topic"))).alias("topics")
+    )
+    both = F.map_from_entries(F.collect_list(F.struct("esrs_disclosure", "topics")))
+    refused = F.raise_error(F.lit(f"more than {bound} listed metrics: build with listed='join'"))
+    one = by_code.agg(both.alias("codes"), F.sum(F.size("topics")).alias("n")).select(
+        F.when(F.col("n") > bound, refused).otherwise(F.col("codes"))
+    )
+    return F.try_element_at(F.try_element_at(one.scalar(), F.col("esrs_disclosure")), F.col("metric_name"))
+
+
+def joined_fact(
     staged: DataFrame,
     companies: DataFrame,
-    metrics: DataFrame,
+    catalogue: DataFrame,
     periods: DataFrame,
     approvals: DataFrame | None = None,
+    listed: str = "value",
 ) -> DataFrame:
-    """Staged records with every dimension attribute and the three surrogate keys.
-
-    ``companies``, ``metrics`` and ``periods`` are keyed dimensions. Without an approvals
-    table (``disclosure_id, human_approved``) nothing is reviewed yet and the flag is null.
-    The topic of a mart row is the topic of its metric.
+    """Every staged record with dimension attributes, surrogate keys and whether it has parents.
+
+    ``companies`` and ``periods`` are keyed dimensions. The metric dimension is made of the
+    catalogue and of these very rows, so it is not joined back: a row's metric key is the hash of
+    its own columns, and it has a metric if it names one. The topic is that of the catalogue, or
+    the row's own for a metric that is not listed. Without an approvals table (``disclosure_id,
+    human_approved``) nothing is reviewed yet and the flag is null. ``listed`` = "join" looks the
+    catalogue up by a join, for lists too long for a value.
     """
     company = companies.select(
         "company_id", "ticker", F.col("name").alias("company_name"), "sector", "country"
     )
-    metric = metrics.select("metric_id", "esrs_topic", "esrs_disclosure", "metric_name")
-    period = periods.select("period_id", "fiscal_year")
-    identified = staged.drop("esrs_topic").withColumn(
-        "disclosure_id", surrogate_key(*NATURAL_KEY)
+    natural = ["esrs_disclosure", "metric_name"]
+    named = F.col("esrs_disclosure").isNotNull() & F.col("metric_name").isNotNull()
+    identified = staged.withColumns(
+        {
+            "disclosure_id": surrogate_key(*NATURAL_KEY),
+            "metric_id": F.when(named, surrogate_key(*natural)),
+            HAS_METRIC: named,
+        }
     )
     wide = join_dimensions(
         identified,
         [
             Dimension(company, "company_id", {"company_ticker": "ticker"}),
-            Dimension(
-                metric,
-                "metric_id",
-                {"esrs_disclosure": "esrs_disclosure", "metric_name": "metric_name"},
-            ),
-            Dimension(period, "period_id", {"fiscal_year": "fiscal_year"}),
+            Dimension(periods.select("period_id", "fiscal_year"), "period_id", {"fiscal_year": "fiscal_year"}),
         ],
+        [HAS_COMPANY, HAS_PERIOD],
     )
+    if listed == "join":
+        topics = catalogue.groupBy(*natural).agg(F.min("esrs_topic").alias("__listed"))
+        wide = wide.join(topics, natural, "left")
+        wide = wide.withColumn("esrs_topic", F.coalesce("__listed", "esrs_topic")).drop("__listed")
+    else:
+        wide = wide.withColumn("esrs_topic", F.coalesce(listed_topic(catalogue), F.col("esrs_topic")))
     if approvals is None:
         return wide.withColumn("human_approved", F.lit(None).cast("boolean"))
     return wide.join(latest_decisions(approvals), "disclosure_id", "left")
 
 
+def has_parents() -> Column:
+    return F.col(HAS_COMPANY) & F.col(HAS_METRIC) & F.col(HAS_PERIOD)
+
+
+def wide_fact(joined: DataFrame) -> DataFrame:
+    """The rows of ``joined_fact`` that have a company, a metric and a period."""
+    return joined.where(has_parents()).drop(HAS_COMPANY, HAS_METRIC, HAS_PERIOD)
+
+
 def latest_decisions(approvals: DataFrame) -> DataFrame:
     """One decision per disclosure: the latest where times are kept, and a rejection among equals."""
     when = F.col("decided_at") if "decided_at" in approvals.columns else F.lit(0)

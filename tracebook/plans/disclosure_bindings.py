@@ -68,9 +68,7 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def build(
-    spark: SparkSession, sf_dir: str, store: bool = False
-) -> tuple[DataFrame, disclosures.Warehouse]:
+def build(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, disclosures.Warehouse]:
     """Raw rows and the star built on them; the catalogue lists metrics with a high value."""
     raw = raw_rows(spark, sf_dir)
     catalogue = raw.where("value_numeric > 200").select(*METRICS.fieldNames()).distinct()
@@ -81,7 +79,7 @@ def build(
         F.make_date("fiscal_year", F.lit(12), F.lit(31)).alias("period_end"),
         F.lit("year").alias("reporting_basis"),
     ).to(PERIODS)
-    house = disclosures.build(raw, companies(spark, sf_dir), catalogue, periods, store=store)
+    house = disclosures.build(raw, companies(spark, sf_dir), catalogue, periods)
     return raw, house
 
 
@@ -114,7 +112,7 @@ def disclosure_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def disclosure_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, house = build(spark, sf_dir, store=True)
+    raw, house = build(spark, sf_dir)
     return disclosures.run_checks(house, raw, ("FR",))
 
 

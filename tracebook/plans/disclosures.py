@@ -69,12 +69,13 @@ def extraction(
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Staging, dimensions, fact and marts of one build."""
+    """Staging, dimensions, fact and marts of one build; ``joined`` is staging with its parents."""
 
     staged: DataFrame
     companies: DataFrame
     metrics: DataFrame
     periods: DataFrame
+    joined: DataFrame
     wide: DataFrame
     fact: DataFrame
     published: DataFrame
@@ -89,25 +90,24 @@ def build(
     approvals: DataFrame | None = None,
     threshold: float = CONFIDENCE_THRESHOLD,
     rejected_wins: bool = False,
-    store: bool = False,
+    listed: str = "value",
 ) -> Warehouse:
-    """Raw rows and reference lists to star schema and routed marts.
+    """Raw rows and reference lists to star schema and routed marts, as lazy plans.
 
-    With ``store``, staging, the metric dimension and the wide fact are checkpointed, for
-    uses that read them more than once.
+    A mart reads raw once: the metric dimension is derived from staging but not joined back.
     """
-    keep = checkpointed if store else lambda df: df
-    staged = keep(latest_per_key(raw))
+    staged = latest_per_key(raw)
     company = star.company_dimension(companies)
-    metric = keep(star.metric_dimension(catalogue, staged))
     period = star.period_dimension(periods)
-    wide = keep(star.wide_fact(staged, company, metric, period, approvals))
+    joined = star.joined_fact(staged, company, catalogue, period, approvals, listed)
+    wide = star.wide_fact(joined)
     options = {"rejected_wins": rejected_wins}
     return Warehouse(
         staged=staged,
         companies=company,
-        metrics=metric,
+        metrics=star.metric_dimension(catalogue, staged),
         periods=period,
+        joined=joined,
         wide=wide,
         fact=star.fact(wide),
         published=star.published_mart(wide, threshold, **options),
@@ -127,7 +127,7 @@ def refresh(
 ) -> Warehouse:
     """Full refresh of the stored tables; staging stays a view.
 
-    Staging feeds the metric dimension and the fact, the wide fact feeds fact and marts;
+    Staging feeds the metric dimension and the fact, the joined rows feed fact and marts;
     both are stored before they are used again, so nothing above them is computed twice.
     """
     latest = latest_per_key(raw)
@@ -142,13 +142,15 @@ def refresh(
     period = as_table(
         star.period_dimension(periods), f"{database}.dim_period", MARTS["dim_period"]
     )
-    wide = checkpointed(star.wide_fact(staged, company, metric, period, approvals))
+    joined = checkpointed(star.joined_fact(staged, company, catalogue, period, approvals))
+    wide = star.wide_fact(joined)
     options = {"rejected_wins": rejected_wins}
     return Warehouse(
         staged=staged,
         companies=company,
         metrics=metric,
         periods=period,
+        joined=joined,
         wide=wide,
         fact=as_table(star.fact(wide), f"{database}.fact_disclosure", MARTS["fact_disclosure"]),
         published=as_table(
@@ -199,37 +201,35 @@ def run_checks(
     raw: DataFrame,
     countries: tuple[str, ...],
     threshold: float = CONFIDENCE_THRESHOLD,
+    rejected_wins: bool = False,
 ) -> DataFrame:
-    """All declared checks: ``table_name, check_name, failures, passed``.
+    """All declared checks: ``table_name, check_name, failures, passed``, in one lazy plan.
 
-    Every check reads its table again: pass what ``refresh`` has stored, or a build with
-    ``store``.
+    Staging, the fact and both marts are kinds of the joined rows and are judged in one pass over
+    them; parents are what their joins have found, routes are the conditions of the marts.
     """
     limit = F.lit(str(threshold)).cast(SCORE_TYPE)
-    approved = warehouse.wide.select("disclosure_id", "human_approved")
-    published = warehouse.published.join(approved, "disclosure_id")
-    tables = {
-        "raw": (raw, quality.raw_checks(TOPICS, LANGUAGES, MODELS)),
-        "staging": (warehouse.staged, quality.staging_checks(MODELS, NATURAL_KEY)),
-        "dim_company": (warehouse.companies, quality.company_checks(LANGUAGES, countries)),
-        "dim_metric": (warehouse.metrics, quality.metric_checks(TOPICS)),
-        "dim_period": (warehouse.periods, quality.period_checks()),
-        "fact": (
-            warehouse.fact,
-            quality.fact_checks(warehouse.companies, warehouse.metrics, warehouse.periods),
-        ),
-        "published": (published, quality.published_checks(limit)),
-        "review": (warehouse.review, quality.review_checks()),
-    }
-    report: DataFrame | None = None
-    for name, (table, checks) in tables.items():
-        part = quality.summarize(table, checks).select(F.lit(name).alias("table_name"), "*")
-        report = part if report is None else report.unionByName(part)
-    shared = quality.common_keys(warehouse.published, warehouse.review, ["disclosure_id"])
-    overlap = shared.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit("marts").alias("table_name"),
-        F.lit("routes_disjoint").alias("check_name"),
-        "failures",
-        (F.col("failures") == 0).alias("passed"),
+    score, approved = F.col("confidence_score"), F.col("human_approved")
+    whole = star.has_parents()
+    published = whole & star.is_published(score, approved, threshold, rejected_wins)
+    review = whole & star.is_for_review(score, approved, threshold, rejected_wins)
+    disjoint = quality.DisjointCheck("routes_disjoint", "disclosure_id", published, review)
+    of_joined = [
+        quality.CheckedTable("staging", quality.staging_checks(MODELS, NATURAL_KEY)),
+        quality.CheckedTable("fact", quality.fact_checks(star.HAS_COMPANY, star.HAS_METRIC, star.HAS_PERIOD), whole),
+        quality.CheckedTable("published", quality.published_checks(limit), published),
+        quality.CheckedTable("review", quality.review_checks(), review),
+        quality.CheckedTable("marts", [disjoint]),
+    ]
+    dimensions = [
+        (warehouse.companies, quality.CheckedTable("dim_company", quality.company_checks(LANGUAGES, countries))),
+        (warehouse.metrics, quality.CheckedTable("dim_metric", quality.metric_checks(TOPICS))),
+        (warehouse.periods, quality.CheckedTable("dim_period", quality.period_checks())),
+    ]
+    return quality.fused_report(
+        [
+            (raw, [quality.CheckedTable("raw", quality.raw_checks(TOPICS, LANGUAGES, MODELS))]),
+            *[(df, [table]) for df, table in dimensions],
+            (warehouse.joined, of_joined),
+        ]
     )
-    return report.unionByName(overlap)
