@@ -15,7 +15,7 @@ from compare import connect, differences  # noqa: E402
 from __spark_entry__ import entry  # noqa: E402
 from tests.test_star import landing, lists  # noqa: E402
 from tracebook.operators.picks import latest_per_key  # noqa: E402
-from tracebook.operators.snapshot import disclosure_documents  # noqa: E402
+from tracebook.operators.snapshot import staged_year  # noqa: E402
 from tracebook.operators.pages import topic_excerpts  # noqa: E402
 from tracebook.operators.star import Dimension, join_dimensions  # noqa: E402
 from tracebook.plans import disclosure_bindings, disclosure_oracles  # noqa: E402, F401
@@ -82,7 +82,7 @@ def test_latest_row_is_limited_before_the_shuffle(spark):
 def test_year_filter_prunes_partitions_below_the_window(spark, tmp_path):
     sinks.append_rows(landing(spark), str(tmp_path / "raw"))
     raw = scans.raw_table(spark, str(tmp_path / "raw"))
-    plan = physical(disclosure_documents(raw, 2024))
+    plan = physical(staged_year(raw, 2024))
     assert "PartitionFilters: [isnotnull(fiscal_year" in plan and "= 2024)" in plan
 
 

@@ -10,7 +10,7 @@ from tests.conftest import rows
 from tests.test_star import PRIMARY, SECONDARY, landing, raw_row
 from tracebook.operators import joins, reports, snapshot
 from tracebook.operators.containment import containment_pairs
-from tracebook.operators.numbering import number_within
+from tracebook.operators.numbering import number_by_range, number_within
 from tracebook.operators.picks import latest_per_key
 from tracebook.schemas import EXPOSURES, RAW
 
@@ -113,6 +113,43 @@ def test_numbers_within_a_hot_group(spark):
     assert rows(plain) == rows(blocked)
 
 
+def test_numbers_by_ranges(spark):
+    """A hot group lies over several ranges, equal orders too; sizes are those of the groups."""
+    random.seed(3)
+    data = [("hot", n) for n in random.sample(range(100000), 3000)] + [("ties", 7)] * 500
+    data += [(f"k{n % 70}", n) for n in range(600)] + [(None, 5), (None, 3)]
+    df = spark.createDataFrame(data, "k string, n int").repartition(6)
+    found = number_by_range(df, ["k"], [F.col("n").asc()], "i", size="size")
+    assert found.columns == ["k", "n", "i", "size"]
+    plain = number_within(df, ["k"], [F.col("n").asc()], "i")
+    assert rows(found, "k", "n", "i") == rows(plain)
+    sizes = {r.k: r.size for r in found.select("k", "size").distinct().collect()}
+    assert sizes["hot"] == 3000 and sizes["ties"] == 500 and sizes[None] == 2
+    whole = number_by_range(df, [], [F.col("n").desc()], "i")
+    assert sorted(r.i for r in whole.collect()) == list(range(len(data)))
+    numbers = [r.n for r in whole.orderBy("i").collect()]
+    assert numbers == sorted(numbers, reverse=True)
+    assert number_by_range(df.limit(0), ["k"], [F.col("n").asc()], "i").collect() == []
+
+
+def test_snapshot_of_one_metric_name_is_numbered_over_ranges(spark):
+    """Orders that differ in the model only: no prefix of a name would split the ticker."""
+    raw = spark.createDataFrame(
+        [raw_row("AA.X", "E1-6", "one name", "0.900", extraction_model=f"m{n:04d}") for n in range(400)], RAW
+    )
+    staged = snapshot.staged_year(raw, 2024).repartition(4)
+    numbered = number_by_range(staged, ["company_ticker"], [F.col("extraction_model").asc()], "i")
+    assert [r.i for r in numbered.orderBy("extraction_model").collect()] == list(range(400))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would share a task
+    try:
+        ranged = staged.repartitionByRange("company_ticker", "extraction_model")
+        assert ranged.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    documents = snapshot.disclosure_documents(raw, 2024, part_size=64).collect()
+    assert sorted(d.part for d in documents) == list(range(7))
+
+
 def test_snapshot_documents(spark):
     raw = spark.createDataFrame(
         [raw_row("AA.X", "E1-6", f"m{n:03d}", "0.900") for n in range(25)]

@@ -128,6 +128,48 @@ def test_wide_mart_equals_surrogate_joins(spark):
     assert rows(star.review_mart(joined)) == rows(house.review)
 
 
+def test_long_catalogues_are_joined(spark):
+    """The catalogue's topic counts for listed metrics, the row's own for others, either way."""
+    companies, catalogue, periods = lists(spark)
+    catalogue = catalogue.union(spark.createDataFrame([("G1", "E2-4", "NOx", "t"), ("G1", None, "x", "t")], METRICS))
+    as_value = build(landing(spark), companies, catalogue, periods)
+    joined = build(landing(spark), companies, catalogue, periods, listed="join")
+    assert rows(as_value.wide, *sorted(as_value.wide.columns)) == rows(joined.wide, *sorted(joined.wide.columns))
+    assert set(rows(as_value.wide, "metric_name", "esrs_topic")) == {("NOx", "G1"), ("SOx", "E2"), ("Scope 1 total", "E1")}
+    nothing = build(landing(spark), companies, catalogue.limit(0), periods)
+    assert nothing.fact.count() == as_value.fact.count()
+    many = landing(spark).withColumn("t", star.listed_topic(catalogue, bound=2))
+    with pytest.raises(Exception, match="more than 2 listed metrics"):
+        many.collect()
+
+
+def test_fused_checks_count_like_single_ones(spark):
+    df = spark.createDataFrame(
+        [("a", 1, True), ("a", 1, True), ("b", None, False), (None, 3, False), ("c", 3, None), ("c", 4, False)],
+        "k string, n int, side boolean",
+    )
+    checks = [quality.not_null("k"), quality.unique("k"), quality.unique("k", "n"), quality.accepted_values("n", [1])]
+    both = quality.DisjointCheck("apart", "n", F.col("side"), ~F.col("side"))
+    kinds = [quality.CheckedTable("all", checks), quality.CheckedTable("true", checks, F.col("side")),
+             quality.CheckedTable("both", [both])]
+    found = {(r.table_name, r.check_name): r.failures for r in quality.fused_report([(df, kinds)]).collect()}
+    for name, part in (("all", df), ("true", df.where("side"))):
+        for r in quality.summarize(part, checks).collect():
+            assert found.pop((name, r.check_name)) == r.failures
+    assert found == {("both", "apart"): 0}
+    mixed = df.union(spark.createDataFrame([("z", 1, False)], df.schema))
+    assert quality.fused_report([(mixed, kinds[2:])]).first().failures == 1
+
+
+def test_rows_without_parents_are_counted(spark):
+    companies, catalogue, periods = lists(spark)
+    house = build(landing(spark), companies, catalogue, periods)
+    lost = house.joined.select(
+        F.count_if(~F.col("has_company")), F.count_if(~F.col("has_period")), F.count_if(~F.col("has_metric"))
+    ).first()
+    assert tuple(lost) == (1, 1, 0)
+
+
 def test_declared_checks_of_a_build(spark):
     companies, catalogue, periods = lists(spark)
     raw = landing(spark)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracebook.fixed_values import DEFAULT_FISCAL_YEAR, EXPORT_ORDER
-from tracebook.operators.numbering import number_within
+from tracebook.operators.numbering import number_by_range, number_within
 from tracebook.operators.picks import latest_per_key
 
 PART_SIZE = 10_000
@@ -68,18 +68,19 @@ def _metric_fields() -> dict[str, Column]:
     }
 
 
+def staged_year(raw: DataFrame, fiscal_year: int = DEFAULT_FISCAL_YEAR) -> DataFrame:
+    """Latest row per natural key of one fiscal year; the year filter is pushed into the scan."""
+    return latest_per_key(raw.where(F.col("fiscal_year") == fiscal_year))
+
+
 def disclosure_documents(
     raw: DataFrame, fiscal_year: int = DEFAULT_FISCAL_YEAR, part_size: int = PART_SIZE
 ) -> DataFrame:
-    """Documents of one fiscal year: the year filter is pushed into the scan, then the
-    latest row per natural key, numbered per ticker in the export order."""
-    staged = latest_per_key(raw.where(F.col("fiscal_year") == fiscal_year))
-    blocks = [
-        F.struct("esrs_topic", "esrs_disclosure"),
-        F.substring("metric_name", 1, 12),
-    ]
+    """Documents of one fiscal year: its latest rows, numbered per ticker in the export order."""
     order = [F.col(c).asc() for c in EXPORT_ORDER[1:]]
-    return nested_documents(staged, "company_ticker", order, _metric_fields(), blocks, part_size)
+    return nested_documents(
+        staged_year(raw, fiscal_year), "company_ticker", order, _metric_fields(), part_size=part_size
+    )
 
 
 def snapshot_header(companies: DataFrame, fiscal_year: int, warehouse: str) -> DataFrame:

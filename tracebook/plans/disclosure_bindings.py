@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracebook.fixed_values import NATURAL_KEY
 from tracebook.functions import rules
-from tracebook.functions.keys import file_key
+from tracebook.functions.keys import file_key, surrogate_key
 from tracebook.operators import joins
 from tracebook.operators.snapshot import disclosure_documents
 from tracebook.plans import disclosures
@@ -68,9 +69,8 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def build(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, disclosures.Warehouse]:
-    """Raw rows and the star built on them; the catalogue lists metrics with a high value."""
-    raw = raw_rows(spark, sf_dir)
+def reference_lists(spark: SparkSession, sf_dir: str, raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Companies, a catalogue of the metrics with a high value, and the years of one topic."""
     catalogue = raw.where("value_numeric > 200").select(*METRICS.fieldNames()).distinct()
     years = raw.where("esrs_topic = 'E1'").select("fiscal_year").distinct()
     periods = years.select(
@@ -79,13 +79,18 @@ def build(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, disclosures.Ware
         F.make_date("fiscal_year", F.lit(12), F.lit(31)).alias("period_end"),
         F.lit("year").alias("reporting_basis"),
     ).to(PERIODS)
-    house = disclosures.build(raw, companies(spark, sf_dir), catalogue, periods)
-    return raw, house
+    return companies(spark, sf_dir), catalogue, periods
+
+
+def build(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, disclosures.Warehouse]:
+    """Raw rows and the star built on them."""
+    raw = raw_rows(spark, sf_dir)
+    return raw, disclosures.build(raw, *reference_lists(spark, sf_dir, raw))
 
 
 def _plain(mart: DataFrame) -> DataFrame:
     """Decimals as doubles and times as text, for comparison."""
-    return mart.drop("value_text").withColumns(
+    return mart.withColumns(
         {
             "value_numeric": F.col("value_numeric").cast("double"),
             "confidence_score": F.col("confidence_score").cast("double"),
@@ -97,12 +102,31 @@ def _plain(mart: DataFrame) -> DataFrame:
 
 @query
 def disclosures_published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(build(spark, sf_dir)[1].published)
+    return _plain(build(spark, sf_dir)[1].published).drop("value_text")
 
 
 @query
 def disclosures_review(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(build(spark, sf_dir)[1].review)
+    return _plain(build(spark, sf_dir)[1].review).drop("value_text")
+
+
+@query
+def disclosures_reviewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both routes after reviewers have decided on a third of the records, some of them twice.
+
+    Views have words for values; a rejected record waits whatever its score.
+    """
+    word = F.when(F.col("esrs_topic") == "E2", F.concat(F.lit("Word "), F.col("source_page").cast("string")))
+    raw = raw_rows(spark, sf_dir).withColumn("value_text", word)
+    decisions = raw.where("source_page % 3 = 0").select(
+        surrogate_key(*NATURAL_KEY).alias("disclosure_id"),
+        (F.col("source_page") % 2 == 0).alias("human_approved"),
+        F.col("extraction_timestamp").alias("decided_at"),
+    )
+    lists = reference_lists(spark, sf_dir, raw)
+    house = disclosures.build(raw, *lists, approvals=decisions, rejected_wins=True)
+    published = house.published.withColumns({"human_approved": F.lit(None).cast("boolean"), "route": F.lit("published")})
+    return _plain(published.unionByName(house.review.withColumn("route", F.lit("review"))))
 
 
 @query
@@ -121,6 +145,12 @@ def disclosure_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disclosure_documents(raw_rows(spark, sf_dir), 2024)
 
 
+@query
+def snapshot_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of at most five items: companies go on in further parts."""
+    return disclosure_documents(raw_rows(spark, sf_dir), 2024, part_size=5)
+
+
 @query
 def flattened_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested records flattened and judged by the record rules."""

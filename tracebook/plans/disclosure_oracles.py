@@ -150,13 +150,13 @@ ORACLES["disclosure_checks"] = (
     + ")"
 )
 
-ORACLES["disclosure_snapshot"] = f"""
+SNAPSHOT = f"""
 {WITH},
 numbered AS (
     SELECT *, row_number() OVER (PARTITION BY company_ticker ORDER BY
         esrs_topic, esrs_disclosure, metric_name, extraction_model) - 1 AS number
     FROM staged WHERE fiscal_year = 2024)
-SELECT company_ticker, number // 10000 AS part, count(*) AS item_count,
+SELECT company_ticker, number // PART_SIZE AS part, count(*) AS item_count,
     CAST(to_json(list({{'id': company_ticker || '-' || number, 'esrsTopic': esrs_topic,
         'esrsDisclosure': esrs_disclosure, 'metricName': metric_name,
         'valueNumeric': CAST(value_numeric AS DOUBLE), 'valueText': CAST(NULL AS VARCHAR), 'unit': unit,
@@ -164,6 +164,24 @@ SELECT company_ticker, number // 10000 AS part, count(*) AS item_count,
         'sourceSnippet': source_snippet, 'language': language,
         'extractionModel': extraction_model}} ORDER BY number)) AS VARCHAR) AS items
 FROM numbered GROUP BY ALL"""
+ORACLES["disclosure_snapshot"] = SNAPSHOT.replace("PART_SIZE", "10000")
+ORACLES["snapshot_parts"] = SNAPSHOT.replace("PART_SIZE", "5")
+
+ORACLES["disclosures_reviewed"] = f"""
+{WITH},
+decisions AS (
+    SELECT md5(concat_ws('-', company_ticker, fiscal_year, esrs_disclosure, metric_name, extraction_model))
+               AS disclosure_id, source_page % 2 = 0 AS approved, extraction_timestamp AS decided_at
+    FROM raw WHERE source_page % 3 = 0),
+decided AS (
+    SELECT * FROM decisions QUALIFY row_number() OVER (
+        PARTITION BY disclosure_id ORDER BY decided_at DESC, approved) = 1),
+routed AS (
+    SELECT fact.*, CASE WHEN fact.esrs_topic = 'E2' THEN 'Word ' || source_page END AS value_text, approved,
+           CASE WHEN approved OR (approved IS NULL AND confidence_score >= 0.8) THEN 'published' ELSE 'review' END AS route
+    FROM fact LEFT JOIN decided USING (disclosure_id))
+SELECT {MART}, value_text, CASE WHEN route = 'review' THEN coalesce(approved, false) END AS human_approved, route
+FROM routed"""
 
 ORACLES["flattened_records"] = f"""
 SELECT event_id, company_ticker, source_page - 5 AS source_page,
