@@ -30,7 +30,7 @@ SLICE_BYTES = 1 << 20
 BITS = 21
 WORDS_AT_ONCE, DISTINCT_AT_ONCE = 3_000_000, 1 << 19
 BUCKETS = 256
-WINDOWS = "head string, last string, n long"
+WINDOWS = "key string, n long"
 
 
 class Numbers(dict):
@@ -97,9 +97,9 @@ class Run:
         return self.size >= WORDS_AT_ONCE or len(self.numbers) >= DISTINCT_AT_ONCE
 
     def counted(self, language: str, words: int) -> Iterator[pa.RecordBatch]:
-        """(all words but the last and the language, the last, count) of distinct windows.
+        """(key, count) of distinct windows: the last word, the words before it, the language.
 
-        A tab, which no word holds, stands before the language; one column less is shuffled so.
+        They stand between tabs, which no word holds: one column is shuffled with less around it.
         """
         found, n = distinct_windows(np.concatenate(self.words), words, len(self.numbers))
         names = pa.array([b"", *list(self.numbers)[1:]], pa.binary())
@@ -107,9 +107,9 @@ class Run:
             part = found[at : at + (1 << 16)]
             columns = [names.take(pa.array(part[:, k])).cast(pa.string()) for k in range(words)]
             first = columns[0] if words == 2 else pc.binary_join_element_wise(*columns[:-1], " ")
-            head = pc.binary_join_element_wise(first, pa.scalar(language), "\t")
+            key = pc.binary_join_element_wise(columns[-1], first, pa.scalar(language), "\t")
             count = pa.array(n[at : at + (1 << 16)].astype(np.int64))
-            yield pa.RecordBatch.from_arrays([head, columns[-1], count], names=["head", "last", "n"])
+            yield pa.RecordBatch.from_arrays([key, count], names=["key", "n"])
 
 
 def _count(words: int):
@@ -140,7 +140,9 @@ def phrase_counts(docs: DataFrame, words: int = 3, min_count: int = 10) -> DataF
     ``phrase`` is joined by spaces; the row with no words has the number of all words of the language.
     """
     read = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    windows = read.mapInArrow(_count(words), WINDOWS).repartition("head")
+    head = F.expr("substring(key, instr(key, '\t') + 1)")
+    windows = read.mapInArrow(_count(words), WINDOWS).repartition(head)
+    windows = windows.select(head.alias("head"), F.substring_index("key", "\t", 1).alias("last"), "n")
     longest = windows.groupBy("head", "last").agg(F.sum("n").alias("n"))
     # in place, as rows of one head lie together: endings that are too rare become no ending,
     ending = F.when(F.col("n") >= min_count, F.col("last")).otherwise("")
