@@ -96,14 +96,32 @@ class SizeClass:
     edits: int  # most edits that an item of the class allows
     vocabulary: np.ndarray  # per word code: is it in an item of the class
     items: list[int]
-    walks: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # (bits by step and word, sample)
+    walks: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # (rule by step, sample)
     tables: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # sorted keys and their items
     # where walks find too few: by length of the parts, sorted keys, their items and where in them
     parts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
 
 
-def walk_keys(codes: np.ndarray, starts: np.ndarray, size: int, bits: np.ndarray, sample: np.ndarray) -> np.ndarray:
-    """The sampled steps of the walks from ``starts``, as one number each."""
+def hashed_codes(words: int) -> np.ndarray:
+    """A well-mixed number per word code."""
+    with np.errstate(over="ignore"):
+        mixed = np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def step_bits(hashed: np.ndarray, rule: np.ndarray, here: np.ndarray) -> np.ndarray:
+    """Whether walks at these words go on: the top bit of a product drawn by ``rule``.
+
+    A walk is two numbers a step, however many words there are. The bits of all words are made
+    where more places ask for them than there are words.
+    """
+    if len(here) < len(hashed):
+        return ((hashed.take(here) * rule[0] + rule[1]) >> np.uint64(63)).astype(np.int32)
+    return ((hashed * rule[0] + rule[1]) >> np.uint64(63)).astype(np.int32).take(here)
+
+
+def walk_keys(codes: np.ndarray, starts: np.ndarray, hashed: np.ndarray, rules: np.ndarray, sample: np.ndarray) -> np.ndarray:
+    """The sampled steps of the walks from ``starts`` over codes with hashes, as one number each."""
     codes, starts = codes.astype(np.int32, copy=False), starts.astype(np.int32)
     at = np.zeros(len(starts), np.int32)
     keys = np.zeros(len(starts), np.uint64)
@@ -113,7 +131,7 @@ def walk_keys(codes: np.ndarray, starts: np.ndarray, size: int, bits: np.ndarray
             if step in sample:
                 keys = (keys ^ here.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
                 keys ^= keys >> np.uint64(29)
-            at += bits[step].take(here)
+            at += step_bits(hashed, rules[step], here)
     return keys
 
 
@@ -157,6 +175,7 @@ class ItemIndex:
         words = [plain_words((text or "").encode()) for _, text in items]
         known = sorted({w for run in words for w in run})
         self.codes = {w: at for at, w in enumerate(known, 1)}  # 0: a word that no item has
+        self.hashed = hashed_codes(len(known) + 1)
         self.ids = [item_id for item_id, _ in items]
         self.words = [np.array([self.codes[w] for w in run], np.int64) for run in words]
         rng = np.random.default_rng(seed)
@@ -187,13 +206,13 @@ class ItemIndex:
         found = np.zeros(len(picked), bool)
         while len(made.walks) < MOST_REPETITIONS and found.mean() < recall:
             # steps of the first half of the walk: it has met fewer edits there
-            bits = rng.integers(2, size=(size, len(self.codes) + 1), dtype=np.uint8)
+            rules = rng.integers(1 << 64, size=(size, 2), dtype=np.uint64) | np.array([1, 0], np.uint64)
             sample = np.sort(rng.choice(size, min(SAMPLED_STEPS, size), replace=False))
-            keys = walk_keys(flat, starts, size, bits, sample)
+            keys = walk_keys(flat, starts, self.hashed, rules, sample)
             order = np.argsort(keys, kind="stable")
-            made.walks.append((bits, sample))
+            made.walks.append((rules, sample))
             made.tables.append((keys[order], np.array(members)[order]))
-            found |= walk_keys(trials, np.arange(len(picked)) * size, size, bits, sample) == keys[picked]
+            found |= walk_keys(trials, np.arange(len(picked)) * size, self.hashed, rules, sample) == keys[picked]
         if found.mean() < recall:
             made.walks, made.tables, made.parts = [], [], self.cut(members)
         return made
@@ -234,8 +253,8 @@ class ItemIndex:
             starts = np.flatnonzero(inside[last] - inside[:-1] >= max(made.size - made.edits, 1))
             if not len(starts):
                 continue
-            for (bits, sample), (keys, items) in zip(made.walks, made.tables, strict=True):
-                got = walk_keys(codes, starts, made.size, bits, sample)
+            for (rules, sample), (keys, items) in zip(made.walks, made.tables, strict=True):
+                got = walk_keys(codes, starts, self.hashed, rules, sample)
                 at, entry = met(keys, got)
                 yield starts[at], items[entry], 0
 
@@ -293,7 +312,7 @@ def _scan(index: ItemIndex, emit_rows):
 
 def item_blocks(items: DataFrame, share: float, recall: float) -> Iterator[ItemIndex]:
     """Indexes over blocks of at most about ``ITEMS_PER_BLOCK`` items."""
-    kept = items.select(F.col("item_id").cast("long"), "text").where("text is not null")
+    kept = items.select(F.col("item_id").cast("long"), "text").where("text is not null").distinct()
     blocks = max(1, -(-kept.count() // ITEMS_PER_BLOCK))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     for at in range(blocks):
