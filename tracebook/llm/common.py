@@ -20,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where none is set (tests), one of our own."""
+    """The folder in ``spark.checkpoint.dir``; a local session without one, as in tests, gets its own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         named = f"file://{tempfile.mkdtemp(prefix='shared-')}"
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

@@ -14,6 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracebook.llm.labelled import chosen_rows
 from tracebook.llm.native import let, space_words
 from tracebook.llm.trees import Rule, forest, paths
 
@@ -61,9 +62,9 @@ def statistics(text: Column) -> Column:
     return let(space_words(text), lambda words: let(lines, lambda kept: of(words, kept)))
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
+def with_statistics(docs: DataFrame, *kept: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), statistics(text).alias("stat"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *kept, statistics(text).alias("stat"))
 
 
 @dataclass
@@ -148,14 +149,10 @@ def fitted(docs: DataFrame, labels: DataFrame, usable: Column, per_class: int =
         F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label")
     )
     counts = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    picked = None
-    for value in (0, 1):
-        rows = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
-        picked = rows if picked is None else picked.union(rows)
-    # two times ``per_class`` ids at most
-    chosen = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    rows = with_statistics(chosen.select("doc_id", "text")).join(F.broadcast(picked), "doc_id")
-    values = sorted((r.doc_id, r.label, *r.stat) for r in rows.select("doc_id", "label", "stat").collect())
+    # two times ``per_class`` rows at most
+    chosen = chosen_rows(docs, labels, "quality", usable, per_class)
+    rows = with_statistics(chosen, "label").select("doc_id", "label", "stat").collect()
+    values = sorted((r.doc_id, r.label, *r.stat) for r in rows)
     y = np.array([v[1] for v in values], float)
     x = np.array([v[2:] for v in values], float).reshape(len(values), len(STATISTICS))
     weight = {c: counts.get(c, 0) / max(int((y == c).sum()), 1) for c in (0, 1)}
