@@ -32,11 +32,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Store an intermediate result that several consumers read, and cut its lineage there.
 
     The files go to the shared folder named by ``spark.checkpoint.dir``, so they outlive
-    executors. Only a session that names none, as in tests, gets a folder of its own.
+    executors. Only a local session that names none, as in tests, gets a folder of its own.
     """
     session = df.sparkSession
     context = session.sparkContext
     if context.getCheckpointDir() is None:
         folder = session.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local["):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint()
