@@ -138,3 +138,32 @@ def test_different_texts_of_one_fingerprint_both_stay(docs):
     other = "".join(rng.sample(blocks, 60)) + "h"
     assert sorted(simhash.shingles(one.encode(), 2)) == sorted(simhash.shingles(other.encode(), 2))
     assert {r.doc_id for r in simhash.one_of_each(docs(one, other, one)).collect()} == {0, 1}
+
+
+def test_one_per_component_is_that_of_all_pairs(docs):
+    import random
+
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(2000)]
+    texts = []
+    for g in range(60):
+        text = rng.choices(words, k=rng.randrange(3, 500))
+        texts += [" ".join(text)] * (1 + g % 3) + [" ".join([*text, "tail"])] * (g % 2)
+    order = rng.sample(range(len(texts)), len(texts))
+    rows = [(i, texts[i]) for i in order]
+    table = docs(*rows, (900, None), (901, ""), (902, "a b"), (902, "a b"), (902, "c d"), (None, texts[0]), (None, "x"))
+    table = table.withColumn("key", table.text).withColumn("first", table.lang)
+    kept = simhash.one_per_component(table)
+    assert kept.columns == table.columns
+    prints = {r.doc_id: r.code % 2**64 for r in simhash.fingerprints(docs(*rows)).collect()}
+    pairs = ((a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 2)
+    of: dict = {}
+    for i, root in enumerate(groups(pairs, range(len(texts)))):
+        of.setdefault(root, i)
+    expected = {*of.values()}
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert {i for i, _ in got if i is not None and i < 900} == expected
+    assert sorted((i or -1, t) for i, t in got if i is None or i >= 900) == [
+        (-1, "x"), (900, None), (902, "a b"), (902, "c d"),
+    ]
+    assert simhash.one_per_component(table.limit(0)).collect() == []

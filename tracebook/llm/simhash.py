@@ -304,6 +304,15 @@ def _long(bits: int) -> int:
     return bits - (1 << 64) if bits >> 63 else bits
 
 
+def rooted_codes(prints: DataFrame, first: Column, limit: int) -> DataFrame:
+    """(code, first, root): per distinct code the aggregate ``first`` of its rows, and its component."""
+    codes = prints.groupBy("code").agg(first.alias("first"))
+    roots = components(code_links(codes.select("code"), limit))
+    return codes.join(roots.withColumnRenamed("node", "code"), "code", "left").select(
+        "code", "first", F.coalesce("root", "code").alias("root")
+    )
+
+
 def near_copies(docs: DataFrame, limit: int = 2, words_per_shingle: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs`` (doc_id, text).
 
@@ -314,11 +323,7 @@ def near_copies(docs: DataFrame, limit: int = 2, words_per_shingle: int = 3) ->
     Other columns are not read.
     """
     prints = stored(fingerprints(docs, words_per_shingle))
-    codes = prints.groupBy("code").agg(F.min("doc_id").alias("first"))
-    roots = components(code_links(codes.select("code"), limit))
-    of = codes.join(roots.withColumnRenamed("node", "code"), "code", "left").select(
-        "code", "first", F.coalesce("root", "code").alias("root")
-    )
+    of = rooted_codes(prints, F.min("doc_id"), limit)
     least = of.groupBy("root").agg(F.min("first").alias("component_id"))
     named = of.join(least, "root").select("code", "component_id")
     return prints.join(named, "code").select(
@@ -328,6 +333,32 @@ def near_copies(docs: DataFrame, limit: int = 2, words_per_shingle: int = 3) ->
     )
 
 
+def one_per_component(docs: DataFrame, limit: int = 2, words_per_shingle: int = 3) -> DataFrame:
+    """``docs``, all columns, with one row of each component of ``near_copies``: the smallest doc_id.
+
+    Ties of doc_id, and null ones, which come last, are settled by hashes of the text; of repeated
+    rows one stays. Texts without words are one group. An empty table gives an empty result.
+    Groups are settled on ids and hashes; whole rows are moved once, to the row that stays.
+    """
+
+    def keys(doc_id: Column, text: Column) -> list[Column]:
+        # two hashes: one of 64 bits would take rows of very large tables for one another
+        return [F.xxhash64(doc_id, doc_id.isNull(), text), F.xxhash64(F.lit(1), text, doc_id)]
+
+    known, other = keys(F.col("doc_id"), F.col("text"))
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), known.alias("key"), other.alias("key2"), "text")
+    prints = stored(
+        read.mapInArrow(_prints(words_per_shingle, 42, None), "doc_id long, key long, key2 long, code long")
+    )
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key", "key2"))
+    stay = rooted_codes(prints, first, limit).groupBy("root").agg(F.min("first").alias("first"))
+    chosen = stay.select(F.col("first.key").alias("_key"), F.col("first.key2").alias("_key2"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    held = docs.select(row.alias("_row"), known.alias("_key"), other.alias("_key2"))
+    kept = held.join(chosen, ["_key", "_key2"], "left_semi")
+    return kept.dropDuplicates(["_key", "_key2"]).select("_row.*")
+
+
 def whole_nodes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Rows sorted by node, in tables that hold all rows of each of their nodes."""
     held: list[pa.RecordBatch] = []
