@@ -16,92 +16,96 @@ from tracebook.operators.joins import stamp_company
 from tracebook.operators.picks import first_per_key
 from tracebook.schemas import RAW, VALUE_TYPE
 
-_OBJECT = "map<string,variant>"
-_LIST = "array<variant>"
+# An entry of the list as it is read: fields whose type is judged stay variants.
+_ENTRY = (
+    "struct<source_page:variant,model_confidence:variant,value_numeric:variant,value_text:variant,"
+    "unit:string,source_snippet:string,esrs_disclosure:string,metric_name:string>"
+)
 _INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 _NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def with_payload_items(df: DataFrame, payload: Column, name: str) -> DataFrame:
-    """Add the list under ``metrics`` as variants, null for an unacceptable payload.
+    """Add the list under ``metrics``, null for an unacceptable payload; entries as in ``_ENTRY``.
 
     The payload must be a JSON object. A missing list is an empty one; an explicit null or
-    anything else that is not a list is refused.
+    anything else that is not a list is refused. An entry that is not an object is a null one.
     """
     # within brackets, text behind the object is an error instead of being overlooked
     bracketed = F.try_parse_json(F.concat(F.lit("["), payload, F.lit("]")))
-    values = F.try_variant_get(bracketed, "$", _LIST)
-    fields = F.when(
-        F.size("__values") == 1, F.try_variant_get(F.get("__values", F.lit(0)), "$", _OBJECT)
+    values = F.try_variant_get(bracketed, "$", "array<struct<metrics:variant>>")
+    staged = computed_once(df, {"__values": values})
+    head = F.get("__values", F.lit(0))
+    listed = F.try_variant_get(head["metrics"], "$", f"array<{_ENTRY}>")
+    items = F.when(
+        (F.size("__values") == 1) & head.isNotNull(),
+        F.when(head["metrics"].isNull(), F.array().cast(f"array<{_ENTRY}>")).otherwise(listed),
     )
-    listed = F.try_variant_get(F.element_at("__fields", "metrics"), "$", _LIST)
-    missing = ~F.array_contains(F.map_keys("__fields"), "metrics")
-    items = F.when(missing, F.array().cast(_LIST)).otherwise(listed)
-    staged = df.withColumn("__values", values).withColumn("__fields", fields)
-    return staged.withColumn(name, items).drop("__values", "__fields")
+    return computed_once(staged, {name: items}).drop("__values")
 
 
-def _raw_fields(item: Column) -> Column:
-    """Every field of a list entry read once, in the types the coercion looks at."""
+def _judged(entry: Column) -> Column:
+    """The fields of an entry with the kinds that decide how they are read, each looked up once.
+
+    The kind of a variant is VOID for an explicit null, and null for a missing field.
+    """
+    judged = ("source_page", "model_confidence", "value_numeric", "value_text")
+    return F.struct(
+        entry.alias("of"), *[F.schema_of_variant(entry[field]).alias(f"{field}_kind") for field in judged]
+    )
 
-    def kind(name: str) -> Column:
-        """Type name of the field: VOID for an explicit null, null when missing."""
-        return F.schema_of_variant(F.try_variant_get(item, f"$.{name}", "variant"))
 
-    def text(name: str) -> Column:
-        return F.try_variant_get(item, f"$.{name}", "string")
+def _coerced(raw: Column) -> Column:
+    """Typed fields of one entry, with ``sound`` false if a coercion fails."""
+    entry = raw["of"]
 
-    def number(name: str) -> Column:
-        return F.try_variant_get(item, f"$.{name}", "double")
+    def read(field: str, kind: str) -> Column:
+        return F.try_variant_get(entry[field], "$", kind)
+
+    def number_or_text(field: str, form: str, kind: str) -> Column:
+        text = read(field, "string")
+        in_form = F.when(text.rlike(form), F.trim(text).try_cast(kind))
+        number = read(field, "double")
+        return F.when(raw[f"{field}_kind"] == "STRING", in_form).otherwise(
+            number if kind == "double" else number.try_cast(kind)
+        )
+
+    def read_as(name: str, field: str, *kinds: str) -> Column:
+        return F.when(raw[f"{field}_kind"].isin(*kinds), F.lit(None)).otherwise(read(field, name))
 
     return F.struct(
-        F.startswith(F.schema_of_variant(item), F.lit("OBJECT")).alias("is_object"),
-        kind("source_page").alias("page_kind"),
-        text("source_page").alias("page_text"),
-        number("source_page").alias("page_number"),
-        kind("model_confidence").alias("rating_kind"),
-        text("model_confidence").alias("rating_text"),
-        number("model_confidence").alias("rating_number"),
-        kind("value_numeric").alias("number_kind"),
-        number("value_numeric").alias("value_numeric"),
-        kind("value_text").alias("text_kind"),
-        text("value_text").alias("value_text"),
-        text("unit").alias("unit"),
-        text("source_snippet").alias("source_snippet"),
-        text("esrs_disclosure").alias("esrs_disclosure"),
-        text("metric_name").alias("metric_name"),
+        parent_code(entry["esrs_disclosure"]).alias("esrs_disclosure"),
+        entry["metric_name"].alias("metric_name"),
+        read_as("double", "value_numeric", "VOID").alias("value_numeric"),
+        read_as("string", "value_text", "VOID").alias("value_text"),
+        entry["unit"].alias("unit"),
+        number_or_text("model_confidence", _NUMBER_TEXT, "double").alias("model_confidence"),
+        number_or_text("source_page", _INTEGER_TEXT, "int").alias("source_page"),
+        entry["source_snippet"].alias("source_snippet"),
+        *[raw[f"{field}_kind"].alias(f"{field}_kind") for field in ("model_confidence", "value_numeric", "value_text")],
+        entry.isNotNull().alias("is_object"),
     )
 
 
-def _coerced(raw: Column) -> Column:
-    """Typed fields of one entry, with ``sound`` false if a coercion fails."""
-    page = F.when(
-        raw["page_kind"] == "STRING",
-        F.when(raw["page_text"].rlike(_INTEGER_TEXT), F.trim(raw["page_text"]).try_cast("int")),
-    ).otherwise(raw["page_number"].try_cast("int"))
-    rating = F.when(
-        raw["rating_kind"] == "STRING",
-        F.when(raw["rating_text"].rlike(_NUMBER_TEXT), F.trim(raw["rating_text"]).try_cast("double")),
-    ).otherwise(raw["rating_number"])
-    no_number = F.coalesce(raw["number_kind"], F.lit("VOID")) == "VOID"
+_FIELDS = (
+    "esrs_disclosure", "metric_name", "value_numeric", "value_text", "unit", "model_confidence", "source_page",
+    "source_snippet",
+)
+
+
+def _with_soundness(read: Column) -> Column:
+    no_number = F.coalesce(read["value_numeric_kind"], F.lit("VOID")) == "VOID"
     sound = (
-        raw["is_object"]
-        & page.isNotNull()
-        & (raw["rating_kind"].isNull() | rating.isNotNull())
-        & raw["source_snippet"].isNotNull()
-        & raw["esrs_disclosure"].isNotNull()
-        & raw["metric_name"].isNotNull()
-        & (no_number | (raw["value_numeric"].isNotNull() & (raw["number_kind"] != "STRING")))
-        & F.coalesce(raw["text_kind"], F.lit("VOID")).isin("VOID", "STRING")
-    )
-    return F.struct(
-        parent_code(raw["esrs_disclosure"]).alias("esrs_disclosure"),
-        *[raw[c].alias(c) for c in ("metric_name", "value_numeric", "value_text", "unit")],
-        rating.alias("model_confidence"),
-        page.alias("source_page"),
-        raw["source_snippet"].alias("source_snippet"),
-        F.coalesce(sound, F.lit(False)).alias("sound"),
+        read["is_object"]
+        & read["source_page"].isNotNull()
+        & (read["model_confidence_kind"].isNull() | read["model_confidence"].isNotNull())
+        & read["source_snippet"].isNotNull()
+        & read["esrs_disclosure"].isNotNull()
+        & read["metric_name"].isNotNull()
+        & (no_number | (read["value_numeric"].isNotNull() & (read["value_numeric_kind"] != "STRING")))
+        & F.coalesce(read["value_text_kind"], F.lit("VOID")).isin("VOID", "STRING")
     )
+    return F.struct(*[read[c].alias(c) for c in _FIELDS], F.coalesce(sound, F.lit(False)).alias("sound"))
 
 
 def coerced_items(items: Column) -> Column:
@@ -112,7 +116,7 @@ def coerced_items(items: Column) -> Column:
     text value a text, or either may be null or missing. A rating that is missing counts as
     unknown, a rating that is null makes the entry unsound.
     """
-    return F.transform(F.transform(items, _raw_fields), _coerced)
+    return F.transform(F.transform(F.transform(items, _judged), _coerced), _with_soundness)
 
 
 def score_records(df: DataFrame, structural: Column | None = None) -> DataFrame:
