@@ -197,17 +197,24 @@ def attempt_outcomes(
 
     The messages of the attempts follow each other in the order in which models are tried.
     """
-    chosen = first_accepted(attempts, keys).drop("error")
-    outcome = work.join(chosen, list(keys), "left")
+    named = ["model"] if "model" in attempts.columns else []
+    rank = F.struct("priority", *named, F.xxhash64(F.to_json(F.struct("*"))))
+    fields = [c for c in attempts.columns if c not in (*keys, "error", "accepted")]
     message = F.concat_ws(": ", "model", F.coalesce("error", F.lit("payload refused")))
     said = F.array_sort(F.collect_list(F.when(~F.col("accepted"), F.struct("priority", message.alias("m")))))
-    messages = attempts.groupBy(*keys).agg(
-        F.array_join(F.transform(said, lambda x: x["m"]), "; ").alias("__said")
+    # one pass over the attempts: payloads are parsed and judged once for choice and messages
+    judged = attempts.groupBy(*keys).agg(
+        F.min_by(F.struct(*fields), F.when(F.col("accepted"), rank)).alias("__best"),
+        F.array_join(F.transform(said, lambda x: x["m"]), "; ").alias("__said"),
     )
     failed = F.when(
-        F.col("accepted").isNull(), F.coalesce(F.nullif("__said", F.lit("")), F.lit("no attempt"))
+        F.col("__best").isNull(), F.coalesce(F.nullif("__said", F.lit("")), F.lit("no attempt"))
+    )
+    return (
+        work.join(judged, list(keys), "left")
+        .select("*", *[F.col(f"__best.{c}").alias(c) for c in fields], failed.alias("error"))
+        .drop("__best", "__said")
     )
-    return outcome.join(messages, list(keys), "left").withColumn("error", failed).drop("accepted", "__said")
 
 
 def all_or_nothing(
