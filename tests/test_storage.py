@@ -143,3 +143,40 @@ def test_stream_lands_in_any_order_and_latest_wins(spark, tmp_path):
     assert rows(rejects, "metric_name") == [("bad",)]
     run()
     assert stream.landed_rows(spark, table).count() == 4
+
+
+def test_merge_rewrites_only_the_buckets_of_the_batch(spark, tmp_path):
+    source, state, plain = tmp_path / "in", str(tmp_path / "state"), str(tmp_path / "table")
+    source.mkdir()
+
+    def run():
+        query = stream.land_stream(
+            stream.archive_stream(spark, str(source), 1), plain, str(tmp_path / "rejects"),
+            str(tmp_path / "checkpoint"), state, buckets=16)
+        query.awaitTermination()
+        assert query.exception() is None
+
+    def files():
+        return {str(p) for p in (tmp_path / "state").glob("bucket=*/*.parquet")}
+
+    (source / "1.json").write_text(json.dumps([record(f"metric {i}", hour=5) for i in range(60)]))
+    run()
+    before = files()
+    assert len({f.split("/")[-2] for f in before}) > 10
+    (source / "2.json").write_text(json.dumps([record("metric 7", hour=9, score=0.5), record("metric 8", hour=2)]))
+    run()
+    # two keys: at most two buckets have new files, all others are the same files as before
+    gone = {f.split("/")[-2] for f in before - files()}
+    assert 1 <= len(gone) <= 2
+    assert rows(stream.latest_state(spark, state)) == rows(stream.latest_landed(spark, plain))
+    again = files()
+    stream.merge_latest(stream.landed_rows(spark, plain).where("metric_name = 'metric 8'"), state, 16)  # once more
+    assert rows(stream.latest_state(spark, state)) == rows(stream.latest_landed(spark, plain))
+    assert len(again - files()) <= 2
+    stream.merge_latest(stream.landed_rows(spark, plain).limit(0), state, 16)
+    # the other way round
+    turned = str(tmp_path / "turned")
+    landed = stream.landed_rows(spark, plain)
+    for hour in (9, 5, 2):
+        stream.merge_latest(landed.where(F.hour("extraction_timestamp") == hour), turned, 16)
+    assert rows(stream.latest_state(spark, turned)) == rows(stream.latest_landed(spark, plain))

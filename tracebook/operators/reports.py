@@ -74,6 +74,31 @@ def failure_gate(attempts: DataFrame, failed: Column) -> DataFrame:
     return counted.withColumn("gate_broken", F.col("failed") > F.floor(F.col("attempts") / 2))
 
 
+def attempt_ledger(outcomes: DataFrame) -> DataFrame:
+    """Counts of work items by topic, model and error; per topic; and over all, in one rollup.
+
+    ``level`` is 0 for a (topic, model, error), 1 for a topic and 3 for everything. The gate of
+    a row is broken if more than half of its work items failed. A failed item has no model.
+    """
+    ended = outcomes.select(
+        "topic", F.struct("model", "error").alias("ended"), F.col("error").isNotNull().alias("failure")
+    )
+    counted = ended.rollup("topic", "ended").agg(
+        F.grouping_id().cast("int").alias("level"),
+        F.count(F.lit(1)).alias("attempts"),
+        F.count_if("failure").alias("failed"),
+    )
+    return counted.select(
+        "level",
+        "topic",
+        F.col("ended.model").alias("model"),
+        F.col("ended.error").alias("error"),
+        "attempts",
+        "failed",
+        (F.col("failed") > F.floor(F.col("attempts") / 2)).alias("gate_broken"),
+    )
+
+
 def count_by(df: DataFrame, column: str, name: str = "row_count") -> DataFrame:
     """Rows per value, ordered by value."""
     return df.groupBy(column).agg(F.count(F.lit(1)).alias(name)).orderBy(column)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tracebook.fixed_values import NATURAL_KEY
 from tracebook.functions import rules
 from tracebook.functions.keys import file_key, surrogate_key
-from tracebook.operators import joins
+from tracebook.operators import joins, reports
 from tracebook.operators.snapshot import disclosure_documents
 from tracebook.plans import disclosures
 from tracebook.plans.bindings import query, score_of, stamp
@@ -183,9 +183,8 @@ def flattened_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def extracted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two model answers per event through acceptance, fallback, stamping and scoring.
+def model_answers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two model answers per event, and the events as reports.
 
     The first answer is cut short for clicks; the second has a page of 0 where k is 80 or
     more.
@@ -220,7 +219,20 @@ def extracted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("name").alias("name"),
         "language",
     )
-    rows = disclosures.extraction(payloads, reports, 2024, F.lit("2024-06-01").cast("timestamp")).rows
+    return payloads, reports
+
+
+@query
+def attempt_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of every (event, topic) by model and messages, per topic and in all, with the gate."""
+    return reports.attempt_ledger(disclosures.extraction(*model_answers(spark, sf_dir), 2024).outcomes)
+
+
+@query
+def extracted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two model answers per event through acceptance, fallback, stamping and scoring."""
+    extracted_at = F.lit("2024-06-01").cast("timestamp")
+    rows = disclosures.extraction(*model_answers(spark, sf_dir), 2024, extracted_at).rows
     return rows.select(
         "company_ticker", "esrs_topic", "esrs_disclosure", "metric_name", "source_page",
         "extraction_model", F.col("value_numeric").cast("double"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tracebook.fixed_values import TOPICS
 from tracebook.plans.disclosure_bindings import FIRST_MODEL, SECOND_MODEL, TOPIC_OF
 from tracebook.plans.oracles import EVENT_SCORE, ORACLES, three_decimals
 
@@ -218,6 +219,23 @@ SELECT 'EV' || event_id AS company_ticker, esrs_topic, esrs_disclosure, metric_n
        number AS value_numeric, {three_decimals("x")} AS confidence_score
 FROM based"""
 
+ORACLES["attempt_ledger"] = f"""
+WITH tried AS (
+    SELECT esrs_topic AS topic,
+           CASE WHEN event_type <> 'click' THEN '{FIRST_MODEL}' WHEN k < 80 THEN '{SECOND_MODEL}' END AS model
+    FROM {RECORDS}),
+ended AS (
+    SELECT topic, model, CASE WHEN model IS NULL THEN
+           '{FIRST_MODEL}: payload refused; {SECOND_MODEL}: payload refused' END AS error FROM tried
+    UNION ALL
+    SELECT t.topic, NULL, 'no attempt' FROM {RECORDS}
+    JOIN (SELECT unnest({list(TOPICS)}) AS topic) t ON t.topic <> esrs_topic),
+counted AS (
+    SELECT CASE WHEN GROUPING(topic) = 1 THEN 3 WHEN GROUPING(model) = 1 THEN 1 ELSE 0 END AS level,
+           topic, model, error, count(*) AS attempts, count(error) AS failed
+    FROM ended GROUP BY GROUPING SETS ((topic, model, error), (topic), ()))
+SELECT *, failed > attempts // 2 AS gate_broken FROM counted"""
+
 ORACLES["resolved_urls"] = """
 SELECT CAST(page_id AS VARCHAR) AS ticker,
        CASE WHEN starts_with(url, 'https://') THEN url
