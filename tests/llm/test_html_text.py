@@ -75,6 +75,22 @@ def test_pages_without_article_tags_use_the_slots_of_the_template(spark):
     assert got[4] == f"{'long text ' * 9}4\nand 4 more of it"
 
 
+def test_pages_without_article_tags_keep_heading_lead_lists_and_links(spark):
+    def bare(i, paragraphs):
+        body = "".join(f"<p>{f'sentence {i} {k} ' * 6}</p>" for k in range(paragraphs))
+        return (f"<body><div class=top><ul><li><a href=/>Home {i}</a></li></ul></div><div class=text><h1>Title {i}</h1>"
+                f"<p class=lead>Lead {i}</p>{body}<ul><li>first {i}<li><a href=x>second {i}</a></ul></div>"
+                f"<div class=end>Printed {i}</div></body>")
+
+    for paragraphs in (1, 4):
+        rows = [(i, f"http://g.example.org/{i}", bare(i, paragraphs)) for i in range(15)]
+        got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, PAGE)).collect()}
+        body = [(f"sentence 4 {k} " * 6).strip() for k in range(paragraphs)]
+        assert got[4].split("\n") == ["Title 4", "Lead 4", *body, "first 4", "second 4"]
+    # the template finds the article: without it the page is one slot and all its blocks stay
+    assert html_text.main_text(bare(4, 4), set(), set()).startswith("Home 4\nTitle 4\n")
+
+
 def test_very_long_pages_and_empty_tables(spark):
     long = "<article>" + "<p>word &amp; word</p>" * 100_000
     table = spark.createDataFrame([(1, "http://f.example.org", long)], PAGE)

@@ -60,7 +60,8 @@ HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 TAG, TEXT = 0, 1
 MIN_PAGES, MIN_TOKENS = 3, 3
 TEXT_PAGES = 8  # a text block is template text on no fewer pages
-MAX_LINK_SHARE = 0.5
+# Elements that group blocks and so can be an article; others are parts of a text.
+GROUPS = frozenset("body div section article main center td html".split())
 
 
 @dataclass
@@ -71,6 +72,7 @@ class Block:
     boiler: bool
     main: bool
     link_chars: int
+    groups: tuple[int, ...]  # the grouping elements around it, outermost first, by number
 
 
 @dataclass
@@ -80,6 +82,7 @@ class Element:
     boiler: bool
     main: bool
     header: bool
+    groups: tuple[int, ...]
 
 
 def digest(*parts: object) -> int:
@@ -106,7 +109,7 @@ def parse(page: str) -> tuple[list[tuple[int, int]], list[Block]]:
     """The tokens of a page as (token, kind) in order, and its text blocks."""
     tokens: list[tuple[int, int]] = []
     blocks: list[Block] = []
-    stack = [Element("", 0, False, False, False)]
+    stack = [Element("", 0, False, False, False, (0,))]
     held: list[str] = []
     link_chars, in_link, at = 0, False, 0
 
@@ -121,7 +124,7 @@ def parse(page: str) -> tuple[list[tuple[int, int]], list[Block]]:
                 # an article's own header keeps its headings
                 heading = top.tag in HEADINGS and any(e.main for e in stack)
                 furniture = top.boiler or (top.header and not heading)
-                blocks.append(Block(token, len(tokens), text, furniture, top.main, link_chars))
+                blocks.append(Block(token, len(tokens), text, furniture, top.main, link_chars, top.groups))
                 tokens.append((token, TEXT))
         link_chars = 0
 
@@ -162,7 +165,8 @@ def parse(page: str) -> tuple[list[tuple[int, int]], list[Block]]:
         tokens.append((path, TAG))
         if not match.group(4).rstrip().endswith("/") or tag not in VOID:
             main = top.main or tag in MAIN_TAGS
-            stack.append(Element(tag, path, top.boiler or boiler, main, top.header or header))
+            groups = (*top.groups, len(tokens)) if tag in GROUPS else top.groups
+            stack.append(Element(tag, path, top.boiler or boiler, main, top.header or header, groups))
     if page[at:] and not page[at:].lstrip().startswith("<"):
         held.append(page[at:])
     flush()
@@ -262,7 +266,12 @@ def slot_of(tokens: list[tuple[int, int]], skeleton: set[int]) -> list[int]:
 
 
 def main_text(page: str, skeleton: set[int], constants: set[int]) -> str:
-    """The blocks of the article, one per line."""
+    """The blocks of the article, one per line.
+
+    On pages that mark no article it is the smallest grouping element around the fullest slot of
+    the template, text of links not counted; of equal slots the first. A page without a template
+    is one slot.
+    """
     tokens, blocks = parse(page)
     slots = slot_of(tokens, skeleton)
     kept = [b for b in blocks if not b.boiler]
@@ -273,12 +282,18 @@ def main_text(page: str, skeleton: set[int], constants: set[int]) -> str:
         if 2 * sum(len(b.text) for b in fixed) < sum(len(b.text) for b in article):
             article = [b for b in article if b.token - (1 << 63) not in constants]
         return "\n".join(b.text for b in article)
-    kept = [b for b in kept if b.token - (1 << 63) not in constants and b.link_chars <= MAX_LINK_SHARE * len(b.text)]
+    kept = [b for b in kept if b.token - (1 << 63) not in constants]
     mass: Counter[int] = Counter()
     for block in kept:
-        mass[slots[block.place]] += len(block.text)
-    most = max(mass.values(), default=0)
-    return "\n".join(b.text for b in kept if 5 * mass[slots[b.place]] >= most)
+        mass[slots[block.place]] += max(0, len(block.text) - block.link_chars)
+    if not kept:
+        return ""
+    fullest = max(mass, key=lambda slot: (mass[slot], -slot))
+    # the smallest element that holds the slot is the article: its headings, lead, lists and links stay too
+    inside = [b.groups for b in kept if slots[b.place] == fullest]
+    depth = next((d for d, ids in enumerate(zip(*inside, strict=False)) if len({*ids}) > 1), min(map(len, inside)))
+    article_at = inside[0][depth - 1]
+    return "\n".join(b.text for b in kept if article_at in b.groups)
 
 
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
