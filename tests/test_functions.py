@@ -239,3 +239,23 @@ def test_display_forms(spark):
         "€3,870M",
     )
     assert rows(one.select(display.preview(F.lit("short")))) == [("short",)]
+
+
+def test_exact_units_of_doubles_of_all_sizes(spark):
+    import random
+    from decimal import ROUND_HALF_EVEN, Decimal, localcontext
+
+    rng = random.Random(3)
+    values = [0.0, 0.4125, 0.5, 1.5, 2.5, 0.125, 0.375, 1e11 + 0.5, 1e11 + 1.5, 1e12 + 0.5, 1e12 + 0.125, 1e15 + 0.5,
+              1e15 + 1.5, 2.0**53, 2.0**53 + 2, 1e16, 1.2345678901234567e20, 1e22, 1e30, 2.0**80 + 2.0**40]
+    values += [rng.random() * 10.0 ** rng.randrange(-3, 25) for _ in range(300)]
+    values += [rng.randrange(2**40) * 2.0**-k for k in range(12) for _ in range(20)]
+    df = spark.createDataFrame([(v,) for v in [*values, 1e36, None]], "x double")
+    got = scoring.with_exact_units(df, {f"u{d}": ("x", d) for d in (0, 1, 2, 3)}).collect()
+    with localcontext() as context:
+        context.prec = 400
+        for row in got[: len(values)]:
+            for d in (0, 1, 2, 3):
+                expected = (Decimal(row.x) * 10**d).quantize(Decimal(1), ROUND_HALF_EVEN)
+                assert row[f"u{d}"] == expected, (row.x, d)
+    assert [r.u0 for r in got[-2:]] == [None, None]

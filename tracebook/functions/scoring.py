@@ -19,6 +19,9 @@ from tracebook.schemas import SCORE_TYPE, VALUE_TYPE
 
 # 2**27 + 1: splits a double into two halves whose products with small integers are exact
 _SPLIT = 134217729.0
+# 2**53: doubles from here on have no fraction
+_BIG = 9007199254740992.0
+_UNITS = "decimal(38,0)"
 
 
 def clamp_unit(x: Column) -> Column:
@@ -26,40 +29,55 @@ def clamp_unit(x: Column) -> Column:
 
 
 def with_exact_units(df: DataFrame, units: Mapping[str, tuple[str, int]]) -> DataFrame:
-    """Add columns ``name`` = a double column (>= 0) in units of 10**-digits, as a double.
+    """Add columns ``name`` = a double column (>= 0) in units of 10**-digits, as decimal(38,0).
 
     Rounding looks at the exact binary value: 0.4125 is stored a little below the tie and
     gives 412, true ties go to the even neighbour. ``F.round`` works on the shortest decimal
-    text instead and would give 413. The steps are separate projections, so each is
-    computed once per row inside one generated stage.
+    text instead and would give 413. A double of any size is its whole part and a fraction,
+    both exact; only the fraction is rounded. From 1e35 on the result is null. The steps are
+    separate projections, so each is computed once per row inside one generated stage.
     """
     sources = sorted({source for source, _ in units.values()})
+    whole, rest = "__whole_{}".format, "__rest_{}".format
+    wholes = {whole(x): F.when(F.col(x) < _BIG, F.floor(x).cast("double")).otherwise(F.col(x)) for x in sources}
+    rests = {rest(x): F.col(x) - F.col(whole(x)) for x in sources}
     split = {
-        f"__high_{source}": F.lit(_SPLIT) * F.col(source)
-        - (F.lit(_SPLIT) * F.col(source) - F.col(source))
-        for source in sources
+        f"__high_{x}": F.lit(_SPLIT) * F.col(rest(x)) - (F.lit(_SPLIT) * F.col(rest(x)) - F.col(rest(x)))
+        for x in sources
     }
+    exact = {f"__exact_{x}": _as_decimal(F.col(whole(x))) for x in sources}
     floors = {
-        f"__floor_{name}": F.floor(F.col(source) * float(10**digits)).cast("double")
-        for name, (source, digits) in units.items()
+        f"__floor_{name}": F.floor(F.col(rest(x)) * float(10**digits)).cast("double")
+        for name, (x, digits) in units.items()
     }
     beyond = {
-        f"__beyond_{name}": (
-            F.col(f"__high_{source}") * float(10**digits) - (F.col(f"__floor_{name}") + 0.5)
-        )
-        + (F.col(source) - F.col(f"__high_{source}")) * float(10**digits)
-        for name, (source, digits) in units.items()
+        f"__beyond_{name}": (F.col(f"__high_{x}") * float(10**digits) - (F.col(f"__floor_{name}") + 0.5))
+        + (F.col(rest(x)) - F.col(f"__high_{x}")) * float(10**digits)
+        for name, (x, digits) in units.items()
     }
     rounded = {}
-    for name, (source, digits) in units.items():
-        whole, rest = F.col(f"__floor_{name}"), F.col(f"__beyond_{name}")
-        exact = F.when(rest > 0, whole + 1).when(rest < 0, whole).otherwise(whole + whole % 2)
-        # from 1e12 on the halves no longer leave room for the tie test
-        rounded[name] = F.when(F.col(source) < 1e12, exact).otherwise(
-            F.bround(F.col(source) * float(10**digits))
-        )
-    staged = df.withColumns({**split, **floors}).withColumns(beyond).withColumns(rounded)
-    return staged.drop(*split, *floors, *beyond)
+    for name, (x, digits) in units.items():
+        floor, over = F.col(f"__floor_{name}"), F.col(f"__beyond_{name}")
+        # a whole part in units is even but for units of one
+        odd = floor % 2 if digits else F.col(whole(x)) % 2
+        up = F.when(over > 0, 1).when(over < 0, 0).otherwise(odd)
+        scaled = (F.col(f"__exact_{x}") * 10**digits).cast(_UNITS)
+        rounded[name] = (scaled + (floor + up).cast("long")).cast(_UNITS)
+    staged = df.withColumns(wholes).withColumns(rests).withColumns({**split, **floors, **exact})
+    staged = staged.withColumns(beyond).withColumns(rounded)
+    return staged.drop(*wholes, *rests, *split, *floors, *exact, *beyond)
+
+
+def _as_decimal(whole: Column) -> Column:
+    """The exact integer that a double holds; a cast would take its shortest decimal text."""
+    limb = float(2**40)
+    low = whole % limb  # remainders of doubles are exact
+    middle = (whole - low) / limb % limb
+    top = ((whole - low) / limb - middle) / limb
+    digits = F.lit(0).cast(_UNITS)
+    for part in (top, middle, low):
+        digits = (digits * F.lit(2**40) + part.cast("long")).cast(_UNITS)
+    return F.when(whole < _BIG, whole.cast("long").cast(_UNITS)).when(whole < 1e35, digits)
 
 
 def pseudo_logprob(rating: Column) -> Column:
@@ -86,7 +104,7 @@ def with_confidence(
         df.withColumn("__base", base).withColumn("__cited", cited).withColumn("__spoken", spoken)
     )
     rounded = with_exact_units(staged, {"__thousandths": ("__spoken", 3)})
-    score = F.when(structural, F.col("__thousandths") / 1000.0).otherwise(F.lit(0.0))
+    score = F.when(structural, F.col("__thousandths").cast("double") / 1000.0).otherwise(F.lit(0.0))
     return computed_once(rounded, {name: score.cast(SCORE_TYPE)}).drop(
         "__base", "__cited", "__spoken", "__thousandths"
     )
@@ -99,7 +117,7 @@ def band(score: Column, threshold: float = CONFIDENCE_THRESHOLD) -> Column:
 
 def _digits_only(negative: Column, units: Column, digits: int) -> Column:
     """The fixed-point text of a number with its decimal point taken out."""
-    text = units.cast("decimal(38,0)").cast("string")
+    text = units.cast("string")
     padded = text if digits == 0 else F.when(
         F.length(text) <= digits, F.lpad(text, digits + 1, "0")
     ).otherwise(text)
@@ -141,7 +159,7 @@ def with_snippet_match(
         | F.contains(F.col("__plain"), forms[2])
     )
     found = (
-        F.when(F.col("__size").isNotNull(), numeric_hit)
+        F.when(F.col("__size").isNotNull(), F.coalesce(numeric_hit, F.lit(False)))
         .when(F.col("__is_text"), F.col("__text_hit"))
         .otherwise(F.lit(False))
     )
