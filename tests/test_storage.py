@@ -108,6 +108,46 @@ def test_refresh_stores_the_star(spark):
     assert spark.table("stg_disclosure").count() == 7
 
 
+def test_refresh_that_fails_leaves_the_old_tables(spark, monkeypatch):
+    from tracebook.operators import star
+    from tracebook.plans.disclosures import STORED
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS versioned")
+    sinks.create_table(spark, "versioned.dim_period", STORED["dim_period"])  # an empty, declared table
+    df = landing(spark)
+    refresh(df, *lists(spark), "versioned")
+
+    def seen():
+        return {name: rows(spark.table(f"versioned.{name}")) for name in STORED}
+
+    before = seen()
+    assert all(spark.catalog.getTable(f"versioned.{name}").tableType == "VIEW" for name in STORED)
+    assert {f.name: f.dataType for f in spark.table("versioned.mart_disclosure_review_queue").schema} == {
+        f.name: f.dataType for f in STORED["mart_disclosure_review_queue"]}
+    changed = df.withColumn("confidence_score", F.lit("0.1").cast("decimal(4,3)"))
+
+    def broken(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(star, "review_mart", broken)  # after dimensions, fact and the published mart
+        with pytest.raises(RuntimeError):
+            refresh(changed, *lists(spark), "versioned")
+    assert seen() == before
+    assert len(sinks.versions(spark, "versioned", "fact_disclosure")) == 2
+    # run again, it comes through; the versions left are this one and one before
+    refresh(changed, *lists(spark), "versioned")
+    assert {r.confidence_score for r in spark.table("versioned.fact_disclosure").collect()} != {
+        r[7] for r in before["fact_disclosure"]}
+    refresh(df, *lists(spark), "versioned")
+    assert seen() == before
+    for name in STORED:
+        assert len(sinks.versions(spark, "versioned", name)) == 2, name
+    with pytest.raises(ValueError, match="has no stg_disclosure"):
+        sinks.switch_version(spark, "versioned", tuple(STORED), "never")
+    assert seen() == before
+
+
 def test_landed_file_admission(spark, tmp_path):
     for name, body in {"AA.X-2024": b"%PDF-1.7 x", "BB.X-2024": b"<html>", "CC.X-2024": b"",
                        "DD.X-2024": b"%PDF-old", "EE.X-2024": b"%PDF-again"}.items():

@@ -23,9 +23,12 @@ from tracebook.operators.joins import work_list
 from tracebook.operators.pages import page_rows, prompt_rows, topic_excerpts
 from tracebook.operators.payloads import attempt_outcomes, judged_attempts, scored_records
 from tracebook.operators.picks import latest_per_key
-from tracebook.schemas import COMPANIES, MARTS, METRICS, PERIODS, SCORE_TYPE
+from tracebook.schemas import COMPANIES, MARTS, METRICS, PERIODS, RAW, SCORE_TYPE
 from tracebook.session import checkpointed
-from tracebook.sources.sinks import as_table
+from tracebook.sources.sinks import as_table, new_version, switch_version, version_table
+
+#: what a refresh stores: staging and the marts
+STORED = {"stg_disclosure": RAW, **MARTS}
 
 
 def prompts(
@@ -125,41 +128,43 @@ def refresh(
     threshold: float = CONFIDENCE_THRESHOLD,
     rejected_wins: bool = False,
 ) -> Warehouse:
-    """Full refresh of the stored tables; staging stays a view.
+    """Full refresh: a new version of every table beside the old ones, then all views switched.
+
+    Readers use the views ``database.stg_disclosure``, ``dim_*``, ``fact_disclosure`` and
+    ``mart_*``. They show the version before until every table of the new one is written, so a
+    refresh that fails leaves them as they were; it can be run again.
 
-    Staging feeds the metric dimension and the fact, the joined rows feed fact and marts;
-    both are stored before they are used again, so nothing above them is computed twice.
+    Staging feeds the metric dimension and the fact, the joined rows feed fact and marts; both
+    are stored before they are used again, so nothing above them is computed twice.
     """
+    spark = raw.sparkSession
+    version = new_version()
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        return as_table(df, version_table(database, name, version), STORED[name])
+
     latest = latest_per_key(raw)
     latest.createOrReplaceTempView("stg_disclosure")  # over raw: shows rows that come later
-    staged = checkpointed(latest)
-    company = as_table(
-        star.company_dimension(companies), f"{database}.dim_company", MARTS["dim_company"]
-    )
-    metric = as_table(
-        star.metric_dimension(catalogue, staged), f"{database}.dim_metric", MARTS["dim_metric"]
-    )
-    period = as_table(
-        star.period_dimension(periods), f"{database}.dim_period", MARTS["dim_period"]
-    )
+    staged = store(latest, "stg_disclosure")
+    company = store(star.company_dimension(companies), "dim_company")
+    metric = store(star.metric_dimension(catalogue, staged), "dim_metric")
+    period = store(star.period_dimension(periods), "dim_period")
     joined = checkpointed(star.joined_fact(staged, company, catalogue, period, approvals))
     wide = star.wide_fact(joined)
     options = {"rejected_wins": rejected_wins}
-    return Warehouse(
+    warehouse = Warehouse(
         staged=staged,
         companies=company,
         metrics=metric,
         periods=period,
         joined=joined,
         wide=wide,
-        fact=as_table(star.fact(wide), f"{database}.fact_disclosure", MARTS["fact_disclosure"]),
-        published=as_table(
-            star.published_mart(wide, threshold, **options), f"{database}.mart_disclosure_published"
-        ),
-        review=as_table(
-            star.review_mart(wide, threshold, **options), f"{database}.mart_disclosure_review_queue"
-        ),
+        fact=store(star.fact(wide), "fact_disclosure"),
+        published=store(star.published_mart(wide, threshold, **options), "mart_disclosure_published"),
+        review=store(star.review_mart(wide, threshold, **options), "mart_disclosure_review_queue"),
     )
+    switch_version(spark, database, tuple(STORED), version)
+    return warehouse
 
 
 def seed_report(

@@ -66,6 +66,26 @@ PERIODS = _struct(
 
 #: the declared mart tables: keys in front, then the attributes
 _KEY = _TEXT
+_ROUTED = dict(
+    disclosure_id=_KEY,
+    company_ticker=_TEXT,
+    company_name=_TEXT,
+    sector=_TEXT,
+    country=_TEXT,
+    esrs_topic=_TEXT,
+    esrs_disclosure=_TEXT,
+    metric_name=_TEXT,
+    fiscal_year=T.ShortType(),
+    value_numeric=VALUE_TYPE,
+    value_text=_TEXT,
+    unit=_TEXT,
+    confidence_score=SCORE_TYPE,
+    source_page=T.IntegerType(),
+    source_snippet=_TEXT,
+    language=_TEXT,
+    extraction_model=_TEXT,
+    extraction_timestamp=T.TimestampType(),
+)
 MARTS = {
     "dim_company": T.StructType([T.StructField("company_id", _KEY), *COMPANIES.fields]),
     "dim_metric": _struct(
@@ -94,6 +114,8 @@ MARTS = {
         extraction_timestamp=T.TimestampType(),
         human_approved=T.BooleanType(),
     ),
+    "mart_disclosure_published": _struct(**_ROUTED),
+    "mart_disclosure_review_queue": _struct(**_ROUTED, human_approved=T.BooleanType()),
 }
 EXPOSURES = _struct(ticker=_TEXT, exposure_eur_m=T.IntegerType())
 APPROVALS = _struct(disclosure_id=_TEXT, human_approved=T.BooleanType())

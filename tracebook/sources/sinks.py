@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,6 +83,45 @@ def as_table(df: DataFrame, name: str, schema: T.StructType | None = None) -> Da
     return df.sparkSession.table(name)
 
 
+def new_version() -> str:
+    """A name for the tables of one refresh; later ones sort behind earlier ones."""
+    return f"{datetime.now(UTC):%Y%m%d%H%M%S%f}_{uuid.uuid4().hex[:8]}"
+
+
+def version_table(database: str, name: str, version: str) -> str:
+    return f"{database}.{name}__{version}"
+
+
+def versions(spark: SparkSession, database: str, name: str) -> list[str]:
+    """The stored versions of a table, oldest first, whole or left by a refresh that failed."""
+    found = spark.sql(f"SHOW TABLES IN {database} LIKE '{name}__*'").select("tableName").collect()
+    return sorted(row.tableName.removeprefix(f"{name}__") for row in found)
+
+
+def switch_version(
+    spark: SparkSession, database: str, names: tuple[str, ...], version: str, keep: int = 2
+) -> None:
+    """Let the views ``database.name`` show one stored version of their tables.
+
+    All tables of the version must be there before the first view is switched. A switch changes
+    the catalog only and is done view by view in the order of ``names``. Versions beyond the
+    newest ``keep`` up to this one are dropped, unfinished ones among them; a query that still
+    reads the version before goes on. A table that stood under a view's name is replaced.
+    """
+    missing = [n for n in names if not spark.catalog.tableExists(version_table(database, n, version))]
+    if missing:
+        raise ValueError(f"version {version} has no {', '.join(missing)}")
+    for name in names:
+        view, table = f"{database}.{name}", version_table(database, name, version)
+        if spark.catalog.tableExists(view) and spark.catalog.getTable(view).tableType != "VIEW":
+            spark.sql(f"DROP TABLE {view}")
+        spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table}")
+    for name in names:
+        earlier = [v for v in versions(spark, database, name) if v <= version]
+        for old in earlier[: max(0, len(earlier) - keep)]:
+            spark.sql(f"DROP TABLE {version_table(database, name, old)}")
+
+
 def write_archive(records: DataFrame, path: str, max_records: int = 100_000) -> None:
     """JSON lines with one directory per company and year (see ``scans.archive_lines``).
 
