@@ -91,6 +91,49 @@ def test_pages_without_article_tags_keep_heading_lead_lists_and_links(spark):
     assert html_text.main_text(bare(4, 4), set(), set()).startswith("Home 4\nTitle 4\n")
 
 
+def read_of(table):
+    key = html_text.F.xxhash64("page_id", "html").alias("page_key")
+    return table.select(html_text.host_of(table.url).alias("host"), key, "html")
+
+
+def test_names_that_may_mark_furniture_are_told_by_the_template(spark):
+    """share-price stands in one article, promo-teaser on all pages: only the host's pages tell which is furniture."""
+    def full(i):
+        own = "<div class=share-price><p>Shares closed at 7</p></div>" if i == 4 else ""
+        return page(i, f"<p>Words number {i} of this text.</p>{own}<div class=promo-teaser><p>Buy number {i * 3}</p></div>")
+
+    rows = [(i, f"https://h.example.org/{i}", full(i)) for i in range(30)]
+    table = spark.createDataFrame(rows, PAGE)
+    got = {r.page_id: r.text for r in html_text.extract(table).collect()}
+    assert got[4] == "Story 4\nWords number 4 of this text.\nShares closed at 7"
+    assert got[5] == "Story 5\nWords number 5 of this text."
+    # without the template both are taken for furniture, and the line of all pages stays
+    assert html_text.main_text(full(4), set(), set()) == "Story 4\nWords number 4 of this text.\nShare this story now"
+    assert html_text.names_furniture("reader-comments-2") == (True, False)
+    assert html_text.names_furniture("related-work") == (False, True)
+
+
+def test_each_kind_of_pages_has_its_template(spark):
+    """Two kinds of pages that share nothing but the frame: classes of half the pages tell the article."""
+    def story(i):
+        return (f"<html><body><div class=ma><ul><li>Menu {i}</ul></div><div class=mb><h1>Story {i}</h1>"
+                f"<p>{f'tale {i} ' * 20}</p><ul><li>point {i}</ul></div><div class=mc><p>Printed {i}</p></div></body></html>")
+
+    def review(i):
+        return (f"<html><body><section class=ra><p>Rated {i}</p></section><section class=rb><h2>Review {i}</h2>"
+                f"<p>{f'verdict {i} ' * 20}</p></section><section class=rc><p>Visits {i * 7}</p></section></body></html>")
+
+    rows = [(i, f"https://k.example.org/{i}", (story if i % 2 else review)(i)) for i in range(24)]
+    table = spark.createDataFrame(rows, PAGE)
+    (found,) = html_text.templates(read_of(table)).collect()
+    assert len(found.kinds) > len(found.skeleton) >= 3
+    got = {r.page_id: r.text for r in html_text.extract(table).collect()}
+    assert got[5] == f"Story 5\n{('tale 5 ' * 20).strip()}\npoint 5"
+    assert got[8] == f"Review 8\n{('verdict 8 ' * 20).strip()}"
+    # the outer template alone does not tell the article from the rest of the page
+    assert html_text.main_text(story(5), set(found.skeleton), set()).startswith("Menu 5\nStory 5\n")
+
+
 def test_very_long_pages_and_empty_tables(spark):
     long = "<article>" + "<p>word &amp; word</p>" * 100_000
     table = spark.createDataFrame([(1, "http://f.example.org", long)], PAGE)

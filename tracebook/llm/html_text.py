@@ -10,9 +10,15 @@ A vector is never built: its pages are summed up in a 64-bit signature, so a hos
 an aggregate that combines on the map side. Order is proved by the smallest and largest place of
 each token, counted from the start and from the end of the page.
 
+A page holds all tokens of a class or none, so the classes it holds are its own template, whatever
+kinds of pages a host has. Classes on most pages of the host are its outer level; those on a
+tenth or more are nested in them and are the templates of its kinds of pages.
+
 The text is what is left in slots of the page's article: blocks of template text, and blocks
 inside elements that by tag, role or class are menus, headers, footers, sidebars, notices,
-adverts, forms or comments, are left out.
+adverts, forms or comments, are left out. A class name that holds such a word beside others
+(related-work, share-price) proves nothing by itself: its element is furniture if it stands on a
+tenth or more of the host's pages, and part of the article otherwise.
 """
 
 from __future__ import annotations
@@ -54,12 +60,20 @@ BOILER_WORDS = frozenset(
     "comment comments commentlist disqus reply replies respond cookie cookies consent gdpr notice notices notification "
     "alert popup modal overlay newsletter subscribe signup login searchform pagination pager toolbar form".split()
 )
+# Words that say nothing about the content when they stand beside one of the above.
+NEUTRAL_WORDS = frozenset(
+    "a all area article articles bar block body bottom box btn button buttons card cards center col column container content "
+    "count entry fixed footer frame global grid group head header heading icon icons inline inner item items js l label left "
+    "link links list main media message new node outer page panel post posts primary reader right row secondary section site "
+    "slot small sticky strip sub tab text the thread title top ui unit user users view widgets wrap wrapper".split()
+)
 MAIN_TAGS = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 TAG, TEXT = 0, 1
 MIN_PAGES, MIN_TOKENS = 3, 3
 TEXT_PAGES = 8  # a text block is template text on no fewer pages
+MOST, KIND = 0.9, 0.1  # shares of a host's pages: its outer template, the template of a kind of pages
 # Elements that group blocks and so can be an article; others are parts of a text.
 GROUPS = frozenset("body div section article main center td html".split())
 
@@ -73,6 +87,7 @@ class Block:
     main: bool
     link_chars: int
     groups: tuple[int, ...]  # the grouping elements around it, outermost first, by number
+    doubts: tuple[int, ...]  # tokens of the elements around it whose names may mark furniture
 
 
 @dataclass
@@ -83,33 +98,48 @@ class Element:
     main: bool
     header: bool
     groups: tuple[int, ...]
+    doubts: tuple[int, ...]
 
 
 def digest(*parts: object) -> int:
     return xxhash.xxh3_64_intdigest("\x1f".join(map(str, parts)))
 
 
-def marked_boiler(tag: str, attributes: str) -> tuple[bool, bool, str]:
-    """Whether an element is furniture, whether it is a header, and the names that mark its place."""
+def names_furniture(name: str) -> tuple[bool, bool]:
+    """Whether a class name or id says furniture, and whether it only holds such a word among others."""
+    words = {w for w in re.split(r"[^a-z]+", name) if w}
+    if not words & BOILER_WORDS:
+        return False, False
+    sure = words <= BOILER_WORDS | NEUTRAL_WORDS
+    return sure, not sure
+
+
+def marked_boiler(tag: str, attributes: str) -> tuple[bool, bool, bool, str]:
+    """Whether an element is furniture, may be, is a header, and the names that mark its place."""
     words, role, hidden, name = set(), "", False, ""
+    sure = doubtful = False
     for key, a, b, c, bare in ATTRIBUTES.findall(attributes) if attributes.strip() else ():
         key, value = key.lower() or bare.lower(), (a or b or c).lower()
         if key in ("class", "id"):
             words.update(re.split(r"[^a-z0-9]+", value))
+            for one in value.split():
+                says, may = names_furniture(one)
+                sure, doubtful = sure | says, doubtful | may
             name += f" {key}={re.sub('[0-9]+', '0', value)}"
         elif key == "role":
             role = value
         hidden |= key == "hidden" or (key == "aria-hidden" and value == "true")
         hidden |= key == "style" and "display:none" in value.replace(" ", "")
-    boiler = tag in BOILER_TAGS or role in BOILER_ROLES or bool(words & BOILER_WORDS) or hidden
-    return boiler and tag not in ("html", "body", *MAIN_TAGS), tag == "header" or "header" in words, name
+    frame = tag in ("html", "body", *MAIN_TAGS)
+    boiler = tag in BOILER_TAGS or role in BOILER_ROLES or sure or hidden
+    return boiler and not frame, doubtful and not frame, tag == "header" or "header" in words, name
 
 
 def parse(page: str) -> tuple[list[tuple[int, int]], list[Block]]:
     """The tokens of a page as (token, kind) in order, and its text blocks."""
     tokens: list[tuple[int, int]] = []
     blocks: list[Block] = []
-    stack = [Element("", 0, False, False, False, (0,))]
+    stack = [Element("", 0, False, False, False, (0,), ())]
     held: list[str] = []
     link_chars, in_link, at = 0, False, 0
 
@@ -124,7 +154,8 @@ def parse(page: str) -> tuple[list[tuple[int, int]], list[Block]]:
                 # an article's own header keeps its headings
                 heading = top.tag in HEADINGS and any(e.main for e in stack)
                 furniture = top.boiler or (top.header and not heading)
-                blocks.append(Block(token, len(tokens), text, furniture, top.main, link_chars, top.groups))
+                place = len(tokens)
+                blocks.append(Block(token, place, text, furniture, top.main, link_chars, top.groups, top.doubts))
                 tokens.append((token, TEXT))
         link_chars = 0
 
@@ -159,14 +190,15 @@ def parse(page: str) -> tuple[list[tuple[int, int]], list[Block]]:
             continue
         if stack[-1].tag == "p" or (tag in CLOSES_ITSELF and stack[-1].tag == tag):
             stack.pop()
-        boiler, header, name = marked_boiler(tag, match.group(4))
+        boiler, doubtful, header, name = marked_boiler(tag, match.group(4))
         top = stack[-1]
         path = digest(top.path, tag, name)
         tokens.append((path, TAG))
         if not match.group(4).rstrip().endswith("/") or tag not in VOID:
             main = top.main or tag in MAIN_TAGS
             groups = (*top.groups, len(tokens)) if tag in GROUPS else top.groups
-            stack.append(Element(tag, path, top.boiler or boiler, main, top.header or header, groups))
+            doubts = (*top.doubts, path) if doubtful else top.doubts
+            stack.append(Element(tag, path, top.boiler or boiler, main, top.header or header, groups, doubts))
     if page[at:] and not page[at:].lstrip().startswith("<"):
         held.append(page[at:])
     flush()
@@ -199,8 +231,8 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1), F.lit("")))
 
 
-def equivalence_classes(pages: DataFrame) -> DataFrame:
-    """Valid classes: (host, host_pages, pages, total, tokens), tokens in the order they stand in."""
+def _classes(pages: DataFrame) -> DataFrame:
+    """All classes of tokens on three pages or more: with ``ordered``, the tokens that stand in one order."""
     found = pages.select("host", "page_key", "html").mapInArrow(
         page_tokens, "host string, token long, kind int, page_key long, n int, front int, back int"
     )
@@ -219,10 +251,8 @@ def equivalence_classes(pages: DataFrame) -> DataFrame:
     )
     hosts = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
     fields = ["front_min", "token", "kind", "front_max", "back_min", "back_max"]
-    classes = (
-        vectors.groupBy("host", "vector", "pages", "total")
-        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("tokens"))
-        .where(F.size("tokens") >= MIN_TOKENS)
+    classes = vectors.groupBy("host", "vector", "pages", "total").agg(
+        F.array_sort(F.collect_list(F.struct(*fields))).alias("tokens")
     )
 
     def in_order(token: Column, i: Column) -> Column:
@@ -230,29 +260,55 @@ def equivalence_classes(pages: DataFrame) -> DataFrame:
         after = (before["front_max"] < token["front_min"]) | (before["back_min"] > token["back_max"])
         return (i == 0) | after
 
+    return classes.withColumn("ordered", F.filter("tokens", in_order)).join(hosts, "host")
+
+
+def equivalence_classes(pages: DataFrame) -> DataFrame:
+    """Valid classes: (host, host_pages, pages, total, tokens), tokens in the order they stand in."""
     return (
-        classes.select("*", F.filter("tokens", in_order).alias("ordered"))
+        _classes(pages)
         .where(F.size("ordered") >= MIN_TOKENS)
-        .join(hosts, "host")
         .select("host", "host_pages", "pages", "total", F.col("ordered").alias("tokens"))
     )
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, skeleton, constants): tags that stand once on most pages, and template text.
-
-    Classes on nine tenths of a host's pages are nested into its template: those with one
-    occurrence per page make the skeleton, in the order of their places. A text block belongs to
-    the template if its class does and the host has enough pages to tell it from a repeated line.
+    """(host, skeleton, kinds, constants, regular): the nested template of every host.
+
+    ``skeleton`` are the tags of valid classes with one occurrence a page on nine tenths of the
+    host's pages, in the order of their places; ``kinds`` those on a tenth or more, of which a page
+    holds the ones of its kind. ``constants`` are text blocks of classes on most pages, or of those
+    that hold tags of a kind too; on hosts, and in classes, of enough pages to tell them from a
+    repeated line. ``regular`` are all tags on a tenth or more of the pages. Tokens on a tenth of
+    the pages are at most ten times those of a page, so a template does not grow with its host.
     """
-    classes = equivalence_classes(pages).where(F.col("pages") >= 0.9 * F.col("host_pages"))
-    each = classes.select("host", "host_pages", "pages", "total", F.explode("tokens").alias("x"))
-    once = (F.col("total") == F.col("pages")) & (F.col("x.kind") == TAG)
-    constant = (F.col("x.kind") == TEXT) & (F.col("host_pages") >= TEXT_PAGES)
-    skeleton = F.array_sort(F.collect_list(F.when(once, F.struct("x.front_min", "x.token"))))
-    return each.groupBy("host").agg(
-        F.transform(skeleton, lambda s: s["token"]).alias("skeleton"),
-        F.collect_set(F.when(constant, F.col("x.token"))).alias("constants"),
+
+    def of(tokens: str, kind: int) -> Column:
+        return F.filter(tokens, lambda t: t["kind"] == kind)
+
+    valid = F.size("ordered") >= MIN_TOKENS
+    most = F.col("pages") >= MOST * F.col("host_pages")
+    once = valid & (F.col("total") == F.col("pages"))
+    placed = F.transform(of("ordered", TAG), lambda t: F.struct(t["front_min"], t["token"]))
+    structural = once & (F.size(of("ordered", TAG)) >= MIN_TOKENS)
+    constant = valid & (most | structural) & (F.col("pages") >= MOST * TEXT_PAGES) & (F.col("host_pages") >= TEXT_PAGES)
+
+    def tokens_of(found: Column) -> Column:
+        return F.flatten(F.collect_list(found))
+
+    def in_places(found: Column) -> Column:
+        return F.transform(F.array_sort(tokens_of(found)), lambda t: t["token"])
+
+    return (
+        _classes(pages)
+        .where(F.col("pages") >= KIND * F.col("host_pages"))
+        .groupBy("host")
+        .agg(
+            in_places(F.when(once & most, placed)).alias("skeleton"),
+            in_places(F.when(once, placed)).alias("kinds"),
+            tokens_of(F.when(constant, F.transform(of("ordered", TEXT), lambda t: t["token"]))).alias("constants"),
+            tokens_of(F.transform(of("tokens", TAG), lambda t: t["token"])).alias("regular"),
+        )
     )
 
 
@@ -265,16 +321,38 @@ def slot_of(tokens: list[tuple[int, int]], skeleton: set[int]) -> list[int]:
     return slots
 
 
-def main_text(page: str, skeleton: set[int], constants: set[int]) -> str:
+def article_at(kept: list[Block], slots: list[int]) -> int:
+    """The smallest grouping element around the fullest slot, text of links not counted; of equal slots the first."""
+    mass: Counter[int] = Counter()
+    for block in kept:
+        mass[slots[block.place]] += max(0, len(block.text) - block.link_chars)
+    fullest = max(mass, key=lambda slot: (mass[slot], -slot))
+    inside = [b.groups for b in kept if slots[b.place] == fullest]
+    depth = next((d for d, ids in enumerate(zip(*inside, strict=False)) if len({*ids}) > 1), min(map(len, inside)))
+    return inside[0][depth - 1]
+
+
+def main_text(
+    page: str,
+    skeleton: set[int],
+    constants: set[int],
+    kinds: set[int] = frozenset(),
+    regular: set[int] = frozenset(),
+) -> str:
     """The blocks of the article, one per line.
 
     On pages that mark no article it is the smallest grouping element around the fullest slot of
-    the template, text of links not counted; of equal slots the first. A page without a template
-    is one slot.
+    the template. If that is an element around all text of the page, the outer template does not
+    tell the article, and the template of the page's kind is taken. A page without a template is
+    one slot. Elements whose names only may mark furniture are furniture if they are regular, or
+    if nothing is known of the host.
     """
     tokens, blocks = parse(page)
-    slots = slot_of(tokens, skeleton)
-    kept = [b for b in blocks if not b.boiler]
+
+    def is_furniture(block: Block) -> bool:
+        return block.boiler or any(not regular or d - (1 << 63) in regular for d in block.doubts)
+
+    kept = [b for b in blocks if not is_furniture(b)]
     article = [b for b in kept if b.main]
     if article:
         fixed = [b for b in article if b.token - (1 << 63) in constants]
@@ -283,28 +361,29 @@ def main_text(page: str, skeleton: set[int], constants: set[int]) -> str:
             article = [b for b in article if b.token - (1 << 63) not in constants]
         return "\n".join(b.text for b in article)
     kept = [b for b in kept if b.token - (1 << 63) not in constants]
-    mass: Counter[int] = Counter()
-    for block in kept:
-        mass[slots[block.place]] += max(0, len(block.text) - block.link_chars)
     if not kept:
         return ""
-    fullest = max(mass, key=lambda slot: (mass[slot], -slot))
-    # the smallest element that holds the slot is the article: its headings, lead, lists and links stay too
-    inside = [b.groups for b in kept if slots[b.place] == fullest]
-    depth = next((d for d, ids in enumerate(zip(*inside, strict=False)) if len({*ids}) > 1), min(map(len, inside)))
-    article_at = inside[0][depth - 1]
-    return "\n".join(b.text for b in kept if article_at in b.groups)
+    for template in (skeleton, kinds):
+        # the smallest element that holds the slot is the article: its headings, lead, lists and links stay too
+        holder = article_at(kept, slot_of(tokens, template))
+        found = [b for b in kept if holder in b.groups]
+        if len(found) < len(kept):
+            break
+    return "\n".join(b.text for b in found)
+
+
+TEMPLATE = ("skeleton", "constants", "kinds", "regular")
 
 
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         known: dict = {}
         texts = []
-        columns = [batch.column(c) for c in ("html", "host", "skeleton", "constants")]
-        for page, host, skeleton, constants in zip(*columns, strict=True):
+        columns = [batch.column(c) for c in ("html", "host", *TEMPLATE)]
+        for page, host, *template in zip(*columns, strict=True):
             host = host.as_py()
             if host not in known:
-                known[host] = (set(skeleton.as_py() or ()), set(constants.as_py() or ()))
+                known[host] = [set(part.as_py() or ()) for part in template]
             texts.append(main_text(page.as_py() or "", *known[host]))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
@@ -333,6 +412,6 @@ def extract(pages: DataFrame) -> DataFrame:
     found = stored(templates(read))
     return (
         read.join(found, "host", "left")
-        .select("page_id", "url", "html", "host", "skeleton", "constants")
+        .select("page_id", "url", "html", "host", *TEMPLATE)
         .mapInArrow(_texts, "page_id long, url string, text string, n_chars long")
     )
