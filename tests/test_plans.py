@@ -136,6 +136,26 @@ def test_payloads_are_parsed_and_scored_once(spark):
     assert plan.count("1.34217729E8") == 4  # two roundings, each naming the constant twice
 
 
+def test_passage_search_runs_no_job_while_it_is_planned(spark):
+    from tracebook.operators.containment import containment_pairs
+
+    texts = spark.createDataFrame([(1, "One two THREE four five six seven"), (2, "ab"), (3, None)], "t long, text string")
+    passages = spark.createDataFrame(
+        [(1, "two three four five six seven"), (2, "b"), (3, "e two t"), (4, ""), (5, None), (6, "TWO three four")],
+        "p long, passage string",
+    )
+    context = spark.sparkContext
+    context.setJobGroup("planning", "passage search")
+    try:
+        found = {n: containment_pairs(texts, passages.where(f"p in ({n})"), "t", "p") for n in ("1", "2", "3, 6", "4, 5", "1, 2, 3, 6")}
+        assert not context.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    got = {n: sorted(map(tuple, pairs.collect())) for n, pairs in found.items()}
+    assert got == {"1": [(1, 1)], "2": [(2, 2)], "3, 6": [(1, 3), (1, 6)], "4, 5": [],
+                   "1, 2, 3, 6": [(1, 1), (1, 3), (1, 6), (2, 2)]}
+
+
 def test_page_text_is_lowered_once_for_all_topics(spark):
     pages = spark.range(10).select(
         F.lit("r").alias("report_id"), F.col("id").cast("int").alias("page"), F.lit("t").alias("text")

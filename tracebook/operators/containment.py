@@ -97,26 +97,24 @@ def containment_pairs(
         "__inner",
         F.when(F.size(words) > 2, F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))),
     )
-    # 4 or 1: words in the anchor; 0: no inner word. Only the kinds that occur are cut from
-    # the texts, which spares half of the work when every passage has four inner words.
+    # 4 or 1: words in the anchor; 0: no inner word
     kind = F.when(F.col("__inner").isNull(), 0).when(F.size("__inner") >= 4, 4).otherwise(1)
     sorted_out = inner.where(F.length("__passage") > 0).withColumn("__kind", kind)
-    kinds = {row["__kind"] for row in sorted_out.select("__kind").distinct().collect()}
-
-    met: list[DataFrame] = []
-    word_runs = tuple(n for n in _WORD_RUNS if n in kinds) or _WORD_RUNS
-    by_words = sorted_out.where("__kind > 0").select(
-        "__one", _anchor_of(F.col("__inner"), _WORD_RUNS).alias("__anchor")
-    )
-    met.append(_anchored_texts(lowered, text_id, _words, word_runs).join(by_words, "__anchor"))
-    if 0 in kinds:
-        by_letters = sorted_out.where("__kind = 0").select(
-            "__one",
-            _anchor_of(_characters(F.col("__passage")), _CHARACTER_RUNS).alias("__anchor"),
+    # texts are cut only for kinds that occur, which the running query finds out by itself
+    kinds = sorted_out.agg(F.collect_set("__kind")).scalar()
+
+    def meeting(
+        of_kind: int, tokens: Callable[[Column], Column], lengths: tuple[int, ...], among: Column
+    ) -> DataFrame:
+        anchors = sorted_out.where(F.col("__kind") == of_kind).select(
+            "__one", _anchor_of(among, lengths).alias("__anchor")
         )
-        runs = _anchored_texts(lowered, text_id, _characters, _CHARACTER_RUNS)
-        met.append(runs.join(by_letters, "__anchor"))
+        searched = lowered.where(F.array_contains(kinds, of_kind))
+        return _anchored_texts(searched, text_id, tokens, lengths).join(anchors, "__anchor")
 
+    letters = _characters(F.col("__passage"))
+    met = [meeting(n, _words, (n,), F.col("__inner")) for n in _WORD_RUNS]
+    met.append(meeting(0, _characters, _CHARACTER_RUNS, letters))
     pairs = reduce(DataFrame.unionByName, met)
     candidates = pairs.select(text_id, "__one").distinct()
     found = (
