@@ -84,3 +84,25 @@ def test_little_padding(docs):
 
 def test_empty_table(docs):
     assert packing.pack(docs("x").limit(0), PATH).collect() == []
+
+
+def test_pieces_are_shuffled_once_into_few_partitions(spark, docs):
+    held = {"spark.sql.shuffle.partitions": "211", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {name: spark.conf.get(name) for name in held}
+    try:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+        table = docs(*["a b c " * n for n in range(300)], *["same text"] * 300, (None, "no id"))
+        cut = packing.pieces(table, PATH, 64, 1)
+        result = packing.ranked(cut, cut.count())
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan
+        assert result.rdd.getNumPartitions() <= 8
+        ranks = {}
+        for row in result.collect():
+            ranks.setdefault(row.length, []).append(row["rank"])
+        assert all(sorted(found) == list(range(len(found))) for found in ranks.values())
+        assert sum(map(len, ranks.values())) == cut.count()
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)

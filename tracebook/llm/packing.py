@@ -7,7 +7,8 @@ packs it still fits on, and every step moves a whole count of equal packs. The r
 ranks of each length go to which sequences, and pieces find their place by their rank.
 
 Ranks do not need one task per length: pieces are counted per length and bucket, the counts are
-summed up over buckets, and rows are numbered within their bucket.
+summed up over buckets, and rows are numbered within their bucket. The sum before a bucket comes
+to its pieces as one more row, so that they are shuffled and sorted once.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ LONE_SPACES = re.compile(r"^ | $| (?=\s)|(?<=\s) ")
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 WORDS_KEPT = 200_000
 ROWS_PER_BUCKET = 200_000
+ROWS_PER_PARTITION = 20_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -211,12 +213,14 @@ def ranked(cut: DataFrame, rows: int) -> DataFrame:
     sizes = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
-    within = Window.partitionBy("length", "bucket").orderBy("doc_id", "start", "ids_crc32")
+    rows_and_shifts = dealt.unionByName(shifts, allowMissingColumns=True)
+    # the row with the shift is the first of its length and bucket
+    within = Window.partitionBy("length", "bucket").orderBy(F.col("shift").asc_nulls_last(), "doc_id", "start", "ids_crc32")
     return (
-        dealt.withColumn("inside", F.row_number().over(within) - 1)
-        .join(shifts, ["length", "bucket"])
-        .withColumn("rank", (F.col("inside") + F.col("shift")).cast("long"))
-        .drop("bucket", "inside", "shift")
+        rows_and_shifts.withColumn("rank", F.first("shift").over(within) + F.row_number().over(within) - 2)
+        .where(F.col("shift").isNull())
+        .drop("bucket", "shift")
+        .coalesce(max(8, -(-rows // ROWS_PER_PARTITION)))
     )
 
 
