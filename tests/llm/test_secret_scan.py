@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,3 +101,38 @@ def test_labelled_rows_are_bounded_when_an_id_repeats(spark, docs):
     rows = chosen_rows(df, labels, "quality", F.lit(True), 30).collect()
     assert len({(r.doc_id, r.text, r.label) for r in rows}) == len(rows)
     assert sum(r.label == 1 for r in rows) == 30 and sum(r.label == 0 for r in rows) == 30
+
+
+def test_dictionary_and_labels_come_from_all_documents(docs):
+    rng = random.Random(5)
+    named = [f'{PROSE} token = "{draw(rng, LETTERS, 32)}" and commit {draw(rng, "0123456789abcdef", 40)} ' for _ in range(300)]
+    long = (PROSE * 300 + "zymurgy Überzählig ") * 3 + f'secret: "{draw(rng, LETTERS, 24)}1"'
+    df = docs(*named, *named[:20], long, None, "", "a1 bc\ndef").repartition(7)
+    texts = [r.text.encode() for r in df.collect() if r.text]
+    counts = {bytes(r.word): r.n for r in secret_scan.word_counts(df).collect()}
+    want = Counter(w for t in texts for w in re.findall(rb"[a-z\x80-\xff]{3,}", t.lower()))
+    assert counts == want
+    found = [(bytes(r.near), r.start, r.end, r.label) for r in secret_scan.named_findings(df).collect()]
+    assert len(found) == 601 and set(found) == set(secret_scan.seed_findings(texts))
+    scanner = secret_scan.fitted(df)
+    assert b"zymurgy" in scanner.around.words
+    assert secret_scan.fitted(df.repartition(3)) == scanner
+
+
+def test_dictionary_takes_equally_frequent_words_together(spark):
+    counts = spark.createDataFrame([(b"aaa", 9), (b"bbb", 5), (b"ccc", 5), (b"ddd", 1)], "word binary, n long")
+    for most, words in ((4, 4), (3, 3), (2, 1), (1, 1), (0, 0)):
+        around, total = secret_scan.dictionary(counts, most)
+        assert (len(around.words), total) == (words, 20)
+
+
+def test_no_documents_leave_the_generated_findings(docs):
+    scanner = secret_scan.fitted(docs("x").limit(0))
+    assert found(scanner, 'api_key = "' + "Ab3" * 12 + '"')
+
+
+def test_query_takes_no_sample(spark, monkeypatch):
+    from tracebook.llm.queries import QUERIES
+
+    monkeypatch.setattr(secret_scan, "sample_texts", None)
+    assert QUERIES["op7_secret_scan"](spark, "/root/testdata/sf0.001").columns == ["doc_id", "start", "length", "secret", "score"]
