@@ -136,3 +136,14 @@ def test_query_takes_no_sample(spark, monkeypatch):
 
     monkeypatch.setattr(secret_scan, "sample_texts", None)
     assert QUERIES["op7_secret_scan"](spark, "/root/testdata/sf0.001").columns == ["doc_id", "start", "length", "secret", "score"]
+
+
+def test_stage_of_the_pipeline_takes_no_sample(spark, docs, monkeypatch):
+    import corpus_pipeline
+
+    monkeypatch.setattr(secret_scan, "sample_texts", None)
+    secret = "ghp_" + draw(random.Random(6), LETTERS, 36)
+    rows = corpus_pipeline.mask_secrets(spark, docs(PROSE * 300 + f'token = "{secret}" ', PROSE, None), "").collect()
+    texts = {r.doc_id: r.text for r in rows}
+    assert secret not in texts[0] and texts[0].startswith(PROSE) and texts[1] == PROSE and texts[2] is None
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in rows)
