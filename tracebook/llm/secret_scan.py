@@ -249,7 +249,7 @@ def generated_findings(n: int = 600, seed: int = 17) -> list[tuple[bytes, int, i
 
 
 def seed_findings(texts: list[bytes]) -> list[tuple[bytes, int, int, int]]:
-    """Candidates of sample texts that the name before them decides; the others stay unlabelled."""
+    """Candidates of the texts that the name before them decides; the others stay unlabelled."""
     found = []
     for text in texts:
         for start, end in candidates(text):
