@@ -96,3 +96,54 @@ def test_one_class_only_and_empty_tables(docs, spark):
     found = toxicity.toxicity(table, none, F.lit(False)).collect()
     assert {r.predicted for r in found} == {0}
     assert toxicity.toxicity(table.limit(0), none, F.lit(False)).collect() == []
+
+
+def labelled(docs, spark, rows):
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    return docs(*[(i, t) for i, (t, _) in enumerate(rows)]), labels
+
+
+def test_network_is_trained_on_all_labelled_documents(docs, spark):
+    rows = list(made(random.Random(4), 60))
+    rows += [(f"nor sta {'abc den ' * 4000} zymurgy text{i}", i % 2) for i in range(4)]  # over 20,000 characters
+    table, labels = labelled(docs, spark, rows)
+    network = toxicity.fitted(table, labels, F.col("doc_id") != 63)
+    assert b"zymurgy" in network.vocabulary
+
+
+def test_counts_are_those_of_all_rows(docs, spark):
+    rows = list(made(random.Random(6), 200)) + [("", 1), ("!", 0), ("abc", 1)]
+    table, labels = labelled(docs, spark, rows)
+    found = toxicity.labelled(table.union(table.limit(9)).repartition(5), labels, "toxic", F.col("doc_id") % 7 != 1)
+    used = [(set(toxicity.bare_words(t.encode())), y) for i, (t, y) in enumerate(rows) if i % 7 != 1]
+    assert found.count() == len(used)
+    network, evidence = toxicity.counted(found)
+    every = {w for held, _ in used for w in held}
+    want = {w: [sum(w in held for held, y in used if y == side) for side in (0, 1)] for w in every}
+    assert set(network.vocabulary) == {w for w, n in want.items() if sum(n) >= toxicity.MIN_DOCS}
+    assert all(evidence.words[:, at].tolist() == want[w] for w, at in network.vocabulary.items())
+    assert evidence.documents.tolist() == [sum(bool(held) for held, y in used if y == side) for side in (0, 1)]
+    fewer, _ = toxicity.counted(found, 20)
+    least = min(sum(want[w]) for w in fewer.vocabulary)
+    assert 0 < len(fewer.vocabulary) <= 20 and set(fewer.vocabulary) == {w for w, n in want.items() if sum(n) >= least}
+
+
+def test_every_row_is_in_a_shard_and_the_same_rows_give_the_same_network(docs, spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "RARER", 40)
+    rows = list(made(random.Random(7), 700))
+    table, labels = labelled(docs, spark, rows)
+    found = toxicity.labelled(table, labels, "toxic", F.lit(True))
+    split = toxicity.shards(found, np.array([525, 175]), steps=8).select("shard", "key", "label").collect()
+    assert {r.key for r in split} == {r.key for r in found.collect()}
+    assert {(r.shard, r.label) for r in split} == {(s, y) for s in range(5) for y in (0, 1)}
+    assert sum(r.label == 0 for r in split) == 525
+    first, second = (toxicity.fitted(t, labels, F.lit(True), steps=8) for t in (table, table.repartition(5)))
+    assert all((first.p[name] == second.p[name]).all() for name in first.p)
+
+
+def test_mean_of_shards_learns(docs, spark):
+    table, labels = labelled(docs, spark, list(made(random.Random(1), 2400)))
+    network = toxicity.fitted(table, labels, F.lit(True), steps=80)  # two shards
+    rows = list(made(random.Random(1), 2900))[2400:]
+    score = toxicity.sigmoid(toxicity.logits(network, [t.encode() for t, _ in rows]))
+    assert np.mean((score >= 0.7) == np.array([y for _, y in rows])) > 0.95

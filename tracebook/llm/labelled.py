@@ -37,11 +37,3 @@ def chosen_rows(
 def _of_each_class(rows: DataFrame, order: list[Column], per_class: int) -> DataFrame:
     first, second = (rows.where(F.col("label") == value).orderBy(*order).limit(per_class) for value in (0, 1))
     return first.union(second)
-
-
-def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, usable: Column, per_class: int, max_chars: int
-) -> list[tuple[str, int]]:
-    """(text, label) of ``chosen_rows``, in a fixed order."""
-    rows = chosen_rows(docs, labels, label, usable, per_class, max_chars).collect()
-    return [(r.text, r.label) for r in sorted(rows, key=lambda r: (r.doc_id, r.text, r.label))]
